@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks import log_queries  # noqa: F401
+from checks import flow_queries, log_queries  # noqa: F401
 from checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: private address space.
-PRIVATE_ADDRESS = r"^(10\.|192\.168\.|172\.(1[6-9]|2[0-9]|3[0-1]))"
+# Private address space, by the leading characters of the text.
+PRIVATE_PREFIXES = ("10.", "192.168.")
+PRIVATE_SIX_CHARACTERS = tuple(f"172.{n}" for n in range(16, 32))
 DOTTED_QUAD = r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$"
 
 
 def is_private(ip: Column) -> Column:
-    return ip.rlike(PRIVATE_ADDRESS)
+    found = F.substring(ip, 1, 6).isin(*PRIVATE_SIX_CHARACTERS)
+    for prefix in PRIVATE_PREFIXES:
+        found = found | ip.startswith(prefix)
+    return found
 
 
 def ipv4_number(ip: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loghaven.functions.numeric import rounded
+from loghaven.functions.once import evaluate_once
 from loghaven.operators.features import FEATURES, RAW_FEATURES, complete_rows, z_score
 
 # Model defaults.
@@ -135,17 +136,14 @@ def _squared_distance(point: Sequence[Column], center: Sequence[float]) -> Colum
 
 def _nearest_unrolled(df: DataFrame, centers: Sequence[Sequence[float]], dims: int) -> DataFrame:
     point = [F.col(f"_z{i}") for i in range(dims)]
-    df = df.withColumns(
-        {f"_d{n}": _squared_distance(point, c) for n, c in enumerate(centers)}
+    names = [f"_d{n}" for n in range(len(centers))]
+    df = evaluate_once(
+        df, {name: _squared_distance(point, c) for name, c in zip(names, centers)}
     )
-    distances = [F.col(f"_d{n}") for n in range(len(centers))]
+    distances = [F.col(name) for name in names]
     df = df.withColumn("_best", F.least(*distances) if len(distances) > 1 else distances[0])
-    nearest = F.when(distances[0] == F.col("_best"), 0)
-    for n, d in enumerate(distances[1:], start=1):
-        nearest = nearest.when(d == F.col("_best"), n)
-    return df.withColumn("cluster_id", nearest.cast("int")).drop(
-        *[f"_d{n}" for n in range(len(centers))]
-    )
+    nearest = F.array_position(F.array(*distances), F.col("_best")) - 1
+    return df.withColumn("cluster_id", nearest.cast("int")).drop(*names)
 
 
 def _nearest_over_arrays(df: DataFrame, centers: Sequence[Sequence[float]], dims: int) -> DataFrame:
@@ -164,9 +162,9 @@ def _nearest_over_arrays(df: DataFrame, centers: Sequence[Sequence[float]], dims
             center["id"].alias("id"),
         )
 
+    df = df.withColumn("_point", point)
     return (
-        df.withColumn("_point", point)
-        .withColumn("_near", F.array_min(F.transform(table, measured)))
+        evaluate_once(df, {"_near": F.array_min(F.transform(table, measured))})
         .withColumn("_best", F.col("_near.d"))
         .withColumn("cluster_id", F.col("_near.id").cast("int"))
         .drop("_point", "_near")
@@ -176,7 +174,7 @@ def _nearest_over_arrays(df: DataFrame, centers: Sequence[Sequence[float]], dims
 def assign_scaled(df: DataFrame, points: Sequence[Column], centers: Sequence[Sequence[float]]) -> DataFrame:
     """Add cluster_id (nearest center, lowest id on a tie) and ``_best``, its squared distance."""
     dims = len(points)
-    df = df.withColumns({f"_z{i}": p for i, p in enumerate(points)})
+    df = evaluate_once(df, {f"_z{i}": p for i, p in enumerate(points)})
     if len(centers) * dims <= UNROLLED_TERMS:
         return _nearest_unrolled(df, centers, dims)
     return _nearest_over_arrays(df, centers, dims)
@@ -218,25 +216,28 @@ def update_with_decay(
     map side, so the batch may be of any size. A center without points keeps its place.
     """
     spark = df.sparkSession
-    dims = len(points)
-    sums = (
-        assign_scaled(df, points, centers)
-        .groupBy("cluster_id")
-        .agg(F.count("*").alias("m"), *[F.sum(f"_z{i}").alias(f"s{i}") for i in range(dims)])
+    names = [f"s{i}" for i in range(len(points))]
+    batch = assign_scaled(df, points, centers).select(
+        "cluster_id", F.lit(1.0).alias("w"), *[F.col(f"_z{i}").alias(n) for i, n in enumerate(names)]
     )
+    # An old center counts as n a points at its place; one without weight still
+    # takes part with weight 0, and keeps its place below.
     old = spark.createDataFrame(
-        [(n, float(w), [float(x) for x in c]) for n, (c, w) in enumerate(zip(centers, weights))],
-        "cluster_id int, n double, center array<double>",
+        [
+            (n, float(w) * decay, *[float(x) * float(w) * decay for x in c], [float(x) for x in c])
+            for n, (c, w) in enumerate(zip(centers, weights))
+        ],
+        f"cluster_id int, w double, {', '.join(n + ' double' for n in names)}, at array<double>",
+    )
+    sums = (
+        batch.withColumn("at", F.lit(None).cast("array<double>"))
+        .unionByName(old)
+        .groupBy("cluster_id")
+        .agg(F.sum("w").alias("weight"), F.max("at").alias("at"), *[F.sum(n).alias(n) for n in names])
     )
-    kept = F.col("n") * F.lit(float(decay))
-    m = F.coalesce(F.col("m"), F.lit(0))
-    moved = [
-        F.when(kept + m > 0, (F.col("center")[i] * kept + F.coalesce(F.col(f"s{i}"), F.lit(0.0))) / (kept + m))
-        .otherwise(F.col("center")[i])
-        for i in range(dims)
-    ]
-    return old.join(sums, "cluster_id", "left").select(
-        "cluster_id", (kept + m).alias("weight"), F.array(*moved).alias("center")
+    moved = F.array(*[F.col(n) / F.col("weight") for n in names])
+    return sums.select(
+        "cluster_id", "weight", F.when(F.col("weight") > 0, moved).otherwise(F.col("at")).alias("center")
     )
 
 

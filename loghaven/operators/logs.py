@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loghaven.functions import geo, text
+from loghaven.functions.once import evaluate_once
 from loghaven.schemas import LOG_JSON, LOGS_PARSED
 
 WINDOWS_TOPIC = "win-event-logs"
@@ -22,7 +23,7 @@ def log_base(records: DataFrame) -> DataFrame:
 
 def with_json(logs: DataFrame) -> DataFrame:
     """Bind the parsed JSON object once as ``j``; its fields are NULL on malformed text."""
-    return logs.withColumn("j", F.from_json("raw_log", LOG_JSON))
+    return evaluate_once(logs, {"j": F.from_json("raw_log", LOG_JSON)})
 
 
 class _Json:
