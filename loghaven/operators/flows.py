@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loghaven.functions.once import evaluate_once
 from loghaven.schemas import FLOW_JSON, NETWORK_FLOWS, TYPED_FLOW_JSON
 
 
@@ -13,13 +14,15 @@ def epoch_or_iso(ts: Column) -> Column:
     return F.coalesce(F.timestamp_seconds(ts.try_cast("double")), F.try_to_timestamp(ts))
 
 
-def parse_flows(records: DataFrame) -> DataFrame:
+def parse_flows(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """kafka_ts, raw_log (JSON text) -> typed flow columns. Failed casts are NULL."""
     j = F.col("j")
-    return records.select(
-        F.col("kafka_ts"), F.from_json("raw_log", FLOW_JSON).alias("j")
-    ).select(
-        F.col("kafka_ts"),
+    parsed = evaluate_once(
+        records.select("kafka_ts", "raw_log", *keep), {"j": F.from_json("raw_log", FLOW_JSON)}
+    )
+    return parsed.select(
+        "kafka_ts",
+        *keep,
         j.getField("ts").try_cast("double").alias("ts"),
         epoch_or_iso(j.getField("ts")).alias("event_time"),
         j.getField("uid").alias("uid"),
@@ -48,7 +51,7 @@ def parse_flows_typed(records: DataFrame) -> DataFrame:
     """The notebook reading: numbers typed in the JSON schema, rows without features dropped."""
     j = F.col("j")
     return (
-        records.select(F.from_json("raw_log", TYPED_FLOW_JSON).alias("j"))
+        evaluate_once(records.select("raw_log"), {"j": F.from_json("raw_log", TYPED_FLOW_JSON)})
         .select(
             j.getField("duration").alias("duration"),
             j.getField("orig_bytes").alias("orig_bytes"),

@@ -150,36 +150,36 @@ def select_rules(*rule_ids: str, thresholds: dict[str, int] | None = None) -> tu
     )
 
 
-def _per_rule(rules: Sequence[Rule], value: Callable[[Rule], Column]) -> Column:
-    """A value that depends on ``rule_no`` alone."""
-    out = None
-    for n, rule in enumerate(rules):
-        at = F.col("rule_no") == n
-        out = F.when(at, value(rule)) if out is None else out.when(at, value(rule))
-    return out
+def sql_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _per_rule(rules: Sequence[Rule], value: Callable[[Rule], str]) -> Column:
+    """A value that depends on ``rule_no`` alone. Stated as SQL: one call, not one per rule."""
+    cases = " ".join(f"WHEN {n} THEN {value(rule)}" for n, rule in enumerate(rules))
+    return F.expr(f"CASE rule_no {cases} END")
+
+
+def _candidate(n: int, rule: Rule) -> Column:
+    item = f"CAST(`{rule.operand}` AS STRING)" if rule.measure == "distinct" else "CAST(NULL AS STRING)"
+    amount = f"try_cast(`{rule.operand}` AS BIGINT)" if rule.measure == "total" else "CAST(NULL AS BIGINT)"
+    return F.expr(
+        f"named_struct('rule_no', {n}, 'matched_value', CAST(`{rule.field}` AS STRING), "
+        f"'item', {item}, 'amount', {amount})"
+    )
 
 
 def rule_candidates(
     logs: DataFrame, rules: Sequence[Rule], carry: Sequence[Column] = ()
 ) -> DataFrame:
     """One row per (log row, rule it matches): rule_no, matched_value, item, amount."""
-
-    def candidate(n: int, rule: Rule) -> Column:
-        item = F.col(rule.operand).cast("string") if rule.measure == "distinct" else None
-        amount = F.col(rule.operand).try_cast("bigint") if rule.measure == "total" else None
-        row = F.struct(
-            F.lit(n).alias("rule_no"),
-            F.col(rule.field).cast("string").alias("matched_value"),
-            (F.lit(None).cast("string") if item is None else item).alias("item"),
-            (F.lit(None).cast("bigint") if amount is None else amount).alias("amount"),
-        )
-        return F.when(rule.condition(), row)
-
+    conditions = [rule.condition() for rule in rules]
+    matches = F.array(*[F.when(c, _candidate(n, r)) for n, (c, r) in enumerate(zip(conditions, rules))])
     carried = [F.col(name) for name in logs.select(*carry).columns] if carry else []
     return (
-        logs.filter(reduce(or_, [rule.condition() for rule in rules]))
-        .select(*carry, F.explode(F.array(*[candidate(n, r) for n, r in enumerate(rules)])).alias("c"))
-        .filter(F.col("c").isNotNull())
+        logs.filter(reduce(or_, conditions))
+        .select(*carry, F.explode(matches).alias("c"))
+        .filter("c IS NOT NULL")
         .select(*carried, "c.*")
     )
 
@@ -204,26 +204,24 @@ def count_hits(
 def apply_thresholds(per_value: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """rule_no, n, items, amount -> hit_count above each rule's threshold."""
     measured = {"rows": "n", "distinct": "items", "total": "amount"}
-    hit_count = _per_rule(rules, lambda r: F.col(measured[r.measure]))
-    above = _per_rule(
-        rules,
-        lambda r: F.lit(True) if r.threshold is None else F.col("hit_count") > F.lit(r.threshold),
-    )
-    return per_value.withColumn("hit_count", hit_count.cast("bigint")).drop(
-        "n", "items", "amount"
-    ).filter(above)
+    hit_count = _per_rule(rules, lambda r: f"CAST({measured[r.measure]} AS BIGINT)")
+    above = _per_rule(rules, lambda r: "true" if r.threshold is None else f"hit_count > {int(r.threshold)}")
+    return per_value.withColumn("hit_count", hit_count).drop("n", "items", "amount").filter(above)
 
 
 def describe_hits(hits: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Replace rule_no by the rule's texts."""
     texts = {
-        "rule_id": lambda r: F.lit(r.rule_id),
-        "rule_name": lambda r: F.lit(r.name),
-        "severity": lambda r: F.lit(r.severity),
-        "description": lambda r: F.lit(r.description),
-        "matched_field": lambda r: F.lit(r.field),
+        "rule_id": lambda r: r.rule_id,
+        "rule_name": lambda r: r.name,
+        "severity": lambda r: r.severity,
+        "description": lambda r: r.description,
+        "matched_field": lambda r: r.field,
+    }
+    columns = {
+        name: _per_rule(rules, lambda r, text=text: sql_literal(text(r))) for name, text in texts.items()
     }
-    return hits.withColumns({k: _per_rule(rules, v) for k, v in texts.items()}).drop("rule_no")
+    return hits.withColumns(columns).drop("rule_no")
 
 
 def _sql_hits(logs: DataFrame, rule: SqlRule) -> DataFrame:
