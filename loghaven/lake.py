@@ -32,6 +32,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Write rows to the shared folder and read them back: computed once, and kept if an
+    executor is lost."""
+    folder = new_folder(rows.sparkSession, name)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 

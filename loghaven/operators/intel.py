@@ -118,7 +118,8 @@ def sightings(
 
 
 def write_bucketed(
-    rows: DataFrame, table: str, key: str, buckets: int, salts: int = 1, replicated: bool = False
+    rows: DataFrame, table: str, key: str, buckets: int, salts: int = 1, replicated: bool = False,
+    path: str | None = None,
 ) -> None:
     """Save as a table bucketed and sorted by key and salt, for joins without a shuffle.
 
@@ -126,14 +127,14 @@ def write_bucketed(
     one copy per salt, so a key with a large share of the rows is no single task.
     """
     salted = replicate(rows, salts) if replicated else spread(rows, salts)
-    (
+    writer = (
         salted.repartition(buckets, F.col(key), F.col("_salt"))
         .write.mode("overwrite")
         .format("parquet")
         .bucketBy(buckets, key, "_salt")
         .sortBy(key, "_salt")
-        .saveAsTable(table)
     )
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def join_bucketed(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:

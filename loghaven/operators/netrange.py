@@ -11,13 +11,14 @@ from loghaven.operators.intel import fits_broadcast
 MAX_BROADCAST_RANGES = 1_000_000
 _ALL = 1 << 32
 _BLOCK = 1 << 16
+_RANGE_SIZE = "shiftleft(CAST(1 AS BIGINT), 32 - prefix_length)"
 
 
 def parse_cidr(ranges: DataFrame, cidr: str = "cidr") -> DataFrame:
     """Add prefix length, first and last address of a CIDR; rows that are none are dropped."""
     parts = F.split(cidr, "/")
     length = F.try_element_at(parts, F.lit(2)).try_cast("int")
-    size = F.shiftleft(F.lit(1).cast("bigint"), 32 - F.col("prefix_length"))
+    size = F.expr(_RANGE_SIZE)
     base = ranges.withColumns(
         {"_address": ipv4_number(F.try_element_at(parts, F.lit(1))), "prefix_length": length}
     ).filter(F.col("_address").isNotNull() & F.col("prefix_length").between(0, 32))
@@ -47,7 +48,7 @@ def disjoint_ranges(ranges: DataFrame, label: str, cidr: str = "cidr") -> DataFr
     keyed = borders.select("at", F.explode(lengths).alias("prefix_length")).withColumn(
         "first_address",
         F.col("at")
-        - F.pmod(F.col("at"), F.shiftleft(F.lit(1).cast("bigint"), 32 - F.col("prefix_length"))),
+        - F.pmod(F.col("at"), F.expr(_RANGE_SIZE)),
     )
     covering = (
         keyed.join(table, ["prefix_length", "first_address"])
