@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks import flow_queries, hunt_queries, log_queries, source_queries  # noqa: F401
+from checks import flow_queries, hunt_queries, log_queries, source_queries, stream_queries  # noqa: F401
 from checks.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
