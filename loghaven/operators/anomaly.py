@@ -61,16 +61,24 @@ def train(
     version: int = 1,
     trained_at_batch: int = 0,
 ) -> ClusterModel:
-    """Fit scaler and k-means on a frame that has the feature columns."""
+    """Fit scaler and k-means on a frame that has the feature columns.
+
+    The fit passes over its rows some twenty times, so the features alone are spread
+    evenly over all cores and kept for its duration.
+    """
     started = time.monotonic()
-    rows = complete_rows(flows, features).select(*features)
-    fitted = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(features), outputCol="raw", handleInvalid="skip"),
-            StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
-            KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="scaled", predictionCol="cluster_id"),
-        ]
-    ).fit(rows)
+    cores = flows.sparkSession.sparkContext.defaultParallelism
+    rows = complete_rows(flows, features).select(*features).repartition(cores).persist()
+    try:
+        fitted = Pipeline(
+            stages=[
+                VectorAssembler(inputCols=list(features), outputCol="raw", handleInvalid="skip"),
+                StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True),
+                KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="scaled", predictionCol="cluster_id"),
+            ]
+        ).fit(rows)
+    finally:
+        rows.unpersist()
     scaler, kmeans = fitted.stages[1], fitted.stages[2]
     sizes = kmeans.summary.clusterSizes
     return ClusterModel(

@@ -22,8 +22,13 @@ def log_base(records: DataFrame) -> DataFrame:
 
 
 def with_json(logs: DataFrame) -> DataFrame:
-    """Bind the parsed JSON object once as ``j``; its fields are NULL on malformed text."""
-    return evaluate_once(logs, {"j": F.from_json("raw_log", LOG_JSON)})
+    """Bind the parsed JSON object once as ``j``; its fields are NULL on malformed text.
+
+    Only text that opens an object is parsed: a parse that fails costs far more than
+    the test, and most lines of a mixed log are not JSON.
+    """
+    opens_object = F.col("raw_log").rlike(r"^\s*\{")
+    return evaluate_once(logs, {"j": F.when(opens_object, F.from_json("raw_log", LOG_JSON))})
 
 
 class _Json:
