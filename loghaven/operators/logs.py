@@ -55,10 +55,13 @@ def log_fields(logs: DataFrame, strict: bool = False) -> DataFrame:
     """Extract the per-format fields; ``logs`` needs source_topic, raw_log and ``j``.
 
     In parity mode a sensor record without its own status code reports its
-    destination port as ``status_code``; strict mode leaves it ``''``.
+    destination port as ``status_code``, and the hour of a syslog line stands for its
+    program; strict mode leaves the first ``''`` and reads the second after the host.
     """
     json = _Json(strict)
     line = F.col("raw_log")
+    program = text.SYSLOG_PROGRAM_AFTER_HOST if strict else text.SYSLOG_PROGRAM
+    source = text.WINDOWS_SOURCE_AFTER_HOST if strict else text.WINDOWS_SOURCE
 
     address = F.when(
         json.carries("id.orig_h", "id.orig_h"), json.field("id.orig_h")
@@ -98,7 +101,7 @@ def log_fields(logs: DataFrame, strict: bool = False) -> DataFrame:
     )
 
     event = F.when(
-        F.col("source_topic") == WINDOWS_TOPIC, text.group1(line, text.WINDOWS_SOURCE)
+        F.col("source_topic") == WINDOWS_TOPIC, text.group1(line, source)
     ).otherwise(json.field("status"))
 
     return logs.select(
@@ -109,7 +112,7 @@ def log_fields(logs: DataFrame, strict: bool = False) -> DataFrame:
         status.alias("status_code"),
         sent.alias("bytes_sent"),
         text.group1(line, text.SYSLOG_HOST).alias("syslog_host"),
-        text.group1(line, text.SYSLOG_PROGRAM).alias("syslog_program"),
+        text.group1(line, program).alias("syslog_program"),
         event.alias("app_event"),
         json.field("request").alias("app_service"),
         port.alias("dest_port"),
