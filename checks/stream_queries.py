@@ -271,11 +271,10 @@ register(
 
 def failed_login_stream(spark, sf_dir):
     logs = parse_logs(views.raw_logs_of(event_stream(spark, sf_dir))).select("ingest_ts", "raw_log", "syslog_host")
-    counted = H.sliding_counts_stream(
-        logs.withColumn("failed", F.col("raw_log").like("%Failed password%")), "ingest_ts", ["syslog_host", "failed"],
-        "15 minutes",
+    failed = F.col("raw_log").like("%Failed password%")
+    return drained(
+        H.sliding_counts_stream(logs, "ingest_ts", ["syslog_host"], "15 minutes", only=failed), "sliding"
     )
-    return drained(counted, "sliding").filter("failed").drop("failed")
 
 
 register(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loghaven.functions.numeric import rounded
+from loghaven.functions.once import evaluate_once
 
 
 def arrival_gaps(events: DataFrame, key: Sequence[str], time: str, slice_seconds: int) -> DataFrame:
@@ -155,10 +156,17 @@ def sliding_counts(
 
 def sliding_counts_stream(
     events: DataFrame, time: str, keys: Sequence[str], watermark: str,
-    width: str = "5 minutes", slide: str = "1 minute",
+    width: str = "5 minutes", slide: str = "1 minute", only: Column | None = None,
 ) -> DataFrame:
-    """The same counts on a stream, with state bounded by the watermark."""
+    """The same counts on a stream, with state bounded by the watermark.
+
+    ``only`` picks the events that are counted; all events advance the watermark. A
+    plain filter would be moved below the watermark, so the choice is made behind a
+    generator.
+    """
     rows = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
+    if only is not None:
+        rows = evaluate_once(rows, {"_counted": F.coalesce(only, F.lit(False))}).filter("_counted")
     return (
         rows.groupBy(F.window(time, width, slide).alias("w"), *keys)
         .agg(F.count("*").alias("n"))

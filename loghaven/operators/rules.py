@@ -170,15 +170,20 @@ def _candidate(n: int, rule: Rule) -> Column:
 
 
 def rule_candidates(
-    logs: DataFrame, rules: Sequence[Rule], carry: Sequence[Column] = ()
+    logs: DataFrame, rules: Sequence[Rule], carry: Sequence[Column] = (), prefilter: bool = True
 ) -> DataFrame:
-    """One row per (log row, rule it matches): rule_no, matched_value, item, amount."""
+    """One row per (log row, rule it matches): rule_no, matched_value, item, amount.
+
+    ``prefilter`` first drops rows that match no rule, at the scan if possible. A stream
+    with a watermark must not: the filter would move below the watermark, which would
+    then advance with matching rows only.
+    """
     conditions = [rule.condition() for rule in rules]
     matches = F.array(*[F.when(c, _candidate(n, r)) for n, (c, r) in enumerate(zip(conditions, rules))])
     carried = [F.col(name) for name in logs.select(*carry).columns] if carry else []
+    rows = logs.filter(reduce(or_, conditions)) if prefilter else logs
     return (
-        logs.filter(reduce(or_, conditions))
-        .select(*carry, F.explode(matches).alias("c"))
+        rows.select(*carry, F.explode(matches).alias("c"))
         .filter("c IS NOT NULL")
         .select(*carried, "c.*")
     )

@@ -42,7 +42,7 @@ def windowed_hits_stream(
     State is one row per open window, rule, value and item.
     """
     rows = logs.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
-    candidates = rule_candidates(rows, rules, carry=[F.col(time)])
+    candidates = rule_candidates(rows, rules, carry=[F.col(time)], prefilter=False)
     per_item = candidates.groupBy(F.window(time, width).alias("w"), "rule_no", "matched_value", "item").agg(
         F.count("*").alias("n"), F.sum("amount").alias("amount")
     )
