@@ -61,11 +61,16 @@ def join_small(
     return salted_join(big, small, key, how)
 
 
+def listed_keys(indicators: DataFrame, key: str) -> DataFrame:
+    """The key column without blanks: an empty indicator lists nothing."""
+    return indicators.select(key).filter(F.col(key) != "")
+
+
 def match_indicators(
     events: DataFrame, indicators: DataFrame, key: str, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Events whose ``key`` is listed. Works on streams, with ``indicators`` static."""
-    return join_small(events, indicators.select(key).distinct(), key, "left_semi", max_rows)
+    return join_small(events, listed_keys(indicators, key).distinct(), key, "left_semi", max_rows)
 
 
 def tag_indicators(
@@ -79,11 +84,11 @@ def match_indicators_shuffled(events: DataFrame, indicators: DataFrame, key: str
     """Events whose ``key`` is listed, as a sort-merge join.
 
     With ``spark.sql.optimizer.runtime.bloomFilter.enabled`` (on by default) Spark
-    builds a Bloom filter of the indicators and drops most events before they are
-    shuffled; the join then settles the filter's false positives.
+    builds a Bloom filter of the indicators when the events are large, drops most
+    events before they are shuffled, and lets the join settle the false positives.
+    It does so for a filtered scan, which the exclusion of blanks provides.
     """
-    listed = indicators.select(key).distinct().hint("merge")
-    return events.join(listed, key, "left_semi")
+    return events.join(listed_keys(indicators, key).hint("merge"), key, "left_semi")
 
 
 def sightings(
