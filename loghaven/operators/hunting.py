@@ -86,33 +86,39 @@ def floods(
 
 
 def followed_by(
-    events: DataFrame, entity: str, time: str, first: Column, then: Column, within_seconds: int
+    events: DataFrame, entity: str, time: str, first: Column, then: Column, within_seconds: int,
+    slice_seconds: int = 3_600,
 ) -> DataFrame:
     """For each ``first`` event, the nearest later ``then`` event of its entity within the span.
 
-    Events are cut into slices as long as the span, and a ``then`` event joins its own
-    slice and the one before, so every pair meets in the slice of its first event. The
-    frame runs backwards in time and grows by one row at a time.
+    An entity is cut into time slices. The nearest ``then`` event is looked for in the
+    slice, in a frame that runs backwards in time and grows by one row at a time; if
+    the slice has none, it is the earliest one of the next slice that does. An entity
+    with a large share of all events is thus many small windows.
     """
     span = within_seconds * 1_000_000
     at = F.unix_micros(F.col(time).cast("timestamp"))
-    marked = events.select(
-        F.col(entity), at.alias("_at"), first.alias("_first"), then.alias("_then")
-    ).filter(F.col("_at").isNotNull() & (F.col("_first") | F.col("_then")))
-    own = F.floor(F.col("_at") / F.lit(span))
-    sliced = marked.withColumn(
-        "_slice",
-        F.explode(F.when(F.col("_then"), F.array(own, own - 1)).otherwise(F.array(own))),
-    ).withColumn("_starts", F.col("_first") & (F.col("_slice") == own))
-    later = (
-        Window.partitionBy(entity, "_slice")
-        .orderBy(F.col("_at").desc())
-        .rangeBetween(Window.unboundedPreceding, -1)
+    rows = (
+        events.select(F.col(entity), at.alias("_at"), first.alias("_first"), then.alias("_then"))
+        .filter(F.col("_at").isNotNull() & (F.col("_first") | F.col("_then")))
+        .withColumn("_slice", F.floor(F.col("_at") / F.lit(slice_seconds * 1_000_000)))
+    )
+    then_at = F.when(F.col("_then"), F.col("_at"))
+    backwards = Window.partitionBy(entity, "_slice").orderBy(F.col("_at").desc())
+    in_slice = F.min(then_at).over(backwards.rangeBetween(Window.unboundedPreceding, -1))
+    slices = rows.groupBy(entity, "_slice").agg(F.min(then_at).alias("_earliest"))
+    later_slices = Window.partitionBy(entity).orderBy(F.col("_slice").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    nearest = F.min(F.when(F.col("_then"), F.col("_at"))).over(later)
+    after = slices.select(
+        entity, "_slice", F.last("_earliest", ignorenulls=True).over(later_slices).alias("_after")
+    ).filter(F.col("_after").isNotNull())
     return (
-        sliced.withColumn("_next", nearest)
-        .filter(F.col("_starts") & (F.col("_next") - F.col("_at") <= span))
+        rows.withColumn("_in", in_slice)
+        .filter("_first")
+        .join(after, [entity, "_slice"], "left")
+        .withColumn("_next", F.coalesce("_in", "_after"))
+        .filter(F.col("_next") - F.col("_at") <= span)
         .select(
             entity,
             F.timestamp_micros("_at").alias("first_at"),

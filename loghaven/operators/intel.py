@@ -7,15 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# An indicator row is an address and a label; this many stay far below an
-# executor's memory when every executor holds a copy.
+# Bounds of a table that every executor may hold a copy of.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 SALTS = 16
 
 
-def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``small`` has at most ``max_rows`` rows; reads at most one more than that."""
-    return small.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``small`` is within both bounds. Reads at most one row more than allowed;
+    bytes are those of the rows as text."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in small.columns])))
+    rows, text = small.limit(max_rows + 1).agg(F.count("*"), F.sum(size)).first()
+    return rows <= max_rows and (text or 0) <= max_bytes
 
 
 def unique_by_key(table: DataFrame, key: str) -> DataFrame:

@@ -90,10 +90,10 @@ def random_events(spark, n=400):
     return rows, spark.createDataFrame(rows, "who string, kind string, at timestamp")
 
 
-@pytest.mark.parametrize("within", [60, 600, 7200])
-def test_followed_by(spark, within):
+@pytest.mark.parametrize("within, slice_seconds", [(60, 3600), (600, 10), (600, 600), (7200, 1000)])
+def test_followed_by(spark, within, slice_seconds):
     rows, df = random_events(spark)
-    got = H.followed_by(df, "who", "at", F.col("kind") == "a", F.col("kind") == "b", within).collect()
+    got = H.followed_by(df, "who", "at", F.col("kind") == "a", F.col("kind") == "b", within, slice_seconds).collect()
     want = []
     for who, kind, at in rows:
         if kind == "a":

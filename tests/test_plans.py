@@ -72,7 +72,7 @@ def test_top_k_is_no_full_sort(logs):
 
 def test_share_of_total_moves_no_rows_to_one_task(logs):
     plan = plan_of(D.method_share(logs))
-    assert "- Window" not in plan and "scalar-subquery" in plan
+    assert "windowspecdefinition" not in plan and "Subquery" in plan
 
 
 def test_rules_scan_once_and_combine_before_the_shuffle(logs):
