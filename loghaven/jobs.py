@@ -8,7 +8,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-from loghaven.lake import Lake, use_utc
+from loghaven.lake import Lake, stored, use_utc
 from loghaven.operators import anomaly
 from loghaven.sources import files, streams
 from loghaven.streaming import etl
@@ -51,7 +51,8 @@ def merge_logs(spark: SparkSession, source: str, target: str) -> None:
     """Merge equal-named .log files below ``source`` into ``target`` and print the line counts."""
     lines = files.read_lines(spark, source, ".log")
     files.write_merged(lines, target)
-    files.inventory(lines).orderBy("file_name").show(10_000, truncate=False)
+    report = stored(files.inventory(lines), "inventory")
+    report.orderBy("file_name").show(report.count(), truncate=False)
 
 
 def arguments() -> argparse.ArgumentParser:

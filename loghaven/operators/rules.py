@@ -267,7 +267,9 @@ def locate_hits(hits: DataFrame, logs: DataFrame) -> DataFrame:
     semi-join keeps just the addresses that occur among the values, so what is
     shuffled and joined is no larger than the hits.
     """
-    values = hits.select("matched_value").distinct()
+    # A NULL value is looked up as '': otherwise the join adds a filter to this copy of
+    # the hits, and the two copies no longer share their shuffles.
+    values = hits.select(F.coalesce("matched_value", F.lit("")).alias("matched_value")).distinct()
     seen = (
         logs.select(F.col("client_ip").alias("matched_value"))
         .join(values, "matched_value", "left_semi")

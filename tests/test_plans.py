@@ -42,7 +42,9 @@ def logs(spark):
     folder = new_folder(spark, "logs")
     raw = spark.range(300).select(
         F.lit("web-logs").alias("source_topic"), F.lit(TS).alias("kafka_ts"),
-        F.concat(F.lit('1.1.1.'), F.col("id") % 9, F.lit(' - - [x] "GET /../ HTTP/1.1" 401 5')).alias("raw_log"),
+        F.concat(
+            F.when(F.col("id") % 9 == 0, "/../").otherwise("1.1.1.1"), F.lit(' - - [x] "GET /../ HTTP/1.1" 401 5')
+        ).alias("raw_log"),
     )
     write_partitioned(to_logs_parsed(parse_logs(raw)), folder, "ingest_date")
     return spark.read.parquet(folder)
@@ -82,6 +84,15 @@ def test_rules_scan_once_and_combine_before_the_shuffle(logs):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_located_alerts_count_the_rules_once(logs):
+    alerts = R.evaluate_rules(logs)
+    alerts.collect()
+    final = plan_of(alerts).split("Initial Plan")[0]
+    assert "ReusedExchange" in final
+    # One scan for the rules, one of the addresses alone for the lookup.
+    assert final.count("FileScan") == 2
+
+
 def test_small_indicators_are_broadcast_and_large_ones_salted(spark, flows):
     listed = spark.createDataFrame([("10.0.0.1",)], "src_ip string")
     assert "BroadcastHashJoin" in plan_of(I.match_indicators(flows, listed, "src_ip"))
