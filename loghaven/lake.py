@@ -16,16 +16,20 @@ from loghaven.schemas import TABLES
 BATCH = "batch_id"
 
 
+_own_folder: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach: ``spark.checkpoint.dir``, or a temporary one in local mode."""
+    """Folder all executors reach: ``spark.checkpoint.dir``. Only a session in one process,
+    as in tests, may leave it unset and gets a folder of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="loghaven-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _own_folder:
+        _own_folder.append(tempfile.mkdtemp(prefix="loghaven-"))
+    return _own_folder[0]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
