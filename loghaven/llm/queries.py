@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loghaven.lake import use_utc
-from loghaven.llm import mixing, quality_rules, sharding
+from loghaven.lake import stored, use_utc
+from loghaven.llm import gam, hnsw, jaccard, licenses, lm, mixing, pieces, quality_rules, quotes, sharding
 from loghaven.llm.common import one_label
 
 
@@ -30,6 +30,58 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(stats, one_label(table(spark, sf_dir, "labels"), "quality"))[0]
 
 
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stats = stored(gam.with_stats(docs).drop("text"), "model-stats")
+    model = gam.learn(stats, one_label(table(spark, sf_dir, "labels"), "quality"))
+    return gam.classified(stats, model)
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan_licenses(docs).drop("text", "spans")
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the number and a digest of its piece ids, and what they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = pieces.decode_documents(pieces.encode_documents(docs))
+    whole = F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")
+    return rows.select(
+        "doc_id",
+        F.size("ids").alias("n_tokens"),
+        F.crc32(F.array_join("ids", " ").cast("binary")).alias("ids_crc32"),
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"),
+        (F.col("decoded") == whole).alias("round_trip"),
+    )
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_classes(table(spark, sf_dir, "documents"), words=3, similarity=(90, 100))
+
+
+def op7_quoted_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per message: what it replies to, its place, and a digest of its formatted text."""
+    rows = quotes.format_chats(table(spark, sf_dir, "conversations"))
+    return rows.select(
+        "conv_id", "turn", "role", "reply_to", "n_quoted", "n_linked", "position", F.crc32(F.col("formatted").cast("binary")).alias("formatted_crc32")
+    )
+
+
+def op8_vector_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.vector_classes(table(spark, sf_dir, "embeddings"))
+
+
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_rows(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -40,6 +92,14 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_quality_rules": op2_quality_rules,
+    "op3_quality_model": op3_quality_model,
+    "op4_license_scan": op4_license_scan,
+    "op5_pieces": op5_pieces,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op7_quoted_chats": op7_quoted_chats,
+    "op8_vector_classes": op8_vector_classes,
+    "op9_lm_scores": op9_lm_scores,
     "op10_shards": op10_shards,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {}
