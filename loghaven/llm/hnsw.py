@@ -237,7 +237,8 @@ def vector_classes(vectors: DataFrame, cosine: float = COSINE, shard_nodes: int
         "node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root")
     )
     all_rows = rows.select("vec_id", "node").join(least_of, "node", "left")
-    least = all_rows.where("root is not null").groupBy("root").agg(F.min("vec_id").alias("least"))
+    # Stored, so that the join has an exchange of its own, which can split a large component.
+    least = stored(all_rows.where("root is not null").groupBy("root").agg(F.min("vec_id").alias("least")), "least")
     component = F.when(F.col("root").isNull(), F.col("vec_id")).otherwise(F.col("least"))
     return all_rows.join(least, "root", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id")

@@ -271,7 +271,8 @@ def jaccard_classes(
     rows = sets.select("doc_id", "n_shingles", "node").join(roots, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "node").alias("root")
     )
-    least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Stored, so that the join has an exchange of its own, which can split a large component.
+    least = stored(rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     return rows.join(least, "root", "left").select(
         "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )

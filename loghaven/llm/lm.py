@@ -12,6 +12,7 @@ reach. So the counts grow with the corpus, and no task holds them all.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ END = np.uint64(0x5851F42D4C957F2D)
 
 def text_blocks(docs: DataFrame) -> DataFrame:
     """block, doc_id[], held_out[], sizes (tokens per text), words (sorted distinct hashes) and
-    tokens (places in words; every text ends with END), from doc_id, text, held_out."""
+    tokens (places in words, compressed; every text ends with END), from doc_id, text, held_out."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, number = Hasher(), TaskContext.get().partitionId() << 32
@@ -55,7 +56,7 @@ def text_blocks(docs: DataFrame) -> DataFrame:
                     pa.array([held], pa.list_(pa.bool_())),
                     pa.array([sizes.tobytes()], pa.binary()),
                     pa.array([words.tobytes()], pa.binary()),
-                    pa.array([tokens.astype(np.int32).tobytes()], pa.binary()),
+                    pa.array([zlib.compress(tokens.astype(np.int32).tobytes(), 1)], pa.binary()),
                 ],
                 ["block", "doc_id", "held_out", "sizes", "words", "tokens"],
             )
@@ -84,7 +85,7 @@ def text_blocks(docs: DataFrame) -> DataFrame:
 def _parts(sizes: bytes, tokens: bytes, held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens, the size of each text, and for each token whether its text trains."""
     n = np.frombuffer(sizes, np.int64)
-    return np.frombuffer(tokens, np.int32), n, np.repeat(~np.asarray(held, bool), n)
+    return np.frombuffer(zlib.decompress(tokens), np.int32), n, np.repeat(~np.asarray(held, bool), n)
 
 
 def _states_of(words: bytes, states: np.ndarray) -> np.ndarray:
