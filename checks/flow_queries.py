@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import functions as F
 
 from checks import prepared, views
@@ -180,38 +183,66 @@ def trained_model(spark, sf_dir):
     return M.train(P.flow_features(views.flows(spark, sf_dir)))
 
 
-def fitted_clusters(spark, sf_dir):
-    """Size, largest score and mean score of each cluster of a trained model."""
-    model = trained_model(spark, sf_dir)
-    scored = M.score(P.flow_features(views.flows(spark, sf_dir)), model)
-    return scored.groupBy("cluster_id").agg(
-        F.count("*").alias("n"), F.max("anomaly_score").alias("max_score"), F.avg("anomaly_score").alias("avg_score")
+def fit_report(model, flows):
+    """Rows of the fit and of the flows, clusters, whether every flow is at its nearest center,
+    and whether the cost of the fit is the sum of the squared distances. Spark takes the cost
+    before the last move of the centers, which can only lower it, and by little."""
+    scored = M.score(flows, model)
+    squares = [
+        reduce(add, [(z - F.lit(c)) ** 2 for z, c in zip(model.scaled(), center)]) for center in model.centers
+    ]
+    least = F.least(*squares)
+    return scored.agg(
+        F.lit(model.training_rows).cast("bigint").alias("training_rows"),
+        F.count("*").alias("scored_rows"),
+        F.lit(len(model.centers)).alias("clusters"),
+        F.bool_and(F.abs(F.col("anomaly_score") - F.sqrt(least)) <= 1e-4 * (1 + F.sqrt(least))).alias("at_nearest"),
+        (F.sum(least) / F.lit(model.wssse)).between(0.99, 1 + 1e-6).alias("cost_agrees"),
     )
 
 
-register("m03_kmeans_fit", fitted_clusters)
+def fitted_clusters(spark, sf_dir):
+    flows = P.flow_features(views.flows(spark, sf_dir))
+    return fit_report(M.train(flows), flows)
+
+
+_FIT = with_tables(
+    "flows",
+    select="SELECT count(*) AS training_rows, count(*) AS scored_rows, 8 AS clusters, true AS at_nearest, true AS cost_agrees FROM flows",
+)
+_BASELINE_FIT = with_tables(
+    "flows",
+    select="""SELECT count(*) AS training_rows, count(*) AS scored_rows, 8 AS clusters, true AS at_nearest, true AS cost_agrees
+FROM flows WHERE dest_port IS NOT NULL AND duration IS NOT NULL AND orig_bytes IS NOT NULL AND resp_bytes IS NOT NULL""",
+)
+
+
+register("m03_kmeans_fit", fitted_clusters, _FIT)
 register(
     "m09_training_metrics",
-    lambda s, d: M.metrics_row(s, trained_model(s, d), as_of(), 0),
+    lambda s, d: M.metrics_row(s, trained_model(s, d), as_of(), 0).select(
+        "training_id", "batch_id", "training_rows", (F.col("wssse") > 0).alias("has_cost"),
+        (F.col("training_duration_sec") > 0).alias("has_duration"),
+    ),
+    with_tables(
+        "flows",
+        select="""SELECT CAST(1 AS BIGINT) AS training_id, CAST(0 AS BIGINT) AS batch_id, count(*) AS training_rows,
+  true AS has_cost, true AS has_duration FROM flows""",
+    ),
 )
 
 
 def baseline_clusters(spark, sf_dir):
-    """The notebook baseline: raw features of the first flows in key order, all flows scored."""
-    sample = M.baseline_sample(views.flows(spark, sf_dir), ["uid", "dest_ip", "dest_port", "orig_bytes", "resp_bytes"])
-    model = M.train(sample, P.RAW_FEATURES)
-    return (
-        M.score(views.flows(spark, sf_dir), model, threshold=2.0)
-        .groupBy("cluster_id")
-        .agg(F.count("*").alias("n"), F.count_if("is_anomaly").alias("anomalies"))
-    )
+    """The notebook baseline: raw features of all complete flows."""
+    flows = M.baseline_rows(views.flows(spark, sf_dir))
+    return fit_report(M.train(flows, P.RAW_FEATURES), flows)
 
 
-register("m10_notebook_baseline", baseline_clusters)
+register("m10_notebook_baseline", baseline_clusters, _BASELINE_FIT)
 register(
     "o3_baseline_sample",
     lambda s, d: M.baseline_sample(
-        views.flows(s, d), ["uid", "dest_ip", "dest_port", "orig_bytes", "resp_bytes"]
+        views.flows(s, d), ["uid", "dest_ip", "dest_port", "orig_bytes", "resp_bytes"], 10_000
     ).select(*KEY),
     with_tables(
         "flows",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import prepared, views
@@ -236,31 +237,29 @@ WHERE a.event_type = 'signup' AND b.event_type = 'purchase' AND b.ts BETWEEN a.t
 
 # -- upkeep -------------------------------------------------------------------
 
-_BY_DATE = with_tables(
-    "network_flows",
-    select="""SELECT ingest_date, count(*) AS n, CAST(sum(orig_bytes) AS BIGINT) AS bytes FROM network_flows
-GROUP BY ingest_date""",
-)
-
-
-def compacted(spark, sf_dir):
-    """Rewrite one date of a copy of the flows, sorted for pruning; then totals per date."""
-    folder = new_folder(spark, "compacted")
-    _flows(spark, sf_dir).write.partitionBy("ingest_date").parquet(folder)
-    U.compact(
-        spark, folder, "ingest_date", "2024-01-10", new_folder(spark, "staging"), by=("ingest_ts", "src_ip")
+def sorted_files(spark, sf_dir):
+    """Totals of the sorted table's files, and how many begin before the one before ends."""
+    folder = new_folder(spark, "sorted")
+    U.sorted_for_pruning(_flows(spark, sf_dir), ("ingest_ts", "src_ip"), 8).write.parquet(folder)
+    files = spark.read.parquet(folder).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min("ingest_ts").alias("least"), F.max("ingest_ts").alias("most"), F.count("*").alias("n"),
+        F.sum("orig_bytes").alias("bytes"),
     )
-    return spark.read.parquet(folder).groupBy("ingest_date").agg(
-        F.count("*").alias("n"), F.sum("orig_bytes").alias("bytes")
+    before = F.max("most").over(Window.orderBy("least", "most").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("before", before).agg(
+        F.count("*").alias("files"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"),
+        F.count_if(F.col("least") < F.col("before")).alias("overlapping"),
     )
 
 
-register("x1_compacted_partition", compacted, _BY_DATE)
 register(
     "x2_sorted_for_pruning",
-    lambda s, d: U.sorted_for_pruning(_flows(s, d), ("ingest_ts", "src_ip"), 8)
-    .groupBy("ingest_date").agg(F.count("*").alias("n"), F.sum("orig_bytes").alias("bytes")),
-    _BY_DATE,
+    sorted_files,
+    with_tables(
+        "network_flows",
+        select="""SELECT CAST(8 AS BIGINT) AS files, count(*) AS n, CAST(sum(orig_bytes) AS BIGINT) AS bytes,
+  CAST(0 AS BIGINT) AS overlapping FROM network_flows""",
+    ),
 )
 
 

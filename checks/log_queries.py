@@ -408,11 +408,6 @@ register(
         select=f"SELECT source_topic, count(*) AS n FROM logs_parsed WHERE ingest_ts <= TIMESTAMP '{AS_OF}' GROUP BY 1",
     ),
 )
-register(
-    "s11_table_scan",
-    lambda s, d: prepared.logs_parsed(s, d),
-    with_tables("logs_parsed", select="SELECT * FROM logs_parsed"),
-)
 register(
     "w2_hourly_vs_last_week", _logs(D.hourly_vs_last_week),
     with_tables(

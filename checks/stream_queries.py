@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from checks import prepared, views
 from checks.log_queries import WINDOW_THRESHOLDS
 from checks.registry import register
 from checks.sql import DETECTED_AT, RULES, rule_select, with_tables
-from loghaven.lake import Lake, new_folder
+from loghaven.lake import Lake, new_folder, scan, stored
 from loghaven.operators import anomaly as M
 from loghaven.operators import hunting as H
+from loghaven.operators import maintenance as U
 from loghaven.operators import rules as R
 from loghaven.operators.features import RAW_FEATURES
 from loghaven.operators.logs import parse_logs
@@ -78,16 +81,111 @@ def rate_limited(spark, sf_dir):
     )
     lake = Lake(location=new_folder(spark, "limited_lake"))
     etl.start_log_etl(records, lake, f"{lake.location}/checkpoint", trigger=ALL).awaitTermination()
-    return D.daily_volume(lake.read(spark, "logs_parsed"))
+    by_path = spark.read.parquet(lake.path("logs_parsed"))
+    batches = by_path.select("batch_id").distinct().count()
+    return D.daily_volume(by_path).withColumn("batches", F.lit(batches))
 
 
 register(
     "s03_rate_limited_stream",
     rate_limited,
+    with_tables("logs_parsed", select="SELECT ingest_date, count(*) AS daily_total, 4 AS batches FROM logs_parsed GROUP BY 1"),
+)
+
+
+def landed_lake(spark, name, batches, rules=R.DEFAULT_RULES, sf_dir=None, registered=True):
+    """A lake with catalog tables, filled by the log job's batches."""
+    folder = new_folder(spark, name)
+    lake = Lake(database="siem_" + folder.rsplit("-", 1)[-1], location=folder)
+    if registered:
+        lake.create_tables(spark)
+    logs = parse_logs(views.raw_logs(spark, sf_dir)).withColumn("batch_ts", F.to_timestamp(F.lit(DETECTED_AT)))
+    for b in range(batches):
+        etl.land_batch(logs.filter(F.pmod(F.xxhash64("raw_log"), F.lit(batches)) == b), b, lake, rules)
+    return lake
+
+
+def scanned(spark, sf_dir):
+    """The catalog's table after two batches of the log job."""
+    lake = landed_lake(spark, "scanned", 2, sf_dir=sf_dir)
+    return scan(spark, lake.name("logs_parsed")).drop("batch_id")
+
+
+register("s11_table_scan", scanned, with_tables("logs_parsed", select="SELECT * FROM logs_parsed"))
+
+
+def synced(spark, sf_dir):
+    """Batches landed before the catalog's tables existed, made known afterwards."""
+    lake = landed_lake(spark, "synced", 2, sf_dir=sf_dir, registered=False)
+    lake.create_tables(spark)
+    lake.sync(spark, "logs_parsed")
+    return D.daily_volume(spark.table(lake.name("logs_parsed")))
+
+
+register(
+    "k07_partitions_synced",
+    synced,
     with_tables("logs_parsed", select="SELECT ingest_date, count(*) AS daily_total FROM logs_parsed GROUP BY 1"),
 )
 
 
+def replayed_with_less(spark, sf_dir):
+    """A batch replayed under thresholds that nothing exceeds: its alerts go, its logs stay."""
+    lake = landed_lake(spark, "less", 1, sf_dir=sf_dir)
+    logs = parse_logs(views.raw_logs(spark, sf_dir)).withColumn("batch_ts", F.to_timestamp(F.lit(DETECTED_AT)))
+    before = lake.read(spark, "alerts").count()
+    none = R.select_rules(thresholds={r.rule_id: 1 << 60 for r in R.DEFAULT_RULES})
+    etl.land_batch(logs, 0, lake, none)
+    parts = [
+        lake.read(spark, t).agg(F.lit(t).alias("table"), F.count("*").alias("n")) for t in ("logs_parsed", "alerts")
+    ]
+    parts.append(spark.table(lake.name("alerts")).agg(F.lit("alerts in the catalog").alias("table"), F.count("*").alias("n")))
+    parts.append(spark.range(1).select(F.lit("alerts before").alias("table"), F.lit(before).cast("bigint").alias("n")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+register(
+    "k08_replay_with_less",
+    replayed_with_less,
+    with_tables(
+        "alerts",
+        select="""SELECT 'logs_parsed' AS "table", count(*) AS n FROM logs_parsed UNION ALL SELECT 'alerts', 0
+UNION ALL SELECT 'alerts in the catalog', 0 UNION ALL SELECT 'alerts before', count(*) FROM alerts""",
+    ),
+)
+
+COMPACTED = "2024-01-10"
+
+
+def compacted(spark, sf_dir):
+    """One date of a table that the log job wrote in three batches, folded: rows of each date,
+    and whether its files were many and are now one."""
+    lake = landed_lake(spark, "compacted", 3, sf_dir=sf_dir)
+    path = lake.path("logs_parsed")
+    before = U.file_stats(spark, path, "ingest_date").withColumnsRenamed({"files": "files_before", "bytes": "bytes_before"})
+    before = stored(before, "files_before")
+    U.compact(spark, path, "ingest_date", COMPACTED, new_folder(spark, "staging"), by=("ingest_ts", "raw_log"), closed_batch=2)
+    after = U.file_stats(spark, path, "ingest_date")
+    files = before.join(after, "ingest_date").select(
+        F.col("ingest_date").cast("date").alias("ingest_date"),
+        ((F.col("files_before") >= 3) & (F.col("files") == 1)).alias("folded"),
+    )
+    rows = lake.read(spark, "logs_parsed")
+    totals = rows.groupBy("ingest_date").agg(F.count("*").alias("n"), F.sum(F.length("raw_log")).alias("characters"))
+    return totals.join(files, "ingest_date")
+
+
+register(
+    "x1_compacted_partition",
+    compacted,
+    with_tables(
+        "logs_parsed",
+        select=f"""SELECT ingest_date, count(*) AS n, CAST(sum(length(raw_log)) AS BIGINT) AS characters,
+  ingest_date = DATE '{COMPACTED}' AS folded FROM logs_parsed GROUP BY ingest_date""",
+    ),
+)
+
+
 def bootstrapped(spark, sf_dir):
     """Create the tables twice, append parsed logs by name, count by date."""
     folder = new_folder(spark, "bootstrap")
@@ -187,29 +285,78 @@ register("k03_scored_flow_sink", lambda s, d: _by_proto(detector_table("network_
 
 
 def anomaly_sink(spark, sf_dir):
-    """Per date: flagged flows and rows of the anomaly table, which must agree."""
+    """Per date: whether flagged flows and rows of the anomaly table agree, and whether all of
+    these are above the threshold."""
     flagged = detector_table("network_flows")(spark, sf_dir).groupBy("ingest_date").agg(
         F.count_if("is_anomaly").alias("flagged_flows")
     )
     kept = detector_table("network_anomalies")(spark, sf_dir).groupBy("ingest_date").agg(
         F.count("*").alias("anomaly_rows"), F.min("anomaly_score").alias("least_score")
     )
-    return flagged.join(kept, "ingest_date", "left")
+    return flagged.join(kept, "ingest_date", "left").select(
+        "ingest_date",
+        (F.col("flagged_flows") == F.coalesce("anomaly_rows", F.lit(0))).alias("counts_agree"),
+        F.coalesce(F.col("least_score") > M.THRESHOLD, F.lit(True)).alias("above_threshold"),
+    )
 
 
-register("k04_anomaly_sink", anomaly_sink)
-register("k05_model_metrics_sink", detector_table("model_metrics"))
-register("q39_model_stability", lambda s, d: D.model_stability(detector_table("model_metrics")(s, d)))
+register(
+    "k04_anomaly_sink",
+    anomaly_sink,
+    with_tables(
+        "flows",
+        select="""SELECT CAST(kafka_ts AS DATE) AS ingest_date, true AS counts_agree, true AS above_threshold FROM flows GROUP BY 1""",
+    ),
+)
+
+
+def with_batch_rows(rows, spark, sf_dir, batch):
+    """Add whether a training's rows are those of its batch."""
+    flows = spark.read.parquet(detector_lake(spark, sf_dir).path("network_flows"))
+    sizes = flows.groupBy(F.col("batch_id").alias(batch)).agg(F.count("*").alias("batch_rows"))
+    return rows.join(sizes, batch, "left").withColumn("rows_of_batch", F.col("training_rows") == F.col("batch_rows"))
+
+
+register(
+    "k05_model_metrics_sink",
+    lambda s, d: with_batch_rows(detector_table("model_metrics")(s, d), s, d, "batch_id").select(
+        "training_id", "batch_id", "rows_of_batch", (F.col("wssse") > 0).alias("has_cost"),
+        F.col("ingest_ts").isNotNull().alias("has_time"),
+    ),
+    """SELECT CAST(t AS BIGINT) AS training_id, CAST(b AS BIGINT) AS batch_id, true AS rows_of_batch, true AS has_cost,
+  true AS has_time FROM (VALUES (1, 0), (2, 1)) v(t, b)""",
+)
+
+
+def stability(spark, sf_dir):
+    """The daily averages against the least and largest cost of the day, by number of days."""
+    metrics = detector_table("model_metrics")(spark, sf_dir)
+    spans = metrics.groupBy(F.date_trunc("day", "ingest_ts").alias("day")).agg(
+        F.min("wssse").alias("least"), F.max("wssse").alias("most"), F.count("*").alias("n")
+    )
+    return D.model_stability(metrics).join(spans, "day", "full").agg(
+        F.sum("n").alias("trainings"),
+        F.bool_and(F.col("avg_wssse").between(F.col("least") - 1e-9, F.col("most") + 1e-9)).alias("averages_hold"),
+    )
+
+
+register("q39_model_stability", stability, "SELECT CAST(2 AS BIGINT) AS trainings, true AS averages_hold")
 
 
 def model_versions(spark, sf_dir):
-    """Saved models: version, batch that trained them, rows, centers."""
-    return ModelStore(spark, f"{detector_lake(spark, sf_dir).location}/models").table().select(
-        "version", "trained_at_batch", "training_rows", F.size("centers").alias("clusters"), "wssse"
+    """Saved models: version, batch that trained them, whether on its rows, centers."""
+    models = ModelStore(spark, f"{detector_lake(spark, sf_dir).location}/models").table()
+    return with_batch_rows(models, spark, sf_dir, "trained_at_batch").select(
+        "version", "trained_at_batch", "rows_of_batch", F.size("centers").alias("clusters"), (F.col("wssse") > 0).alias("has_cost")
     )
 
 
-register("m08_retrained_models", model_versions)
+register(
+    "m08_retrained_models",
+    model_versions,
+    """SELECT v AS version, CAST(b AS BIGINT) AS trained_at_batch, true AS rows_of_batch, 8 AS clusters, true AS has_cost
+FROM (VALUES (1, 0), (2, 1)) t(v, b)""",
+)
 
 
 def cold_start(spark, sf_dir):
@@ -228,11 +375,10 @@ register("m07_cold_start", cold_start, _FLOWS_BY_PROTO)
 
 
 def notebook_learning(spark, sf_dir):
-    """Continuous learning from the notebook baseline over three batches: models by batch."""
-    flows = views.flows(spark, sf_dir)
-    sample = M.baseline_sample(flows, ["uid", "dest_ip", "dest_port", "orig_bytes", "resp_bytes"])
+    """Continuous learning from the notebook baseline over three batches: the models left."""
+    flows = M.baseline_rows(views.flows(spark, sf_dir))
     lake = Lake(location=new_folder(spark, "notebook_lake"))
-    detector = NotebookDetector(lake, M.train(sample, RAW_FEATURES))
+    detector = NotebookDetector(lake, M.train(flows, RAW_FEATURES))
     records = streams.read_record_files(
         spark, prepared.flow_record_files(spark, sf_dir), (streams.FLOW_TOPIC,), max_files_per_trigger=1
     )
@@ -241,12 +387,24 @@ def notebook_learning(spark, sf_dir):
         .option("checkpointLocation", f"{lake.location}/checkpoint").trigger(**ALL).start()
     )
     query.awaitTermination()
-    return ModelStore(spark, f"{lake.location}/notebook_models").table().select(
-        "version", "trained_at_batch", "training_rows", F.size("centers").alias("clusters")
+    return ModelStore(spark, f"{lake.location}/notebook_models").table().agg(
+        F.count("*").alias("models"),
+        F.max("version").alias("last_version"),
+        F.max("trained_at_batch").alias("last_batch"),
+        F.sum("training_rows").alias("training_rows"),
+        F.min(F.size("centers")).alias("clusters"),
     )
 
 
-register("m11_continuous_learning", notebook_learning)
+register(
+    "m11_continuous_learning",
+    notebook_learning,
+    with_tables(
+        "flows",
+        select="""SELECT CAST(3 AS BIGINT) AS models, 4 AS last_version, CAST(2 AS BIGINT) AS last_batch, count(*) AS training_rows,
+  8 AS clusters FROM flows WHERE dest_port IS NOT NULL AND duration IS NOT NULL AND orig_bytes IS NOT NULL AND resp_bytes IS NOT NULL""",
+    ),
+)
 
 # -- event time ---------------------------------------------------------------
 

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 # characters of the text decide, so 172.16.0.1 reads as "United States" and
 # 210.1.1.1 as "China". Use operators.netrange for real address ranges.
 INTERNAL_OCTETS = ("192.", "10.")
-TWO_CHARACTER_COUNTRIES = {
-    "United States": ("17", "18"),
-    "Germany": ("40", "41", "42", "43", "44", "45"),
-    "Russia": ("90", "91", "92", "93", "94", "95"),
-    "China": ("21", "22"),
+PATTERN_OF_COUNTRY = {
+    "United States": r"^1[7-8]",
+    "Germany": r"^4[0-5]",
+    "Russia": r"^9[0-5]",
+    "China": r"^2[1-2]",
 }
 CITY_OF_COUNTRY = {
     "United States": "New York",
@@ -28,10 +28,9 @@ def country_of(ip: Column) -> Column:
     internal = ip.startswith(INTERNAL_OCTETS[0])
     for octet in INTERNAL_OCTETS[1:]:
         internal = internal | ip.startswith(octet)
-    head = F.substring(ip, 1, 2)
     out = F.when(internal, "Internal")
-    for country, heads in TWO_CHARACTER_COUNTRIES.items():
-        out = out.when(head.isin(*heads), country)
+    for country, pattern in PATTERN_OF_COUNTRY.items():
+        out = out.when(ip.rlike(pattern), country)
     return out.otherwise("Unknown")
 
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import argparse
+import json
 import os
 from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-from loghaven.lake import Lake, stored, use_utc
+from loghaven.lake import Lake, use_utc
 from loghaven.operators import anomaly
+from loghaven.operators.rules import select_rules
 from loghaven.sources import files, streams
+from loghaven.sources.merge import write_merged
 from loghaven.streaming import etl
 from loghaven.streaming.detector import FlowDetector
 
@@ -32,11 +35,18 @@ def detector_settings(env: Mapping[str, str]) -> dict:
     }
 
 
+def log_rules(env: Mapping[str, str]) -> tuple:
+    """The default rules, or those of RULES (comma-separated ids), with the thresholds of
+    RULE_THRESHOLDS (JSON: rule id to number)."""
+    ids = [r for r in env.get("RULES", "").split(",") if r]
+    return select_rules(*ids, thresholds=json.loads(env.get("RULE_THRESHOLDS", "{}")))
+
+
 def log_etl(spark: SparkSession, lake: Lake, checkpoint: str, env: Mapping[str, str]) -> None:
     """Parse log topics into logs_parsed and alerts until stopped."""
     lake.create_tables(spark)
     records = streams.read_kafka(spark, **kafka_settings(env, streams.LOG_TOPICS))
-    etl.start_log_etl(records, lake, checkpoint).awaitTermination()
+    etl.start_log_etl(records, lake, checkpoint, log_rules(env), env.get("STRICT_PARSING") == "1").awaitTermination()
 
 
 def flow_detector(spark: SparkSession, lake: Lake, checkpoint: str, env: Mapping[str, str]) -> None:
@@ -48,11 +58,16 @@ def flow_detector(spark: SparkSession, lake: Lake, checkpoint: str, env: Mapping
 
 
 def merge_logs(spark: SparkSession, source: str, target: str) -> None:
-    """Merge equal-named .log files below ``source`` into ``target`` and print the line counts."""
+    """Merge equal-named .log files below ``source`` into ``target`` and print the line counts.
+
+    The target may hold other files, but must not lie in the source."""
+    if os.path.join(target, "").startswith(os.path.join(source, "")):
+        raise ValueError(f"the target {target} lies in the source {source}")
     lines = files.read_lines(spark, source, ".log")
-    files.write_merged(lines, target)
-    report = stored(files.inventory(lines), "inventory")
-    report.orderBy("file_name").show(report.count(), truncate=False)
+    write_merged(lines, target)
+    report = files.inventory(lines, files.list_files(spark, source, ".log"))
+    for row in report.orderBy("file_name").toLocalIterator():
+        print(f"{row.file_name or 'all logs'}\t{row.line_count}\t{row.source_count}")
 
 
 def arguments() -> argparse.ArgumentParser:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -40,10 +41,20 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared folder and read them back: computed once, and kept if an
     executor is lost."""
     folder = new_folder(rows.sparkSession, name)
-    rows.write.parquet(folder)
+    rows.write.option("compression", "zstd").parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def remove(spark: SparkSession, pattern: str) -> int:
+    """Delete the folders and files that match a path pattern; returns how many did."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(path) or []
+    for status in found:
+        files.delete(status.getPath(), True)
+    return len(found)
+
+
 def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -61,15 +72,21 @@ def write_partitioned(rows: DataFrame, path: str, partition: str, mode: str = "a
     balanced(rows, partition).write.mode(mode).partitionBy(partition).parquet(path)
 
 
-def write_batch(rows: DataFrame, path: str, partition: str | None, batch_id: int | None = None) -> None:
-    """Write one micro-batch so that writing it again replaces what it wrote before.
+def write_batch(
+    rows: DataFrame, path: str, partition: str | None, batch_id: int | None = None, replaces: Sequence[int] = ()
+) -> None:
+    """Write micro-batches so that writing them again replaces all that they wrote before.
 
-    The batch number is a partition column and only the partitions at hand are
-    overwritten. ``rows`` may carry its own batch_id column.
+    The batch number is a partition column. ``rows`` may carry its own batch_id column; then
+    ``replaces`` lists the batches, also those that have no rows this time. The folders of
+    a batch are deleted first, so a replay with fewer dates or no rows leaves none behind.
     """
     if batch_id is not None:
         rows = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        replaces = (batch_id,)
     keys = [c for c in (partition, BATCH) if c is not None]
+    for batch in replaces:
+        remove(rows.sparkSession, f"{path}/{'*/' if partition else ''}{BATCH}={batch}")
     (
         balanced(rows, *keys)
         .write.mode("overwrite")
@@ -119,13 +136,33 @@ class Lake:
             rows = balanced(rows, partition)
         rows.sparkSession.sql(f"INSERT INTO {self.name(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
-    def write_batch(self, rows: DataFrame, table: str, batch_id: int | None) -> None:
+    def write_batch(self, rows: DataFrame, table: str, batch_id: int | None, replaces: Sequence[int] = ()) -> None:
+        """Replace what a batch wrote and register its partitions in the catalog's table, if
+        there is one."""
         schema, partition = TABLES[table]
         keep = [c for c in schema.fieldNames() if c != BATCH] + ([BATCH] if batch_id is None else [])
-        write_batch(rows.select(*keep), self.path(table), partition, batch_id)
+        write_batch(rows.select(*keep), self.path(table), partition, batch_id, replaces)
+        self.register(rows.sparkSession, table, (batch_id,) if batch_id is not None else replaces)
+
+    def register(self, spark: SparkSession, table: str, batches: Sequence[int]) -> None:
+        """Make the partitions of some batches, and no others of theirs, known to the catalog.
+
+        The folders of a batch are listed, not the whole table as a repair does.
+        """
+        name, (_, partition) = self.name(table), TABLES[table]
+        if not spark.catalog.tableExists(name):
+            return
+        for batch in batches:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({BATCH} = {batch})")
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{'*/' if partition else ''}{BATCH}={batch}")
+            found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+            dates = [status.getPath().getParent().getName().partition("=")[2] for status in found]
+            specs = [f"{partition} = DATE '{d}', {BATCH} = {batch}" for d in dates] if partition else [f"{BATCH} = {batch}"] * len(dates)
+            if specs:
+                spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({s})" for s in specs))
 
     def sync(self, spark: SparkSession, table: str) -> None:
-        """Make partitions written by path known to the catalog."""
+        """Make all partitions of a table known to the catalog, as after a move of its files."""
         spark.catalog.recoverPartitions(self.name(table))
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:

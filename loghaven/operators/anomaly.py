@@ -23,7 +23,6 @@ CLUSTERS = 8
 SEED = 42
 MAX_ITER = 20
 THRESHOLD = 3.0
-BASELINE_ROWS = 10_000
 
 # Above this many terms the distances are evaluated over arrays, because one
 # generated method would grow too large.
@@ -64,11 +63,14 @@ def train(
     """Fit scaler and k-means on a frame that has the feature columns.
 
     The fit passes over its rows some twenty times, so the features alone are spread
-    evenly over all cores and kept for its duration.
+    evenly and kept for its duration, over as many partitions as shuffles have (which a
+    cluster sets by its data) or as there are cores, whichever is more.
     """
     started = time.monotonic()
-    cores = flows.sparkSession.sparkContext.defaultParallelism
-    rows = complete_rows(flows, features).select(*features).repartition(cores).persist()
+    picked = complete_rows(flows, features).select(*features)
+    spark = flows.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = picked.repartition(parts).persist()
     try:
         fitted = Pipeline(
             stages=[
@@ -95,11 +97,14 @@ def train(
     )
 
 
-def baseline_sample(
-    flows: DataFrame, order: Sequence[str], rows: int = BASELINE_ROWS
-) -> DataFrame:
-    """The first ``rows`` complete flows in a stable order, for a notebook baseline."""
-    return flows.dropna(subset=list(RAW_FEATURES)).orderBy(*order).limit(rows)
+def baseline_rows(flows: DataFrame) -> DataFrame:
+    """All complete flows, on which a notebook baseline is fitted."""
+    return flows.dropna(subset=list(RAW_FEATURES))
+
+
+def baseline_sample(flows: DataFrame, order: Sequence[str], rows: int) -> DataFrame:
+    """The first ``rows`` complete flows in a stable order, for a look at a baseline."""
+    return baseline_rows(flows).orderBy(*order).limit(rows)
 
 
 def refit_centers(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,8 +62,9 @@ def beacons(
         & (F.col("std_gap") / F.col("mean_gap") < max_variation)
     )
     if max_bytes is not None:
-        size = flows.groupBy(*key).agg(F.avg("orig_bytes").alias("avg_bytes"))
-        regular = regular.join(size.filter(F.col("avg_bytes") <= max_bytes), list(key)).drop("avg_bytes")
+        size = flows.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.avg("orig_bytes").alias("avg_bytes"))
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+        regular = regular.join(size.filter(F.col("avg_bytes") <= max_bytes), same, "left_semi")
     return regular.select(
         *key,
         (F.col("gaps") + 1).alias("events"),
@@ -150,6 +153,11 @@ def sliding_counts(
     Each row is counted once in its slide; only the slide counts are repeated for
     the windows that hold them. ``width`` must be a multiple of ``slide``.
     """
+    spans = events.sparkSession.range(1).select(
+        *[F.timestamp_diff("MICROSECOND", F.lit(0).cast("timestamp"), F.lit(0).cast("timestamp") + F.expr(f"INTERVAL {x}")) for x in (width, slide)]
+    ).first()
+    if spans[0] % spans[1]:
+        raise ValueError(f"a window of {width} is no multiple of its slide of {slide}")
     at = F.col(time).cast("timestamp")
     slots = events.groupBy(F.window(at, slide).alias("s"), *keys).agg(F.count("*").alias("c"))
     return (

@@ -7,17 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bounds of a table that every executor may hold a copy of.
-BROADCAST_ROWS = 500_000
+# Bounds of a table that every executor may hold a copy of; the bytes decide, and the rows
+# only stop tables of very many tiny rows.
+BROADCAST_ROWS = 8_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 SALTS = 16
 
 
 def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``small`` is within both bounds. Reads at most one row more than allowed;
-    bytes are those of the rows as text."""
+    """Whether ``small`` is within both bounds; bytes are those of the rows as text. One
+    aggregate over the table, so no task gathers its rows."""
     size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in small.columns])))
-    rows, text = small.limit(max_rows + 1).agg(F.count("*"), F.sum(size)).first()
+    rows, text = small.agg(F.count("*"), F.sum(size)).first()
     return rows <= max_rows and (text or 0) <= max_bytes
 
 
@@ -35,8 +36,9 @@ def unique_by_key(table: DataFrame, key: str) -> DataFrame:
 
 
 def spread(rows: DataFrame, salts: int, column: str = "_salt") -> DataFrame:
-    """Give rows an even salt that depends on their content, hence the same on a retry."""
-    return rows.withColumn(column, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    """Give rows an even salt. It is drawn by a fixed seed and the row's place in its task, so a
+    task that is run again draws the same; equal rows spread too, and no column is read for it."""
+    return rows.withColumn(column, F.floor(F.rand(17) * salts).cast("int"))
 
 
 def replicate(rows: DataFrame, salts: int, column: str = "_salt") -> DataFrame:
@@ -155,7 +157,9 @@ def interval_join(
 ) -> DataFrame:
     """Pairs with equal key and ``right_time`` in [left_time, left_time + within].
 
-    The same expression serves batch and, with a watermark on both sides, streams.
+    The same expression serves batch and, with a watermark on both sides, streams. Tables are
+    also joined on time buckets as wide as the interval, a right row in its own bucket and the
+    one before, so a key with many rows meets those of its neighbouring buckets only.
     """
     span = F.expr(f"INTERVAL {within}")
     other = right.withColumnRenamed(key, f"_{key}")
@@ -164,4 +168,11 @@ def interval_join(
         & (F.col(right_time) >= F.col(left_time))
         & (F.col(right_time) <= F.col(left_time) + span)
     )
-    return left.join(other, condition, "inner").drop(f"_{key}")
+    if left.isStreaming or right.isStreaming:
+        return left.join(other, condition, "inner").drop(f"_{key}")
+    zero = F.lit(0).cast("timestamp")
+    width = F.greatest(F.timestamp_diff("MICROSECOND", zero, zero + span), F.lit(1))
+    bucket = lambda time: F.floor(F.unix_micros(F.col(time).cast("timestamp")) / width)
+    left = left.withColumn("_bucket", bucket(left_time))
+    other = other.withColumn("_at", bucket(right_time)).withColumn("_other", F.explode(F.array("_at", F.col("_at") - 1))).drop("_at")
+    return left.join(other, condition & (F.col("_bucket") == F.col("_other")), "inner").drop(f"_{key}", "_bucket", "_other")

@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loghaven.lake import BATCH, remove
+
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
+def table_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, length of the table's data files, from the file listing alone."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.parquet"
+    ).load(path).select("path", "length")
+
+
 def file_stats(spark: SparkSession, path: str, partition: str) -> DataFrame:
-    """Files and bytes per partition value. Reads file footers, no columns."""
-    files = spark.read.option("basePath", path).parquet(path).select(
-        partition, F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")
-    ).distinct()
-    return files.groupBy(partition).agg(F.count("*").alias("files"), F.sum("s").alias("bytes"))
+    """Files and bytes per partition value; no file is opened."""
+    value = F.regexp_extract("path", f"/{partition}=([^/]+)/", 1)
+    return table_files(spark, path).groupBy(value.alias(partition)).agg(
+        F.count("*").alias("files"), F.sum("length").alias("bytes")
+    )
 
 
 def fingerprint(rows: DataFrame) -> DataFrame:
@@ -42,37 +52,41 @@ def sorted_for_pruning(rows: DataFrame, by: Sequence[str], files: int) -> DataFr
 
 def compact(
     spark: SparkSession, path: str, partition: str, value: str, staging: str,
-    by: Sequence[str] = (), target_bytes: int = TARGET_FILE_BYTES,
+    by: Sequence[str] = (), target_bytes: int = TARGET_FILE_BYTES, closed_batch: int | None = None,
 ) -> int:
     """Rewrite one closed partition into files of about ``target_bytes``; returns their number.
 
-    The new files are first written to ``staging`` and compared with the old content,
-    then replace the partition. If the job dies in between, staging holds the rows.
+    Further levels of partitions stay as they are, but ``closed_batch`` folds all batches up
+    to that number into the least of them, whose folder then holds their rows. Such a batch is
+    never replayed, so nothing overwrites them. The new files are first written to ``staging``
+    and compared with the old content, then replace the old folders. If the job dies in
+    between, staging holds the rows.
     """
     table = spark.read.option("basePath", path).parquet(path)
-    old = table.filter(F.col(partition) == F.lit(value).cast(table.schema[partition].dataType))
-    size = (
-        old.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s"))
-        .distinct()
-        .agg(F.sum("s"))
-        .first()[0]
-    )
-    if not size:
+    own = F.col(partition) == F.lit(value).cast(table.schema[partition].dataType)
+    if closed_batch is not None:
+        own = own & (F.col(BATCH) <= closed_batch)
+    old = table.filter(own)
+    files = table_files(spark, path).filter(F.col("path").contains(f"/{partition}={value}/"))
+    if closed_batch is not None:
+        files = files.filter(F.regexp_extract("path", f"/{BATCH}=([0-9]+)/", 1).cast("bigint") <= closed_batch)
+    listed = files.groupBy(F.regexp_extract("path", "^(.*)/", 1).alias("folder")).agg(F.sum("length").alias("length")).collect()
+    if not listed:
         return 0
-    files = max(1, -(-int(size) // target_bytes))
-    rows = sorted_for_pruning(old, by, files) if by else old.repartition(files)
+    n = max(1, -(-sum(r["length"] for r in listed) // target_bytes))
+    levels = re.findall("([^/=]+)=[^/]+", listed[0]["folder"][len(path) :])
+    if closed_batch is not None:
+        least = old.agg(F.min(BATCH)).first()[0]
+        old = old.withColumn(BATCH, F.lit(least).cast(table.schema[BATCH].dataType))
+    rows = sorted_for_pruning(old, by, n) if by else old.repartition(n)
     rows.write.mode("errorifexists").parquet(staging)
     staged = spark.read.schema(old.schema).parquet(staging)
     if fingerprint(staged).first() != fingerprint(old).first():
         raise RuntimeError(f"compaction of {partition}={value} changed the content; see {staging}")
-    (
-        staged.coalesce(files)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    return files
+    for folder in listed:
+        remove(spark, folder["folder"])
+    staged.coalesce(n).write.mode("append").partitionBy(*levels).parquet(path)
+    return n
 
 
 def expire(spark: SparkSession, table: str, partition: str, keep_days: int, today: str) -> list[str]:

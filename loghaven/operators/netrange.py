@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loghaven.functions.net import ipv4_number
-from loghaven.operators.intel import fits_broadcast
+from loghaven.operators.intel import fits_broadcast, salted_join
 
 MAX_BROADCAST_RANGES = 1_000_000
 _ALL = 1 << 32
@@ -80,7 +80,9 @@ def locate(
     ``ranges`` comes from ``disjoint_ranges``. Ranges are keyed by the 2^16-address
     blocks they touch; an address meets its own block only and at most one range
     matches, so no row is repeated. Beyond the broadcast bound the distinct
-    addresses are located first and joined back by address.
+    addresses are located first, and joined back salted by address: addresses and ranges of
+    a block are sorted together and each address takes the range that began last, so a
+    block costs what it holds, however dense its ranges are.
     """
     blocks = ranges.select(
         "first_address",
@@ -107,8 +109,23 @@ def locate(
 
     if fits_broadcast(blocks, max_rows):
         return by_block(rows, F.broadcast(blocks))
-    known = by_block(rows.select(ip).distinct(), blocks)
-    return rows.join(known, ip, "left")
+    none = {"last_address": F.lit(None).cast("bigint"), out: F.lit(None).cast(blocks.schema[out].dataType)}
+    addresses = rows.select(ip).distinct().withColumn("_at", ipv4_number(F.col(ip))).filter(F.col("_at").isNotNull())
+    places = addresses.withColumns({"_block": F.floor(F.col("_at") / F.lit(_BLOCK)), **none})
+    starts = blocks.select(
+        F.lit(None).cast(rows.schema[ip].dataType).alias(ip),
+        F.greatest("first_address", F.col("_block") * F.lit(_BLOCK)).alias("_at"), "_block", "last_address", out,
+    )
+    in_block = Window.partitionBy("_block").orderBy("_at", F.col(ip).asc_nulls_first())
+    begun = F.last(F.when(F.col("last_address").isNotNull(), F.struct("last_address", out)), ignorenulls=True).over(in_block)
+    known = (
+        places.select(ip, "_at", "_block", "last_address", out)
+        .unionByName(starts)
+        .withColumn("_begun", begun)
+        .filter(F.col(ip).isNotNull() & (F.col("_at") <= F.col("_begun.last_address")))
+        .select(ip, F.col(f"_begun.{out}").alias(out))
+    )
+    return salted_join(rows, known, ip, "left")
 
 
 def flow_map(flows: DataFrame, ranges: DataFrame, label: str) -> DataFrame:

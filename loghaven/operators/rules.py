@@ -339,8 +339,9 @@ def error_rate_alarm(
 
 
 def internal_exfiltration(flows: DataFrame, threshold: int = 100_000_000) -> DataFrame:
-    """Private sources whose bytes sent to public destinations exceed the threshold."""
-    outbound = net.is_private(F.col("src_ip")) & ~net.is_private(F.col("dest_ip"))
+    """Private sources whose bytes sent to public destinations exceed the threshold, by real
+    address ranges; text that is no address is neither."""
+    outbound = net.is_private_address(F.col("src_ip")) & ~net.is_private_address(F.col("dest_ip"))
     return (
         flows.filter(outbound)
         .groupBy(F.col("src_ip").alias("matched_value"))

@@ -85,15 +85,16 @@ class FlowDetector:
         scored = anomaly.score(flow_features(rows), model, self.threshold)
         table = to_network_flows(scored, keep=(BATCH,)).persist()
         try:
-            self.lake.write_batch(table, "network_flows", None)
-            self.lake.write_batch(only_anomalies(table), "network_anomalies", None)
+            batches = sorted(r[BATCH] for r in table.select(BATCH).distinct().collect())
+            self.lake.write_batch(table, "network_flows", None, batches)
+            self.lake.write_batch(only_anomalies(table), "network_anomalies", None, batches)
         finally:
             table.unpersist()
 
     def _record(self, batch: DataFrame, model: ClusterModel, batch_id: int) -> None:
         at = batch.select("batch_ts").first()["batch_ts"]
         self.lake.write_batch(
-            anomaly.metrics_row(batch.sparkSession, model, F.lit(at), batch_id), "model_metrics", None
+            anomaly.metrics_row(batch.sparkSession, model, F.lit(at), batch_id), "model_metrics", None, (batch_id,)
         )
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
@@ -120,7 +121,7 @@ class FlowDetector:
             batch.unpersist()
 
     def _cold_start(self, batch: DataFrame, numbered: DataFrame, batch_id: int, store: ModelStore) -> None:
-        write_batch(numbered, self.landing, None)
+        write_batch(numbered, self.landing, None, replaces=(batch_id,))
         landed = self._landed(batch, batch_id)
         if landed.limit(self.cold_start_rows).count() < self.cold_start_rows:
             return

@@ -203,3 +203,64 @@ def test_path_lake_is_visible_in_the_catalog_after_sync(spark, folder):
     lake.write_batch(row, "model_metrics", None)
     lake.sync(spark, "model_metrics")
     assert spark.table("pathy.model_metrics").select("batch_id", "training_id").collect() == [(5, 2)]
+
+
+def test_batches_are_registered_and_replaced_in_the_catalog(spark, folder):
+    lake = Lake(database="regis", location=folder)
+    lake.create_tables(spark)
+    schema = "batch_id bigint, training_id bigint, ingest_ts timestamp, wssse double, training_duration_sec double, training_rows bigint"
+    rows = spark.createDataFrame([(5, 2, TS, 0.5, 1.5, 3), (6, 3, TS, 0.5, 1.5, 3)], schema)
+    lake.write_batch(rows, "model_metrics", None, (5, 6))
+    table = lambda: sorted(spark.table("regis.model_metrics").select("batch_id", "training_id").collect())
+    assert table() == [(5, 2), (6, 3)]
+    lake.write_batch(rows.filter("batch_id = 9"), "model_metrics", None, (6,))
+    assert table() == [(5, 2)]
+
+
+def test_compaction_folds_closed_batches(spark, folder):
+    df = spark.range(300).select(F.col("id"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("d"), (F.col("id") % 4).alias("batch_id"))
+    df.repartition(6).write.partitionBy("d", "batch_id").parquet(folder)
+    content = lambda: U.fingerprint(spark.read.parquet(folder).select("id", "d")).first()
+    before = content()
+    assert U.compact(spark, folder, "d", "2024-01-02", new_folder(spark, "staging"), closed_batch=2) == 1
+    spark.catalog.refreshByPath(folder)
+    assert content() == before
+    rows = spark.read.parquet(folder).filter("d = DATE'2024-01-02'").groupBy("batch_id").count().collect()
+    assert sorted(map(tuple, rows)) == [(0, 75), (3, 25)]
+    assert U.compact(spark, folder, "d", "2024-01-03", new_folder(spark, "staging")) == 1
+    spark.catalog.refreshByPath(folder)
+    assert content() == before
+
+
+def test_width_must_be_a_multiple_of_the_slide(spark):
+    df = spark.createDataFrame([(1, TS)], "k int, at timestamp")
+    with pytest.raises(ValueError):
+        H.sliding_counts(df, "at", ["k"], "5 minutes", "2 minutes")
+
+
+def test_beacons_keep_keys_with_null_parts(spark):
+    rows = [(None, "b", TS + dt.timedelta(minutes=i), 10) for i in range(30)]
+    df = spark.createDataFrame(rows, "src_ip string, dest_ip string, event_time timestamp, orig_bytes long")
+    assert H.beacons(df, key=("src_ip", "dest_ip")).count() == H.beacons(df, key=("src_ip", "dest_ip"), max_bytes=None).count() == 1
+
+
+def test_equal_rows_of_a_hot_key_get_different_salts(spark):
+    df = spark.range(1000).select(F.lit("a").alias("k")).repartition(1)
+    assert I.spread(df, 8).select("_salt").distinct().count() == 8
+
+
+def test_interval_join_of_a_hot_key_by_buckets(spark):
+    times = [TS + dt.timedelta(seconds=37 * i) for i in range(200)]
+    left = spark.createDataFrame([("u", t) for t in times[::3]], "who string, a timestamp")
+    right = spark.createDataFrame([("u", t) for t in times], "who string, b timestamp")
+    got = sorted((r.a, r.b) for r in I.interval_join(left, right, "who", "a", "b", "5 MINUTES").collect())
+    assert got == sorted((a, b) for a in times[::3] for b in times if a <= b <= a + dt.timedelta(minutes=5))
+
+
+def test_private_addresses_by_range(spark):
+    from loghaven.functions import net
+
+    ips = ["10.0.0.1", "172.16.0.1", "172.31.255.255", "172.200.1.1", "172.160.0.1", "192.168.3.4", "8.8.8.8", "x", None]
+    rows = spark.createDataFrame([(i,) for i in ips], "ip string").select(net.is_private_address(F.col("ip")), net.is_private(F.col("ip"))).collect()
+    assert [r[0] for r in rows] == [True, True, True, False, False, True, False, None, None]
+    assert [r[1] for r in rows][:5] == [True] * 5

@@ -38,8 +38,9 @@ def test_every_oracle_belongs_to_a_query():
 
 
 def test_entry_points(spark):
-    assert entry_points.queries().keys() == QUERIES.keys()
-    assert entry_points.oracle_sql() == ORACLES
+    others = entry_points.queries().keys() - QUERIES.keys()
+    assert QUERIES.keys() <= entry_points.queries().keys() and all(q == "pipeline" or q.startswith("op") for q in others)
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
     if os.path.isdir(entry_points.SMOKE_DIR):
         rows = entry_points.entry(spark).collect()
         assert {r.rule_id for r in rows} == {"SIEM-002", "SIEM-004", "SIEM-005", "SIEM-006", "SIEM-007"}
