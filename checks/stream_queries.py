@@ -427,6 +427,39 @@ register(
 )
 
 
+def durable_counts(spark, sf_dir):
+    """The same windows with the state in the durable store, and whether that store wrote it."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    checkpoint = new_folder(spark, "checkpoint")
+    windows.use_durable_state(spark)
+    try:
+        rows = H.tumbling_counts(event_stream(spark, sf_dir), "ts", ["user_id"], watermark="15 minutes")
+        folder = new_folder(spark, "durable")
+        query = (
+            rows.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", checkpoint).option("path", folder).trigger(**ALL).start()
+        )
+        query.awaitTermination()
+        used = query.lastProgress["stateOperators"][0]["customMetrics"]
+    finally:
+        spark.conf.set(key, before)
+    durable = any(name.startswith("rocksdb") for name in used)
+    return spark.read.schema(rows.schema).parquet(folder).withColumn("durable", F.lit(durable))
+
+
+register(
+    "t09_durable_state",
+    durable_counts,
+    "SELECT *, true AS durable FROM ("
+    + _final_windows(
+        """SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+  time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end, user_id, count(*) AS n FROM events GROUP BY ALL"""
+    )
+    + ")",
+)
+
+
 def failed_login_stream(spark, sf_dir):
     logs = parse_logs(views.raw_logs_of(event_stream(spark, sf_dir))).select("ingest_ts", "raw_log", "syslog_host")
     failed = F.col("raw_log").like("%Failed password%")
