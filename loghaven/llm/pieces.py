@@ -13,8 +13,9 @@ apart when merged alone, so every prefix has exactly one last piece that fits th
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -24,114 +25,143 @@ from pyspark.sql import functions as F
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BPE, UNIGRAM = "bpe", "unigram"
-#: Words and pairs remembered by a task; it forgets all and goes on when one is full.
+NONE = float("-inf")
+#: Words, and pairs, remembered by a task; it forgets all and goes on when full.
 MEMORY = 400_000
+#: Texts whose new words are sorted together.
+TEXTS = 500
 
 
 class Pieces:
     """A vocabulary: piece -> (id, score), bytes, the unknown id, and the kind of model."""
 
     def __init__(self, pieces: dict[str, tuple[int, float]], byte_ids: list[int], unknown: int, kind: str):
-        self.id = {p: i for p, (i, _) in pieces.items()}
         self.score = {p: s for p, (_, s) in pieces.items()}
         self.byte_ids, self.unknown, self.kind = byte_ids, unknown, kind
-        self.longest = max(map(len, pieces), default=1)
+        #: Ids of a piece as bytes; other characters are added when they are met.
+        self.code = {p: array("i", [i]).tobytes() for p, (i, _) in pieces.items()}
         joining = set(chain.from_iterable(p for p in pieces if len(p) > 1))
         alone = "" if "\n" in joining else "\n"
         self.words = re.compile(f"{alone or '(?!)'}|{MARK}*[^{MARK}{alone}]+|{MARK}+")
         self.worst = min(self.score.values(), default=0.0) - 10.0
+        #: Whether two pieces stay apart when merged alone, by the first and the second.
         self.apart: dict[str, dict[str, bool]] = {}
         self.pairs = 0
-        self.whole: dict[str, bool] = {}
         lengths: dict[str, set[int]] = {}
         for p in pieces:
             if len(p) > 1:
-                lengths.setdefault(p[-2:], set()).add(len(p))
-        #: Lengths of the pieces that end in these two characters, the longest first.
+                lengths.setdefault(p[-3:], set()).add(len(p))
         self.lengths = {ending: sorted(n, reverse=True) for ending, n in lengths.items()}
+        #: For three characters the lengths that a last piece can have there, the longest first.
+        self.options: dict[str, tuple[int, ...]] = {}
+        self.whole: dict[str, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merge the pair of the best score, the leftmost of equals, until none is a piece."""
-        parts, score = list(text), self.score
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        parts, score = list(text), self.score.get
+        scores = [score(a + b, NONE) for a, b in pairwise(parts)]
+        while scores and (best := max(scores)) > NONE:
+            i = scores.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = score(parts[i - 1] + parts[i], NONE)
+            if i < len(scores):
+                scores[i] = score(parts[i] + parts[i + 1], NONE)
         return parts
 
     def _fits(self, before: str, piece: str) -> bool:
-        known = self.apart.setdefault(before, {}).get(piece)
-        if known is None:
-            if self.pairs >= MEMORY:
-                self.apart.clear()
-                self.apart[before], self.pairs = {}, 0
-            known = self.apart[before][piece] = self.merged(before + piece) == [before, piece]
-            self.pairs += 1
+        """Whether two pieces stay apart; remembered in ``apart``, where it is looked up first."""
+        if self.pairs >= MEMORY:
+            self.apart.clear()
+            self.pairs = 0
+        known = self.apart.setdefault(before, {})[piece] = self.merged(before + piece) == [before, piece]
+        self.pairs += 1
         return known
 
     def _whole(self, piece: str) -> bool:
         """Whether a piece is what its own characters merge to."""
         known = self.whole.get(piece)
         if known is None:
-            known = self.whole[piece] = self.merged(piece) == [piece]
+            known = self.whole[piece] = piece in self.code and self.merged(piece) == [piece]
         return known
 
-    def _merge_step(self, word: str, start: list[int], d: int) -> int:
-        """Start of the last piece of word[:d]."""
-        score, whole, apart = self.score, self.whole, self.apart
-        for n in self.lengths.get(word[d - 2 : d], ()):
-            if n > d:
-                continue
-            j = d - n
-            piece = word[j:d]
-            if piece in score and (whole.get(piece) or self._whole(piece)):
-                if not j:
-                    return j
-                before = word[start[j] : j]
-                known = apart.get(before)
-                fits = known.get(piece) if known is not None else None
-                if self._fits(before, piece) if fits is None else fits:
-                    return j
-        return d - 1
-
-    def segmented(self, words: list[str]) -> Iterator[list[str]]:
-        """Pieces of each word; ``words`` are sorted, so that each prefix is computed once."""
-        start, total, before = [0], [0.0], ""
+    def _options(self, ending: str) -> tuple[int, ...]:
+        """Lengths of the pieces that end in these three characters, or fewer at a word's start."""
+        sizes = set(self.lengths.get(ending, ()))
+        if len(ending) == 3 and ending[1:] in self.lengths:
+            sizes.add(2)
+        found = tuple(n for n in sorted(sizes, reverse=True) if n > 3 or self._whole(ending[-n:]))
+        self.options[ending] = found
+        return found
+
+    def _code(self, char: str) -> bytes:
+        """Ids of a character that is no piece: its bytes, or the unknown id."""
+        ids = [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")] if self.byte_ids else [self.unknown]
+        code = self.code[char] = array("i", ids).tobytes()
+        return code
+
+    def encodings(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of each word as bytes. ``words`` are sorted, which is the depth-first order of
+        their trie: a word goes on from the table of the prefix it shares with the one before.
+        """
+        step = self._merge_step if self.kind == BPE else self._score_step
+        last, code, total, before = [""], [b""], [0.0], ""
         for word in words:
             shared = 0
             for a, b in zip(before, word, strict=False):
                 if a != b:
                     break
                 shared += 1
-            del start[shared + 1 :], total[shared + 1 :]
-            if self.kind == BPE:
-                for d in range(shared + 1, len(word) + 1):
-                    start.append(self._merge_step(word, start, d))
-            else:
-                for d in range(shared + 1, len(word) + 1):
-                    best, at = max(
-                        (total[j] + (self.score[p] if p in self.score else self.worst), -j)
-                        for j in range(max(0, d - self.longest), d)
-                        if (p := word[j:d]) in self.score or j == d - 1
-                    )
-                    start.append(-at)
-                    total.append(best)
-            cuts, d = [], len(word)
-            while d:
-                cuts.append(word[start[d] : d])
-                d = start[d]
-            yield cuts[::-1]
+            del last[shared + 1 :], code[shared + 1 :], total[shared + 1 :]
+            step(word, last, code, total)
+            yield code[-1]
             before = word
 
-    def ids_of(self, piece: str) -> list[int]:
-        if piece in self.id:
-            return [self.id[piece]]
-        return [self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass")] if self.byte_ids else [self.unknown]
+    def _merge_step(self, word: str, last: list[str], code: list[bytes], total: list[float]) -> None:
+        """Go on with the table to the word's end: the last piece and the ids of each prefix."""
+        options, whole, apart, codes = self.options, self.whole, self.apart, self.code
+        for d in range(len(last), len(word) + 1):
+            ending = word[d - 3 : d] if d > 3 else word[:d]
+            sizes = options.get(ending)
+            if sizes is None:
+                sizes = self._options(ending)
+            for n in sizes:
+                j = d - n
+                if j < 0:
+                    continue
+                piece = word[j:d]
+                if n > 3 and (piece not in codes or not (whole.get(piece) or self._whole(piece))):
+                    continue
+                if not j:
+                    break
+                try:
+                    if apart[last[j]][piece]:
+                        break
+                except KeyError:
+                    if self._fits(last[j], piece):
+                        break
+            else:
+                j = d - 1
+                piece = word[j]
+                if piece not in codes:
+                    self._code(piece)
+            last.append(piece)
+            code.append(code[j] + codes[piece])
+
+    def _score_step(self, word: str, last: list[str], code: list[bytes], total: list[float]) -> None:
+        """The same for a unigram model, with the best total score of each prefix."""
+        for d in range(len(last), len(word) + 1):
+            sizes = {1, *self.lengths.get(word[max(0, d - 3) : d], ()), *self.lengths.get(word[max(0, d - 2) : d], ())}
+            best, n = max(
+                (total[d - n] + self.score.get(word[d - n : d], self.worst), n)
+                for n in sizes
+                if n == 1 or (n <= d and word[d - n : d] in self.score)
+            )
+            piece = word[d - n : d]
+            last.append(piece)
+            code.append(code[d - n] + (self.code.get(piece) or self._code(piece)))
+            total.append(best)
 
     def marked(self, text: str | None) -> list[str]:
         return self.words.findall(MARK + text.replace(" ", MARK)) if text else []
@@ -165,20 +195,20 @@ def encoded(text: Column, model: dict) -> Column:
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces, known = Pieces(**model), {}
-        for batch in batches:
-            offsets, parts = [0], []
-            for text in batch:
-                words = pieces.marked(text.as_py())
-                new = sorted({w for w in words if w not in known})
+        for whole_batch in batches:
+            lists = []
+            for at in range(0, len(whole_batch), TEXTS):
+                texts = [pieces.marked(text.as_py()) for text in whole_batch[at : at + TEXTS]]
+                new = set().union(*texts)
                 if len(known) + len(new) > MEMORY:
                     known.clear()
-                    new = sorted(set(words))
-                for word, cut in zip(new, pieces.segmented(new), strict=True):
-                    known[word] = np.fromiter(chain.from_iterable(map(pieces.ids_of, cut)), np.int32).tobytes()
-                parts.append(b"".join(map(known.__getitem__, words)))
-                offsets.append(offsets[-1] + len(parts[-1]) // 4)
-            values = pa.array(np.frombuffer(b"".join(parts), np.int32))
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+                new = sorted(new.difference(known))
+                known.update(zip(new, pieces.encodings(new), strict=True))
+                parts = [b"".join(map(known.__getitem__, words)) for words in texts]
+                offsets = np.cumsum([0, *[len(p) // 4 for p in parts]], dtype=np.int32)
+                values = pa.array(np.frombuffer(b"".join(parts), np.int32))
+                lists.append(pa.ListArray.from_arrays(pa.array(offsets), values))
+            yield pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
 
     return encode(text.cast("string"))
 
@@ -191,13 +221,22 @@ def decoded(ids: Column, model: dict) -> Column:
         name = {i: p.replace(MARK, " ").encode("utf-8", "surrogatepass") for p, (i, _) in model["pieces"].items()}
         name.update({i: bytes([b]) for b, i in enumerate(model["byte_ids"])})
         name[model["unknown"]] = " ⁇ ".encode()
+        # All pieces one after the other, and where each begins and how long it is.
+        rows = [name.get(i, b"") for i in range(max(name) + 2)]
+        letters = np.frombuffer(b"".join(rows), np.uint8)
+        length = np.array([len(r) for r in rows])
+        begin = np.r_[0, np.cumsum(length)[:-1]]
         for batch in batches:
             out = []
             for row in batch:
                 if not row.is_valid:
                     out.append(None)
                     continue
-                whole = b"".join([name.get(i, b"") for i in row.values.to_numpy(zero_copy_only=False).tolist()])
+                ids = np.asarray(row.values.fill_null(-1).to_numpy(zero_copy_only=False))
+                ids = np.where((ids < 0) | (ids >= len(rows)), len(rows) - 1, ids)
+                n = length[ids]
+                at = np.repeat(begin[ids] - np.r_[0, np.cumsum(n)[:-1]][: len(n)], n) + np.arange(n.sum())
+                whole = letters[at].tobytes()
                 out.append((whole[1:] if whole[:1] == b" " else whole).decode("utf-8", "replace"))
             yield pa.array(out, pa.string())
 
