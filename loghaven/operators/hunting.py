@@ -41,7 +41,7 @@ def beacons(
     min_events: int = 20,
     max_variation: float = 0.1,
     max_bytes: int | None = 1_000,
-    slice_seconds: int = 3_600,
+    slice_seconds: int = 60,
 ) -> DataFrame:
     """Keys whose events come at regular intervals with few bytes.
 
@@ -90,7 +90,7 @@ def floods(
 
 def followed_by(
     events: DataFrame, entity: str, time: str, first: Column, then: Column, within_seconds: int,
-    slice_seconds: int = 3_600,
+    slice_seconds: int = 60,
 ) -> DataFrame:
     """For each ``first`` event, the nearest later ``then`` event of its entity within the span.
 
