@@ -21,8 +21,7 @@ def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def keep_by_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the additive model predicts to be good."""
-    stats = stored(gam.with_stats(docs), "model-stats")
-    return gam.classified(stats, gam.learn(stats, _labels(spark, sf_dir))).where("predicted = 1").select(*docs.columns)
+    return gam.quality_model(docs, _labels(spark, sf_dir)).where("predicted = 1").select(*docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

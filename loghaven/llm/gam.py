@@ -15,12 +15,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loghaven.lake import stored
 from loghaven.llm.common import id_remainder
 from loghaven.llm.text_stats import SHARES, with_text_stats
 
 HELD_OUT_MODULUS = 5
 THRESHOLD = 0.3
-#: The most labelled rows that the fit reads, the first by a hash of their id.
+#: Labelled rows that the fit reads: all up to so many, else that many on average, those whose
+#: hashed id is lowest.
 MAX_ROWS = 40_000
 BINS, PAIR_BINS = 32, 8
 ROUNDS, PAIR_ROUNDS, PAIRS = 120, 60, 6
@@ -146,14 +148,16 @@ def scored(model: dict, stats: list[Column]) -> Column:
 def learn(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict:
     """A model from rows with doc_id and the statistics under ``PREFIX``, without those held out.
 
-    At most ``max_rows`` labelled rows are read, the first in the order of a hash, so the fit
-    has the same bound at every size.
+    About ``max_rows`` labelled rows are read, those whose hashed id is below the share that
+    yields so many, so the fit has the same bound at every size and nothing is sorted for it.
     """
     rows = stats.where(F.col("doc_id").isNotNull() & (id_remainder(F.col("doc_id"), HELD_OUT_MODULUS) != 0)).select(
         F.col("doc_id").alias("key"), *[F.col(PREFIX + s).alias(s) for s in SHARES]
     )
     labelled = rows.join(labels.select(F.col("doc_id").alias("key"), "label"), "key")
-    sample = labelled.orderBy(F.xxhash64(F.lit(11), "key"), "key").limit(max_rows).toPandas()
+    share = min(1.0, max_rows / max(1, labelled.count()))
+    place = F.pmod(F.xxhash64(F.lit(11), "key"), F.lit(1 << 40))
+    sample = labelled.where(place < int(share * (1 << 40))).toPandas().sort_values(["key", "label", *SHARES])
     return fit(sample[list(SHARES)].to_numpy(np.float64).reshape(-1, len(SHARES)), sample["label"].to_numpy(np.float64))
 
 
@@ -169,11 +173,19 @@ def classified(stats: DataFrame, model: dict) -> DataFrame:
 
 
 def with_stats(docs: DataFrame) -> DataFrame:
-    """Documents with the statistics that ``learn`` and ``classified`` read.
+    """Documents with the statistics that ``learn`` and ``classified`` read."""
+    return with_text_stats(docs, prefix=PREFIX)
+
 
-    Needs text; null and empty texts count as texts without words and get a score as all
-    others do. Repeated rows are scored alike, an empty table gives no rows, and columns named
-    held_out, score or predicted are replaced by ``classified``. Without labels every score is
-    one half.
+def quality_model(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Documents with held_out, score, predicted.
+
+    Needs doc_id and text; all other columns stay, those of the new names are replaced.
+    ``labels`` has doc_id and label, see ``one_label``. Null and empty texts count as texts
+    without words and get a score as all others do; rows with a null id are scored, never learned
+    from. Repeated rows are scored alike, an empty table gives no rows. Without labels every
+    score is one half. The statistics are written for the fit, without the texts, and made
+    again for the scores.
     """
-    return with_text_stats(docs, prefix=PREFIX)
+    narrow = stored(with_stats(docs.select("doc_id", "text")).drop("text"), "model-stats")
+    return classified(with_stats(docs), learn(narrow, labels, max_rows))

@@ -24,6 +24,7 @@ from loghaven.lake import stored
 from loghaven.llm.common import same_or_null
 from loghaven.llm.components import Union, connected
 from loghaven.llm.shingles import Hasher, mixed, shingles
+from loghaven.operators.intel import fits_broadcast
 
 WORDS = 5
 SIMILARITY = (80, 100)
@@ -34,6 +35,8 @@ RATIO = 1.25
 CHUNK_TOKENS = 1 << 17
 #: Hits of queries and members counted at once in a unit.
 HITS = 1 << 21
+#: Marks or tokens of a batch that a task hands on.
+ROWS = 1 << 17
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -74,9 +77,13 @@ class Classes:
         return out
 
 
-def part_marks(tokens: np.ndarray, classes: Classes) -> np.ndarray:
-    """64-bit marks of a set: two linked sets that are not equal have one in common."""
-    out = []
+def part_marks(tokens: np.ndarray, classes: Classes) -> tuple[np.ndarray, int]:
+    """64-bit marks of a set, and how many of them any other set that it links with has too.
+
+    Of the parts of a class, all but ``most`` are equal in both sets; those that are empty here
+    have no mark.
+    """
+    out, need = [], []
     spread = mixed(tokens + np.uint64(1))
     for k in classes.of(len(tokens)):
         most, n = classes.parts(k)
@@ -88,12 +95,13 @@ def part_marks(tokens: np.ndarray, classes: Classes) -> np.ndarray:
         first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         sums = np.add.reduceat(spread[order], first)
         out.append(mixed(sums * np.uint64(2 * k + 3) + part[first] + np.uint64(k << 40)))
+        need.append(len(first) - most)
         if len(first) <= most:
             # All equal parts of two such sets may be empty ones. Then any so many of their
             # shingles, taken in one order, have one in common.
             prefix = len(spread) - -(-classes.share * len(spread) // classes.whole) + 1
             out.append(mixed(np.partition(spread, prefix - 1)[:prefix] + np.uint64((k << 40) + (1 << 39))))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return np.concatenate([*out, np.zeros(0, np.uint64)]), max(1, min(need, default=1))
 
 
 def _packed(tokens: np.ndarray) -> bytes:
@@ -106,49 +114,82 @@ def _unpacked(data: bytes) -> np.ndarray:
     return cells.view("<u8").ravel()
 
 
-def shingle_sets(docs: DataFrame, words: int, share: int, whole: int) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set; null if empty), tokens and marks.
+def set_node(tokens: np.ndarray) -> int:
+    """The name of a set, equal for equal sets."""
+    return int(mixed(np.add.reduce(mixed(tokens), keepdims=True) + np.uint64(len(tokens))).view(np.int64)[0])
 
-    Tokens are the low 48 bits of the shingles' hashes. Of equal sets within a task only the
-    first has tokens and marks.
-    """
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, classes, seen = Hasher(), Classes(share, whole), set()
-        for whole_batch in batches:
-            for at in range(0, whole_batch.num_rows, 1000):
-                batch = whole_batch.slice(at, 1000)
-                sizes, nodes, tokens, marks = [], [], [], []
-                for text in batch.column(1):
-                    found = shingles(hasher.words(text.as_py()), words)
-                    sizes.append(len(found))
-                    if not len(found):
-                        nodes.append(None), tokens.append(None), marks.append(None)
-                        continue
-                    node = mixed(np.add.reduce(mixed(found), keepdims=True) + np.uint64(len(found))).view(np.int64)[0]
-                    nodes.append(int(node))
-                    if node in seen:
-                        tokens.append(None), marks.append(None)
-                        continue
-                    seen.add(node)
-                    low = np.unique(found & _LOW48)
-                    tokens.append(_packed(low))
-                    marks.append(part_marks(low, classes).view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(nodes, pa.int64()),
-                        pa.array(tokens, pa.binary()),
-                        pa.array(marks, pa.list_(pa.int64())),
-                    ],
-                    ["doc_id", "n_shingles", "node", "tokens", "marks"],
-                )
+def set_nodes(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, n_shingles, node (null for an empty set) of every row."""
+
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            sets = [shingles(hasher.words(text.as_py()), words) for text in batch.column(1)]
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            names = pa.array([set_node(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, names], ["doc_id", "n_shingles", "node"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        sets, f"doc_id {kind}, n_shingles long, node long, tokens binary, marks array<long>"
-    )
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(nodes, f"doc_id {kind}, n_shingles long, node long")
+
+
+def _distinct_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Node and tokens (the low 48 bits of the shingles) of a task's sets, equal ones once."""
+    hasher, seen = Hasher(), set()
+    for batch in batches:
+        for text in batch.column(0):
+            found = shingles(hasher.words(text.as_py()), words)
+            if len(found) and (node := set_node(found)) not in seen:
+                seen.add(node)
+                yield node, np.unique(found & _LOW48)
+
+
+def set_marks(docs: DataFrame, words: int, share: int, whole: int) -> DataFrame:
+    """mark, node, need for every mark of every set."""
+
+    def all_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, names, found, needs, held = Classes(share, whole), [], [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            sizes = [len(f) for f in found]
+            node, need = np.repeat(np.array(names, np.int64), sizes), np.repeat(np.array(needs, np.int32), sizes)
+            mark = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(mark), pa.array(node), pa.array(need)], ["mark", "node", "need"])
+
+        for node, tokens in _distinct_sets(batches, words):
+            marks, need = part_marks(tokens, classes)
+            names.append(node)
+            found.append(marks)
+            needs.append(need)
+            held += len(marks)
+            if held >= ROWS:
+                yield rows()
+                names, found, needs, held = [], [], [], 0
+        yield rows()
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(all_marks, "mark long, node long, need int")
+
+
+def set_tokens(docs: DataFrame, words: int) -> DataFrame:
+    """node, tokens of the sets of some documents."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, sets, held = [], [], 0
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["node", "tokens"])
+
+        for node, found in _distinct_sets(batches, words):
+            names.append(node)
+            sets.append(_packed(found))
+            held += len(found)
+            if held >= ROWS:
+                yield rows()
+                names, sets, held = [], [], 0
+        yield rows()
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(tokens, "node long, tokens binary")
 
 
 def unit_links(units: pd.DataFrame, share: int, whole: int) -> pd.DataFrame:
@@ -200,42 +241,47 @@ def unit_links(units: pd.DataFrame, share: int, whole: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def set_links(sets: DataFrame, share: int, whole: int) -> DataFrame:
-    """a, b: a forest of the links between different sets; ``sets`` as from shingle_sets."""
-    marks = sets.where("marks is not null").select("node", F.explode("marks").alias("mark"))
+def set_links(docs: DataFrame, nodes: DataFrame, words: int, share: int, whole: int) -> DataFrame:
+    """a, b: a forest of the links between different sets; ``nodes`` as from set_nodes.
+
+    Marks go from the texts straight into their exchange, and tokens are made again for the sets
+    that share a mark, so neither is stored for all documents.
+    """
     by_mark = Window.partitionBy("mark")
     shared = stored(
-        marks.select("mark", "node", F.min("node").over(by_mark).alias("least"), F.max("node").over(by_mark).alias("most"))
+        set_marks(docs, words, share, whole)
+        .select("mark", "node", "need", F.min("node").over(by_mark).alias("least"), F.max("node").over(by_mark).alias("most"))
         .where("least < most")
-        .select("mark", "node", "least")
+        .select("mark", "node", "need", "least")
         .distinct(),
         "marks",
     )
     # The group of a set: the least set that it meets, and once more the least which that meets.
     near = shared.groupBy("node").agg(F.min("least").alias("least"))
     further = near.select(F.col("node").alias("least"), F.col("least").alias("further"))
-    homes = near.join(further, "least", "left").select("node", F.coalesce("further", "least").alias("home"))
+    homes = stored(near.join(further, "least", "left").select("node", F.coalesce("further", "least").alias("home")), "homes")
+    ids = stored(nodes.join(homes, "node").groupBy("node").agg(F.min("doc_id").alias("__id")).select("__id").distinct(), "ids")
+    ids = F.broadcast(ids) if fits_broadcast(ids) else ids
+    chosen = docs.select("doc_id", "text").join(ids, same_or_null(F.col("doc_id"), F.col("__id")), "left_semi")
     wanted = stored(
-        homes.join(sets.where("tokens is not null").select("node", "tokens"), "node")
-        .groupBy("node", "home")
-        .agg(F.first("tokens").alias("tokens")),
-        "sets",
+        set_tokens(chosen, words).join(homes, "node").groupBy("node", "home").agg(F.first("tokens").alias("tokens")), "sets"
     )
     room = wanted.groupBy("home").agg(
-        F.ceil(F.sum(F.octet_length("tokens") / 6) / CHUNK_TOKENS).cast("int").alias("chunks")
+        F.ceil(F.sum(F.octet_length("tokens") / 6) / CHUNK_TOKENS).cast("int").alias("chunks"), F.count("*").alias("sets")
     )
     members = stored(
         wanted.select("node", "home").join(room, "home").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")),
         "members",
     )
-    # Queries and groups that share a mark; each pair of groups is asked from the lesser one.
-    met = shared.join(members, "node").select("mark", "node", "home", "chunk", "chunks").distinct()
+    # Queries and groups that share marks enough; each pair of groups is asked from the lesser one.
+    met = shared.join(members, "node").select("mark", "node", "need", "home", "chunk", "chunks", "sets")
     targets = met.select("mark", F.col("home").alias("target"), F.col("chunks").alias("target_chunks")).distinct()
     asked = (
         met.join(targets, "mark")
-        .where("home <= target")
-        .select("node", "home", "chunk", "target", "target_chunks")
-        .distinct()
+        .where("home < target or (home = target and sets > 1)")
+        .groupBy("node", "need", "home", "chunk", "target", "target_chunks")
+        .agg(F.count("*").alias("common"))
+        .where("common >= need")
         .withColumn("target_chunk", F.explode(F.sequence(F.lit(0), F.col("target_chunks") - 1)))
         .where("home < target or chunk <= target_chunk")
     )
@@ -266,9 +312,9 @@ def jaccard_classes(
     are not read, and an empty table gives no rows.
     """
     share, whole = similarity
-    sets = stored(shingle_sets(docs, words, share, whole), "shingles")
-    roots = connected(set_links(sets, share, whole))
-    rows = sets.select("doc_id", "n_shingles", "node").join(roots, "node", "left").select(
+    nodes = stored(set_nodes(docs, words), "nodes")
+    roots = connected(set_links(docs, nodes, words, share, whole))
+    rows = nodes.join(roots, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "node").alias("root")
     )
     # Stored, so that the join has an exchange of its own, which can split a large component.

@@ -116,7 +116,7 @@ def learn_rules(
     """Rules from rows with ``bad`` (0 or 1), ``key`` (splits grow and prune rows) and the
     statistics. No rows, or rows of one label only, give no rules."""
     thresholds = thresholds_of(labelled, stats, bins)
-    thresholds = {s: t for s, t in thresholds.items() if t}
+    thresholds = {s: t for s, t in thresholds.items() if t}  # a statistic of one value has none
     if not thresholds:
         return []
     bin_of = {f"bin_{s}": _bin(F.col(s), ts) for s, ts in thresholds.items()}
@@ -146,24 +146,25 @@ def learn_rules(
     return rules
 
 
-def judged(stats: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, list[Rule]]:
+NEW = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def rules_from(stats: DataFrame, labels: DataFrame, **options) -> list[Rule]:
+    """Rules from rows with doc_id and statistics under ``PREFIX``, and labels (doc_id, label)."""
+    narrow = stats.select(F.col("doc_id").alias("key"), *[F.col(PREFIX + s).alias(s) for s in SHARES])
+    return learn_rules(narrow.join(labels.select(F.col("doc_id").alias("key"), (1 - F.col("label")).alias("bad")), "key"), **options)
+
+
+def judged(stats: DataFrame, rules: list[Rule]) -> DataFrame:
     """Rows with statistics under ``PREFIX`` -> their other columns, the base counts,
-    base_failed and kept; and the rules learned from ``labels`` (doc_id, label)."""
-    new = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    rows = stored(stats, "rule-stats")
-    narrow = rows.select(F.col("doc_id").alias("key"), *[F.col(PREFIX + s).alias(s) for s in SHARES])
-    labelled = narrow.join(labels.select(F.col("doc_id").alias("key"), (1 - F.col("label")).alias("bad")), "key")
-    rules = learn_rules(labelled, **options)
+    base_failed and kept."""
+    others = [c for c in stats.columns if not c.startswith(PREFIX) and c not in (*NEW, "base_failed", "kept")]
     failed = base_failed(PREFIX)
-    others = [c for c in rows.columns if not c.startswith(PREFIX) and c not in (*new, "base_failed", "kept")]
-    return (
-        rows.select(
-            *others,
-            *[F.col(PREFIX + n).alias(n) for n in new],
-            failed.alias("base_failed"),
-            (~failed & kept_by(rules, PREFIX)).alias("kept"),
-        ),
-        rules,
+    return stats.select(
+        *others,
+        *[F.col(PREFIX + n).alias(n) for n in NEW],
+        failed.alias("base_failed"),
+        (~failed & kept_by(rules, PREFIX)).alias("kept"),
     )
 
 
@@ -175,6 +176,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFr
     replaced. ``labels`` has doc_id and label (1: good), see ``one_label``; without labels only
     the base rule rejects. Null texts count as empty, which the base rule rejects; rows with a
     null id are judged, never learned from. Repeated rows are judged alike; an empty table
-    gives none. Rows and statistics are written once to the shared folder.
+    gives none. The statistics are written for the learning, without the texts, and made again
+    for the decision.
     """
-    return judged(with_text_stats(docs, prefix=PREFIX), labels, **options)
+    narrow = stored(with_text_stats(docs.select("doc_id", "text"), prefix=PREFIX).drop("text"), "rule-stats")
+    rules = rules_from(narrow, labels, **options)
+    return judged(with_text_stats(docs, prefix=PREFIX), rules), rules

@@ -26,8 +26,9 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    stats = quality_rules.with_text_stats(docs, prefix=quality_rules.PREFIX).drop("text")
-    return quality_rules.judged(stats, one_label(table(spark, sf_dir, "labels"), "quality"))[0]
+    stats = stored(quality_rules.with_text_stats(docs, prefix=quality_rules.PREFIX).drop("text"), "rule-stats")
+    rules = quality_rules.rules_from(stats, one_label(table(spark, sf_dir, "labels"), "quality"))
+    return quality_rules.judged(stats, rules)
 
 
 def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
