@@ -10,6 +10,7 @@ sees counts per statistic and bin only.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import pairwise
 from math import log2
 
 from pyspark.sql import Column, DataFrame
@@ -61,7 +62,8 @@ def kept_by(rules: list[Rule], prefix: str = "") -> Column:
 
 
 def thresholds_of(rows: DataFrame, stats: tuple[str, ...], bins: int = BINS) -> dict[str, list[float]]:
-    """Candidate thresholds: quantiles of each statistic over the good rows and over the bad."""
+    """Candidate thresholds: halfway between neighbours among the quantiles of each statistic over
+    the good rows and over the bad, so that a rule does not end at the last value seen."""
     steps = [i / bins for i in range(bins + 1)]
     exprs = [
         F.percentile_approx(F.when(F.col("bad") == side, F.col(s)), steps, 10_000).alias(f"{s}|{side}")
@@ -69,7 +71,8 @@ def thresholds_of(rows: DataFrame, stats: tuple[str, ...], bins: int = BINS) ->
         for side in (0, 1)
     ]
     row = rows.agg(*exprs).first()
-    return {s: sorted({float(v) for side in (0, 1) for v in row[f"{s}|{side}"] or []}) for s in stats}
+    seen = {s: sorted({float(v) for side in (0, 1) for v in row[f"{s}|{side}"] or []}) for s in stats}
+    return {s: [(a + b) / 2 for a, b in pairwise(values)] for s, values in seen.items()}
 
 
 def _bin(value: Column, thresholds: list[float]) -> Column:
