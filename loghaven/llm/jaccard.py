@@ -248,14 +248,15 @@ def set_links(docs: DataFrame, nodes: DataFrame, words: int, share: int, whole:
     that share a mark, so neither is stored for all documents.
     """
     by_mark = Window.partitionBy("mark")
-    shared = stored(
-        set_marks(docs, words, share, whole)
-        .select("mark", "node", "need", F.min("node").over(by_mark).alias("least"), F.max("node").over(by_mark).alias("most"))
-        .where("least < most")
-        .select("mark", "node", "need", "least")
-        .distinct(),
-        "marks",
-    )
+    least, most = F.min("node").over(by_mark), F.max("node").over(by_mark)
+
+    def met_again(marks: DataFrame) -> DataFrame:
+        return marks.select("mark", "node", "need", least.alias("least"), most.alias("most")).where("least < most").drop("most")
+
+    met = stored(met_again(set_marks(docs, words, share, whole)).distinct(), "marks")
+    # A set that links shares enough marks with one other set, so with all others together.
+    enough = met.groupBy("node").agg(F.count("*").alias("common"), F.max("need").alias("need")).where("common >= need")
+    shared = stored(met_again(met.drop("least").join(enough.select("node"), "node", "left_semi")), "marks")
     # The group of a set: the least set that it meets, and once more the least which that meets.
     near = shared.groupBy("node").agg(F.min("least").alias("least"))
     further = near.select(F.col("node").alias("least"), F.col("least").alias("further"))
@@ -274,14 +275,20 @@ def set_links(docs: DataFrame, nodes: DataFrame, words: int, share: int, whole:
         "members",
     )
     # Queries and groups that share marks enough; each pair of groups is asked from the lesser one.
-    met = shared.join(members, "node").select("mark", "node", "need", "home", "chunk", "chunks", "sets")
-    targets = met.select("mark", F.col("home").alias("target"), F.col("chunks").alias("target_chunks")).distinct()
-    asked = (
-        met.join(targets, "mark")
-        .where("home < target or (home = target and sets > 1)")
-        .groupBy("node", "need", "home", "chunk", "target", "target_chunks")
-        .agg(F.count("*").alias("common"))
+    marked = shared.select("mark", "node", "need").join(members.select("node", "home"), "node")
+    targets = marked.select("mark", F.col("home").alias("target")).distinct()
+    pairs = (
+        marked.join(targets, "mark")
+        .where("home <= target")
+        .groupBy("node", "target")
+        .agg(F.count("*").alias("common"), F.max("need").alias("need"))
         .where("common >= need")
+        .select("node", "target")
+    )
+    asked = (
+        pairs.join(members.select("node", "home", "chunk", "sets"), "node")
+        .where("home < target or sets > 1")
+        .join(room.select(F.col("home").alias("target"), F.col("chunks").alias("target_chunks")), "target")
         .withColumn("target_chunk", F.explode(F.sequence(F.lit(0), F.col("target_chunks") - 1)))
         .where("home < target or chunk <= target_chunk")
     )
