@@ -1,13 +1,13 @@
 """Language-model scores by a weighted backoff automaton.
 
-States are the root and the words that hold a fixed share of all training words; there are
-1 / share of them at most. A state's arcs are the word pairs seen twice or more from it, with
-absolute discounting; its failure arc leads to the root with the weight that the arcs leave.
-The root has an arc for every word, smoothed by an added count.
-
-Texts are cut into blocks. Each block sends its words and pairs to be counted over the whole
-corpus and gets the counts of just those back: the part of the automaton that its texts can
-reach. So the counts grow with the corpus, and no task holds them all.
+States are the root and all training words. A state's arcs are the word pairs seen twice or
+more from it, with absolute discounting; its failure arc leads to the root with the weight that
+the arcs leave. The root has an arc for every word, smoothed by an added count.
+
+Texts are cut into blocks. Each block sends its words and pairs, by their hashes, to be counted
+over the whole corpus and gets the counts and failure weights of just those back: the part of
+the automaton that its texts can reach. So the counts grow with the corpus, and no task and not
+the driver holds them all.
 """
 
 from __future__ import annotations
@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 
 from loghaven.lake import stored
 from loghaven.llm.common import id_remainder
-from loghaven.llm.shingles import Hasher
+from loghaven.llm.shingles import Hasher, mixed
 
 HELD_OUT_MODULUS = 10
 ADDED = 0.1
 DISCOUNT = 0.75
-#: Words of at least this share of the training words are states.
-STATE_SHARE = 2e-5
+#: Words of at least this share of the training words are states, and arcs lead from states to
+#: states; at 0 there is no limit.
+STATE_SHARE = 0.0
 MIN_PAIR = 2
 #: Characters and documents of a block, unless one document is longer.
 BLOCK_CHARS, BLOCK_DOCS = 6_000_000, 2000
@@ -126,28 +127,58 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     return blocks.select("block", "held_out", "sizes", "words", "tokens").mapInArrow(count, "key long, block long, count long")
 
 
-def pair_counts(blocks: DataFrame, states: np.ndarray) -> DataFrame:
-    """key (pair of states), block, count, as ``word_counts``."""
+def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """64-bit keys of ordered pairs of word hashes."""
+    return mixed(mixed(first) * np.uint64(3) + second).view(np.int64)
+
+
+def _pairs_of(tokens: np.ndarray, sizes: np.ndarray, words: bytes, states: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """A block's states, its pairs (numbers in these states) by token, the distinct ones, and
+    their keys; ``states`` None makes every word of the block one."""
+    mine = np.frombuffer(words, np.uint64)
+    if states is not None:
+        mine = mine[_states_of(words, states) >= 0]
+    pair = _pairs(tokens, sizes, _states_of(words, mine), len(mine))
+    seen = np.unique(pair[pair >= 0])
+    n = max(1, len(mine))
+    return mine, pair, seen, _pair_keys(mine[seen // n], mine[seen % n])
+
+
+def pair_counts(blocks: DataFrame, states: np.ndarray | None) -> DataFrame:
+    """key (hash of both words), first (word hash), block, count, as ``word_counts``. A block's
+    rows come by first word, so that equal ones lie together."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
                 tokens, sizes, trains = _parts(r["sizes"], r["tokens"], r["held_out"])
-                pair = _pairs(tokens, sizes, _states_of(r["words"], states), len(states))
-                seen, of = np.unique(pair[pair >= 0], return_inverse=True)
-                yield _counted(seen, np.bincount(of[trains[pair >= 0]], minlength=len(seen)), r["block"])
-
-    return blocks.select("block", "held_out", "sizes", "words", "tokens").mapInArrow(count, "key long, block long, count long")
+                mine, pair, seen, keys = _pairs_of(tokens, sizes, r["words"], states)
+                of = np.searchsorted(seen, pair[trains & (pair >= 0)])
+                first = mine[seen // max(1, len(mine))].view(np.int64)
+                rows = _counted(keys, np.bincount(of, minlength=len(seen)), r["block"])
+                yield rows.append_column("first", pa.array(first, pa.int64()))
+
+    return blocks.select("block", "held_out", "sizes", "words", "tokens").mapInArrow(
+        count, "key long, block long, count long, first long"
+    )
 
 
-def with_totals(counts: DataFrame) -> DataFrame:
+def with_totals(counts: DataFrame, *more: str) -> DataFrame:
     """Every row with its key's total over all blocks; ``once`` marks one row of each key."""
     by_key = Window.partitionBy("key")
     return counts.select(
-        "key", "block", F.sum("count").over(by_key).alias("total"), (F.min("block").over(by_key) == F.col("block")).alias("once")
+        "key", "block", F.sum("count").over(by_key).alias("total"), (F.min("block").over(by_key) == F.col("block")).alias("once"), *more
     )
 
 
+def frequent_words(blocks: DataFrame, share: float) -> np.ndarray:
+    """Sorted hashes of the words that hold the share of the training words; 1 / share at most."""
+    totals = stored(word_counts(blocks).groupBy("key").agg(F.sum("count").alias("total")), "lm-totals")
+    n = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+    found = totals.where((F.col("total") >= share * max(n, 1)) & (F.col("total") > 0)).select("key").collect()
+    return np.sort(np.array([r["key"] for r in found], np.int64).view(np.uint64))
+
+
 def _text_sums(x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.add.reduceat(x, np.r_[0, np.cumsum(sizes)[:-1]])
 
@@ -193,39 +224,43 @@ def lm_scores(docs: DataFrame, modulus: int = HELD_OUT_MODULUS, state_share: flo
     ``modulus`` is not 0 train; a null id counts as an empty text. Tokens are the words, A-Z in
     lower case, and one end. Null and empty texts have just the end. base_score is the root's
     log10 probability, score the automaton's. Repeated rows train and are scored each; an empty
-    table gives no rows, and without training texts every token has the same probability.
+    table gives no rows, and without training texts every token has the same probability. A
+    ``state_share`` above 0 is a smaller model: only words that hold it are states, and arcs lead
+    from states to states.
     """
     held = docs.select("doc_id", "text", (id_remainder(F.col("doc_id"), modulus) == 0).alias("held_out"))
     blocks = stored(text_blocks(held), "lm-blocks")
-    words = stored(with_totals(word_counts(blocks)), "lm-words")
-    once = words.where("once")
-    n, v = once.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.when(F.col("total") > 0, 1))).first()
-    # At most 1 / state_share words reach the share, whatever the corpus.
-    frequent = once.where((F.col("total") >= state_share * max(n, 1)) & (F.col("total") > 0)).select("key", "total").collect()
-    frequent = sorted((np.uint64(r["key"] & 0xFFFFFFFFFFFFFFFF), r["total"]) for r in frequent)
-    states = np.array([k for k, _ in frequent], np.uint64)
-    state_counts = np.array([c for _, c in frequent], np.float64)
-    pairs = stored(with_totals(pair_counts(blocks, states)).where(F.col("total") >= MIN_PAIR), "lm-pairs")
-    size = max(1, len(states))
-    masses = pairs.where("once").groupBy(F.floor(F.col("key") / size).alias("state")).agg(
-        F.sum(F.col("total") - DISCOUNT).alias("mass")
+    states = frequent_words(blocks, state_share) if state_share > 0 else None
+    pairs = stored(with_totals(pair_counts(blocks, states), "first").where(F.col("total") >= MIN_PAIR), "lm-pairs")
+    masses = pairs.where("once").groupBy(F.col("first").alias("key")).agg(F.sum(F.col("total") - DISCOUNT).alias("mass"))
+    # What a word's arcs take goes to its blocks with its count, in the same exchange.
+    both = word_counts(blocks).withColumn("mass", F.lit(None).cast("double")).unionByName(
+        masses.select("key", F.lit(None).cast("long").alias("block"), F.lit(0).cast("long").alias("count"), "mass")
     )
-    failure = np.ones(len(states))
-    for r in masses.collect():
-        failure[r["state"]] = 1.0 - r["mass"] / state_counts[r["state"]]
-    model = {"n": n, "v": v, "states": states, "state_counts": state_counts, "failure": failure}
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    mass = F.coalesce(F.max("mass").over(Window.partitionBy("key")), F.lit(0.0)).alias("mass")
+    words = stored(with_totals(both, mass).where("block is not null"), "lm-words")
+    n, v = words.where("once").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.when(F.col("total") > 0, 1))).first()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def score(block: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
         out = []
         of_pairs = counts["pair"].to_numpy(bool)
         keys, totals = counts["key"].to_numpy(np.int64), counts["total"].to_numpy(np.int64)
+        names, sums = keys[~of_pairs].view(np.uint64), totals[~of_pairs]
+        arcs, arc_totals = keys[of_pairs], totals[of_pairs]
+        by_name, by_arc = np.argsort(names), np.argsort(arcs)
+        arcs, arc_totals = arcs[by_arc], arc_totals[by_arc]
+        weight = counts["mass"].to_numpy(np.float64)[~of_pairs]
         for r in block.itertuples(index=False):
             tokens, sizes, _ = _parts(r.sizes, r.tokens, r.held_out)
-            automaton = Automaton(
-                keys[~of_pairs].view(np.uint64), totals[~of_pairs], keys[of_pairs], totals[of_pairs], shared.value
-            )
+            mine, _, seen, pair_keys = _pairs_of(tokens, sizes, r.words, states)
+            at = by_name[np.searchsorted(names, mine, sorter=by_name)]
+            left = 1.0 - weight[at] / np.maximum(sums[at], 1)
+            model = {"n": n, "v": v, "states": mine, "state_counts": sums[at].astype(np.float64), "failure": left}
+            place = np.searchsorted(arcs, pair_keys)
+            place[place == len(arcs)] = 0
+            found = arcs[place] == pair_keys if len(arcs) else np.zeros(len(seen), bool)
+            automaton = Automaton(names, sums, seen[found], arc_totals[place[found]], model)
             count, root, p = automaton.read(tokens, sizes)
             out.append(
                 pd.DataFrame(
@@ -234,7 +269,7 @@ def lm_scores(docs: DataFrame, modulus: int = HELD_OUT_MODULUS, state_share: flo
                         "held_out": np.asarray(r.held_out, bool),
                         "n_tokens": sizes,
                         "n_known": _text_sums((count > 0).astype(np.int64), sizes),
-                        "train_tokens": shared.value["n"],
+                        "train_tokens": n,
                         "base_score": _text_sums(root, sizes),
                         "score": _text_sums(p, sizes),
                     }
@@ -242,8 +277,8 @@ def lm_scores(docs: DataFrame, modulus: int = HELD_OUT_MODULUS, state_share: flo
             )
         return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    counted = words.select("block", "key", "total", F.lit(False).alias("pair")).unionByName(
-        pairs.select("block", "key", "total", F.lit(True).alias("pair"))
+    counted = words.select("block", "key", "total", "mass", F.lit(False).alias("pair")).unionByName(
+        pairs.select("block", "key", "total", F.lit(None).cast("double").alias("mass"), F.lit(True).alias("pair"))
     )
     return blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(
         score,

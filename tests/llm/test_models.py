@@ -405,6 +405,15 @@ def test_lm_scores(spark, small_docs, monkeypatch, share, docs_of_a_block):
         assert r[:5] == w[:5] and r[5:] == pytest.approx(w[5:], rel=1e-9)
 
 
+def test_lm_pairs_of_rare_words(spark):
+    """Pairs count however small a share of the training words their words hold."""
+    rows = [(i, "the " * 25_000) for i in range(12)] + [(100 + i, f"the rare pair the {'odd' * (i % 2)} end") for i in range(4)]
+    got = lm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = scores_by_hand(rows, 10, 0)
+    for r, w in zip(sorted(map(tuple, got), key=str), sorted(want, key=str), strict=True):
+        assert r[:5] == w[:5] and r[5:] == pytest.approx(w[5:], rel=1e-9)
+
+
 def test_model_beats_its_base_on_held_out_texts(spark):
     rows = lm.lm_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("held_out")
     r = rows.agg(F.sum("score").alias("model"), F.sum("base_score").alias("base")).first()
