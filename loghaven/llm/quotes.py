@@ -1,17 +1,25 @@
 """Chat formatting by quotation linking.
 
 Lines of a message that begin with ``>`` are quotes, one level per mark. Normalised quoted
-lines are hashed and joined to the lines of earlier messages of the conversation; the message
-that holds most of them is the one replied to, and without quotes it is the message before.
+lines, and the passages that adjacent lines of a level make when joined, are hashed and joined to
+the lines and passages of all earlier messages of the conversation; the message that holds most
+of the quoted lines is the one replied to, the last of equals, and without quotes it is the
+message before. Messages that hold the same quoted lines are one candidate, whose last turn
+before the quote counts, so the work grows with the different ones.
 The conversation then comes in reply order, each message after the one it replies to, as role
 headers and texts without the quotes.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loghaven.lake import stored
+
 MARKS = r"^(?:[ \t]*>)+"
 #: Turns of a slice; a long conversation, or a line that fills one, is cut into slices.
 SLICE = 4096
@@ -34,6 +42,13 @@ def without_quotes(text: Column) -> Column:
     return F.regexp_replace(F.array_join(own, "\n"), r"\A\s*\n|\s+\z", "")
 
 
+def _joined(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``a`` with the other columns of ``b`` where the keys are equal or both null."""
+    named = b.withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return a.join(named, same, how).drop(*[f"__{k}" for k in keys])
+
+
 def _before(rows: DataFrame, keys: list[str], turn: str, value: str, out: str) -> DataFrame:
     """Add the last non-null ``value`` at an earlier turn of the same keys, by slices of turns."""
     rows = rows.withColumn("__slice", F.floor(F.col(turn) / SLICE))
@@ -50,40 +65,81 @@ def _before(rows: DataFrame, keys: list[str], turn: str, value: str, out: str) -
     return rows.join(carried, same, "left").withColumn(out, found).drop("__slice", "__last", "__at", "__carried", *[f"__{k}" for k in keys])
 
 
-def reply_links(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, reply_to, n_quoted, n_linked: one row per conversation and turn."""
+def _lines(messages: DataFrame) -> DataFrame:
+    """conv_id, turn, level, line, passage: hashes of each line that is not blank and of the run
+    of adjacent lines of its level, joined by spaces."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    lines = (
-        messages.select("conv_id", F.col("turn").cast("long").alias("turn"), F.explode(F.split(text, "\n")).alias("line"))
-        .select("conv_id", "turn", quote_level(F.col("line")).alias("level"), F.xxhash64(normalised(F.col("line"))).alias("mark"), normalised(F.col("line")).alias("body"))
-        .where("body <> ''")
+    # These separate runs, a run's level and a run's lines.
+    run, body, line = "\x01", "\x02", "\x03"
+    cells = F.transform(
+        F.split(text, "\n"),
+        lambda x: F.struct(quote_level(x).alias("level"), normalised(F.translate(x, run + body + line, "   ")).alias("body")),
     )
-    # A message and line are one row, whatever they repeat.
-    cells = lines.groupBy("conv_id", "mark", "turn").agg(
-        F.max(F.when(F.col("level") == 0, F.col("turn"))).alias("own"),
-        F.min(F.when(F.col("level") > 0, F.col("level"))).alias("level"),
+    shifted = F.concat(F.array(F.struct(F.lit(-1).alias("level"), F.lit("").alias("body"))), cells)
+    tagged = F.zip_with(
+        cells,
+        shifted,
+        lambda x, last: F.when(F.coalesce(x["body"], F.lit("")) == "", F.lit(""))
+        .when((last["body"] != "") & (last["level"] == x["level"]), F.concat(F.lit(line), x["body"]))
+        .otherwise(F.concat(F.lit(run), x["level"].cast("string"), F.lit(body), x["body"])),
     )
-    # Only lines that some message of the conversation quotes are looked up.
-    quoted = cells.where("level is not null").select("conv_id", "mark").distinct()
-    asked = cells.join(
-        quoted.select(F.col("conv_id").alias("__c"), F.col("mark").alias("__m")),
-        F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("mark") == F.col("__m")),
-        "left_semi",
+    runs = messages.select(
+        "conv_id", F.col("turn").cast("long").alias("turn"), F.explode(F.split(F.array_join(tagged, ""), run)).alias("run")
+    ).where("run <> ''")
+    return runs.select(
+        "conv_id",
+        "turn",
+        F.substring_index("run", body, 1).cast("int").alias("level"),
+        F.xxhash64(F.translate(F.substring_index("run", body, -1), line, " ")).alias("passage"),
+        F.explode(F.split(F.substring_index("run", body, -1), line)).alias("line"),
+    ).withColumn("line", F.xxhash64("line"))
+
+
+def _linked(messages: DataFrame) -> DataFrame:
+    """conv_id, turn, quoted_turn, n_quoted, n_linked of the messages that quote."""
+    lines = _lines(messages)
+    marks = F.explode(F.array_distinct(F.array("line", "passage"))).alias("mark")
+    asked = stored(lines.where("level > 0").select("conv_id", "turn", "line", "level", marks).distinct(), "quotes")
+    # Only what some message of the conversation quotes is looked up.
+    wanted = asked.select("conv_id", "mark").distinct()
+    own = lines.where("level = 0 and turn is not null").select("conv_id", "turn", marks).distinct()
+    held = stored(_joined(own, wanted, ["conv_id", "mark"], "left_semi"), "quoted")
+    first = held.groupBy("conv_id", "mark").agg(F.min("turn").alias("first"))
+    counts = (
+        _joined(asked, first, ["conv_id", "mark"], "left")
+        .groupBy("conv_id", "turn", "line")
+        .agg(F.max(F.coalesce(F.col("first") < F.col("turn"), F.lit(False))).alias("found"))
+        .groupBy("conv_id", "turn")
+        .agg(F.count("*").alias("n_quoted"), F.count(F.when(F.col("found"), 1)).alias("n_linked"))
     )
-    found = _before(asked, ["conv_id", "mark"], "turn", "own", "source").where("level is not null")
-    votes = found.groupBy("conv_id", "turn", "source").agg(F.count("*").alias("votes"), F.min("level").alias("level"))
-    best = F.max(F.when(F.col("source").isNotNull(), F.struct(-F.col("level"), "votes", "source")))
-    linked = votes.groupBy("conv_id", "turn").agg(
-        best["source"].alias("quoted_turn"),
-        F.sum("votes").alias("n_quoted"),
-        F.sum(F.when(F.col("source").isNotNull(), F.col("votes")).otherwise(0)).alias("n_linked"),
+    # Messages that hold the same are one holder, and messages that quote the same one asker.
+    holders = stored(held.groupBy("conv_id", "turn").agg(F.xxhash64(F.array_sort(F.collect_set("mark"))).alias("holder")), "holders")
+    quote = F.struct("line", "level", "mark")
+    askers = stored(asked.groupBy("conv_id", "turn").agg(F.xxhash64(F.array_sort(F.collect_set(quote))).alias("asker")), "askers")
+    holds = _joined(held, holders, ["conv_id", "turn"]).select("conv_id", "holder", "mark").distinct()
+    asks = _joined(asked, askers, ["conv_id", "turn"]).select("conv_id", "asker", "line", "level", "mark").distinct()
+    votes = (
+        _joined(asks, holds, ["conv_id", "mark"])
+        .groupBy("conv_id", "asker", "holder", "line")
+        .agg(F.min("level").alias("level"))
+        .groupBy("conv_id", "asker", "holder")
+        .agg(F.count("*").alias("votes"), F.min("level").alias("level"))
     )
+    candidates = _joined(askers, votes, ["conv_id", "asker"]).select("conv_id", "holder", "turn", "votes", "level")
+    both = stored(candidates.unionByName(holders.withColumn("own", F.col("turn")), allowMissingColumns=True), "candidates")
+    found = _before(both, ["conv_id", "holder"], "turn", "own", "source").where("votes is not null and source is not null")
+    best = found.groupBy("conv_id", "turn").agg(F.max(F.struct(-F.col("level"), "votes", "source"))["source"].alias("quoted_turn"))
+    return _joined(counts, best, ["conv_id", "turn"], "left")
+
+
+def reply_links(messages: DataFrame) -> DataFrame:
+    """conv_id, turn, last_turn, reply_to, n_quoted, n_linked: one row per conversation and turn."""
     turns = messages.select("conv_id", F.col("turn").cast("long").alias("turn")).distinct()
     ordered = _before(turns.withColumn("own", F.col("turn")), ["conv_id"], "turn", "own", "last_turn")
-    links = linked.select(F.col("conv_id").alias("__c"), F.col("turn").alias("__t"), "quoted_turn", "n_quoted", "n_linked")
-    return ordered.join(links, F.col("conv_id").eqNullSafe(F.col("__c")) & F.col("turn").eqNullSafe(F.col("__t")), "left").select(
+    return _joined(ordered, _linked(messages), ["conv_id", "turn"], "left").select(
         "conv_id",
         "turn",
+        "last_turn",
         F.coalesce("quoted_turn", "last_turn").alias("reply_to"),
         F.coalesce("n_quoted", F.lit(0)).alias("n_quoted"),
         F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
@@ -95,7 +151,7 @@ def format_chats(messages: DataFrame) -> DataFrame:
 
     Needs conv_id, turn, role, text; other columns stay, those of the new names are replaced.
     reply_to is a turn of the same conversation, null for its first; n_quoted and n_linked
-    count the message's distinct quoted lines and those found before. body is the text without
+    count the message's distinct quoted lines and those found before, alone or by their passage. body is the text without
     quotes, position the place in reply order from 0 (a reply always has a later turn than what
     it answers; equal turns come by role and text), formatted the role header, body and end
     mark. Null texts count as empty, a null role as ``user``; a null conv_id is a conversation
@@ -104,7 +160,7 @@ def format_chats(messages: DataFrame) -> DataFrame:
     """
     new = ("reply_to", "n_quoted", "n_linked", "body", "position", "formatted")
     kept = [c for c in messages.columns if c not in new]
-    links = reply_links(messages).withColumnsRenamed({"conv_id": "__conv", "turn": "__turn"})
+    links = reply_links(messages).drop("last_turn").withColumnsRenamed({"conv_id": "__conv", "turn": "__turn"})
     rows = messages.select(*kept).withColumn("__at", F.col("turn").cast("long")).withColumn("__slice", F.floor(F.col("__at") / SLICE))
     rows = rows.join(links, F.col("conv_id").eqNullSafe(F.col("__conv")) & F.col("__at").eqNullSafe(F.col("__turn")), "left")
     sizes = messages.groupBy(F.col("conv_id").alias("__c"), F.floor(F.col("turn").cast("long") / SLICE).alias("__s")).agg(F.count("*").alias("n"))

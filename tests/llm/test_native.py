@@ -224,3 +224,43 @@ def test_quotes(spark, monkeypatch, turns_of_a_slice):
         assert [r.position for r in mine] == list(range(len(mine)))
         assert [r.turn for r in mine if r.turn is not None] == sorted(r.turn for r in mine if r.turn is not None)
     assert quotes.format_chats(docs.limit(0)).count() == 0
+
+
+def test_votes_of_all_earlier_messages(spark, monkeypatch):
+    chats = [
+        (1, 1, "alpha one\n\nbeta two"),
+        (1, 2, "alpha one\n\ngamma three"),
+        (1, 3, "> alpha one\n\n> beta two\nyes"),
+        (1, 4, "thanks"),
+        (1, 5, "> gamma three\n> thanks"),
+        (1, 6, "a passage that runs\nover two lines\n\nthanks"),
+        (1, 7, "other words"),
+        (1, 8, "> a passage\n> that runs over\n> TWO lines\nno"),
+    ]
+    got = quotes.format_chats(spark.createDataFrame([(c, t, "user", x) for c, t, x in chats], "conv_id long, turn long, role string, text string"))
+    at = {r.turn: r for r in got.collect()}
+    assert at[3].reply_to == 1  # both lines, where the last holder of alpha has one
+    assert at[5].reply_to == 4  # one line each: the later one
+    assert at[8].reply_to == 6 and (at[8].n_quoted, at[8].n_linked) == (3, 3)
+
+
+@pytest.mark.parametrize("turns_of_a_slice", [4096, 3])
+def test_votes_against_plain_python(spark, monkeypatch, turns_of_a_slice):
+    import random
+
+    monkeypatch.setattr(quotes, "SLICE", turns_of_a_slice)
+    rng = random.Random(5)
+    chats = []
+    for conv in range(3):
+        for turn in range(30):
+            own = rng.sample("abcdef", rng.randint(1, 4))
+            said = rng.sample("abcdef", rng.randint(0, 3))
+            chats.append((conv, turn, own, said))
+    # Blank lines between, so that each line is a passage of its own.
+    rows = [(c, t, "user", "\n\n".join([*(f"> {x}" for x in said), *own])) for c, t, own, said in chats]
+    got = quotes.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    reply = {(r.conv_id, r.turn): r.reply_to for r in got.collect()}
+    for conv, turn, _, said in chats:
+        earlier = [(len(set(said) & set(own)), t) for c, t, own, _ in chats if c == conv and t < turn]
+        votes, best = max(earlier, default=(0, None))
+        assert reply[conv, turn] == (best if votes else turn - 1 if turn else None)
