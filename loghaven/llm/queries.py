@@ -62,11 +62,18 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quoted_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per message: what it replies to, its place, and a digest of its formatted text."""
+    """Per message: what it replies to, its places, digests of its formatted text and of the piece
+    of the conversation that it falls in."""
     rows = quotes.format_chats(table(spark, sf_dir, "conversations"))
-    return rows.select(
-        "conv_id", "turn", "role", "reply_to", "n_quoted", "n_linked", "position", F.crc32(F.col("formatted").cast("binary")).alias("formatted_crc32")
+    rows = stored(rows.select("conv_id", "turn", "role", "reply_to", "n_quoted", "n_linked", "position", "reply_position", "formatted", "piece"), "chats")
+    pieces_of = quotes.chat_texts(rows).select(
+        F.col("conv_id").alias("__conv"), F.col("piece").alias("__piece"), F.crc32(F.col("text").cast("binary")).alias("piece_crc32")
     )
+    same = F.col("conv_id").eqNullSafe(F.col("__conv")) & (F.col("piece") == F.col("__piece"))
+    return rows.join(pieces_of, same, "left").select(
+        "conv_id", "turn", "role", "reply_to", "n_quoted", "n_linked", "position", F.crc32(F.col("formatted").cast("binary")).alias("formatted_crc32"),
+        "reply_position", "piece", "piece_crc32",
+    )
 
 
 def op8_vector_classes(spark: SparkSession, sf_dir: str) -> DataFrame:

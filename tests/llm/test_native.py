@@ -264,3 +264,41 @@ def test_votes_against_plain_python(spark, monkeypatch, turns_of_a_slice):
         earlier = [(len(set(said) & set(own)), t) for c, t, own, _ in chats if c == conv and t < turn]
         votes, best = max(earlier, default=(0, None))
         assert reply[conv, turn] == (best if votes else turn - 1 if turn else None)
+
+
+def walk(replies):
+    """Turns depth first, the earliest answer first."""
+    answers = defaultdict(list)
+    for turn, to in replies.items():
+        answers[to].append(turn)
+    out, left = [], sorted(answers[None], reverse=True)
+    while left:
+        out.append(left.pop())
+        left += sorted(answers[out[-1]], reverse=True)
+    return out
+
+
+@pytest.mark.parametrize("turns_of_a_slice", [4096, 3])
+def test_conversations_in_reply_order(spark, monkeypatch, turns_of_a_slice):
+    import random
+
+    monkeypatch.setattr(quotes, "SLICE", turns_of_a_slice)
+    monkeypatch.setattr(quotes, "PIECE_CHARS", 150)
+    rng = random.Random(11)
+    links = {1: {0: None, 1: 0, 2: 1, 3: 0, 4: 1, 5: 3}, None: {0: None, 1: 0, 2: 0}, 2: {t: t - 1 if t else None for t in range(9)}}
+    links |= {c: {t: rng.randrange(t) if t else None for t in range(25)} for c in (3, 4)}
+    rows = [(c, t, "user", ("" if to is None else f"> said {to}\n") + f"said {t}") for c, of in links.items() for t, to in of.items()]
+    rows += [(1, 3, "user", "> said 0\nonce more"), (4, None, "user", "first")]
+    rng.shuffle(rows)
+    got = quotes.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    no_python(got)
+    found, texts = got.collect(), quotes.chat_texts(got).collect()
+    for conv, of in links.items():
+        mine = sorted((r for r in found if r.conv_id == conv), key=lambda r: r.reply_position)
+        assert {r.turn: r.reply_to for r in mine if r.turn is not None} == of
+        assert [r.reply_position for r in mine] == list(range(len(mine)))
+        want = ([None] if conv == 4 else []) + [t for t in walk(of) for _ in range(1 + ((conv, t) == (1, 3)))]
+        assert [r.turn for r in mine] == want
+        parts = sorted((r.piece, r.text) for r in texts if r.conv_id == conv)
+        assert "\n".join(t for _, t in parts) == "\n".join(r.formatted for r in mine)
+        assert max(len(t) for _, t in parts) < 150 + 60
