@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, pairwise
 
 import numpy as np
@@ -28,8 +28,12 @@ BPE, UNIGRAM = "bpe", "unigram"
 NONE = float("-inf")
 #: Words, and pairs, remembered by a task; it forgets all and goes on when full.
 MEMORY = 400_000
+#: Characters of the remembered words, beyond which a task forgets them too.
+MEMORY_CHARS = 1 << 24
 #: Texts whose new words are sorted together.
 TEXTS = 500
+#: Characters beyond which a word's prefixes do not carry their ids; they are traced back once.
+LONG = 128
 
 
 class Pieces:
@@ -104,10 +108,14 @@ class Pieces:
     def encodings(self, words: list[str]) -> Iterator[bytes]:
         """Ids of each word as bytes. ``words`` are sorted, which is the depth-first order of
         their trie: a word goes on from the table of the prefix it shares with the one before.
+        Long words have a table of their own without ids, so memory grows with their length.
         """
         step = self._merge_step if self.kind == BPE else self._score_step
         last, code, total, before = [""], [b""], [0.0], ""
         for word in words:
+            if len(word) > LONG:
+                yield self._traced(word, step)
+                continue
             shared = 0
             for a, b in zip(before, word, strict=False):
                 if a != b:
@@ -118,8 +126,18 @@ class Pieces:
             yield code[-1]
             before = word
 
+    def _traced(self, word: str, step: Callable[[str, list[str], list[bytes], list[float]], None]) -> bytes:
+        """Ids of one word from the last pieces of its prefixes, from its end to its start."""
+        last, parts, d = [""], [], len(word)
+        step(word, last, [], [0.0])
+        while d:
+            parts.append(self.code[last[d]])
+            d -= len(last[d])
+        return b"".join(reversed(parts))
+
     def _merge_step(self, word: str, last: list[str], code: list[bytes], total: list[float]) -> None:
-        """Go on with the table to the word's end: the last piece and the ids of each prefix."""
+        """Go on with the table to the word's end: the last piece of each prefix, and its ids
+        unless ``code`` is empty."""
         options, whole, apart, codes = self.options, self.whole, self.apart, self.code
         for d in range(len(last), len(word) + 1):
             ending = word[d - 3 : d] if d > 3 else word[:d]
@@ -147,7 +165,8 @@ class Pieces:
                 if piece not in codes:
                     self._code(piece)
             last.append(piece)
-            code.append(code[j] + codes[piece])
+            if code:
+                code.append(code[j] + codes[piece])
 
     def _score_step(self, word: str, last: list[str], code: list[bytes], total: list[float]) -> None:
         """The same for a unigram model, with the best total score of each prefix."""
@@ -160,7 +179,9 @@ class Pieces:
             )
             piece = word[d - n : d]
             last.append(piece)
-            code.append(code[d - n] + (self.code.get(piece) or self._code(piece)))
+            ids = self.code.get(piece) or self._code(piece)
+            if code:
+                code.append(code[d - n] + ids)
             total.append(best)
 
     def marked(self, text: str | None) -> list[str]:
@@ -194,15 +215,17 @@ def encoded(text: Column, model: dict) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces, known = Pieces(**model), {}
+        pieces, known, held = Pieces(**model), {}, 0
         for whole_batch in batches:
             lists = []
             for at in range(0, len(whole_batch), TEXTS):
                 texts = [pieces.marked(text.as_py()) for text in whole_batch[at : at + TEXTS]]
                 new = set().union(*texts)
-                if len(known) + len(new) > MEMORY:
+                if len(known) + len(new) > MEMORY or held > MEMORY_CHARS:
                     known.clear()
+                    held = 0
                 new = sorted(new.difference(known))
+                held += sum(map(len, new))
                 known.update(zip(new, pieces.encodings(new), strict=True))
                 parts = [b"".join(map(known.__getitem__, words)) for words in texts]
                 offsets = np.cumsum([0, *[len(p) // 4 for p in parts]], dtype=np.int32)
@@ -249,7 +272,8 @@ def encode_documents(docs: DataFrame, path: str = MODEL_PATH, text: str = "text"
     Other columns stay; a column named ``out`` is replaced. Null and empty texts have an empty
     list, repeated rows the same list, an empty table gives no rows. Characters outside the
     vocabulary become bytes, or the unknown id where the model has no bytes. A task keeps at
-    most ``MEMORY`` words, whatever the input.
+    most ``MEMORY`` words, and ``MEMORY_CHARS`` characters besides those of ``TEXTS`` texts,
+    whatever the input.
     """
     return docs.drop(*([out] if out != text else [])).withColumn(out, encoded(F.col(text), load_pieces(path)))
 

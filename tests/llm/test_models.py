@@ -186,6 +186,35 @@ def test_odd_texts_as_the_library():
         assert np.frombuffer(b"".join(code[w] for w in vocabulary.marked(t)), np.int32).tolist() == library.encode(t)
 
 
+@needs_model
+def test_unbroken_text():
+    import random
+    import tracemalloc
+
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL_PATH)
+    vocabulary, rng = pieces.Pieces(**pieces.load_pieces()), random.Random(3)
+    for letters, n in (("日本語の文章漢字かな", 20_000), ("日本語の文章漢字かな", 200_000), ("aeinstABC+/019", 200_000)):
+        text = "".join(rng.choices(letters, k=n))
+        tracemalloc.start()
+        code = list(vocabulary.encodings(vocabulary.marked(text)))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 1000 * n  # carried ids would take bytes by the square of the length
+        assert np.frombuffer(b"".join(code), np.int32).tolist() == library.encode(text)
+
+
+@pytest.mark.parametrize("kind", [pieces.BPE, pieces.UNIGRAM])
+def test_long_words_have_the_same_ids(monkeypatch, kind):
+    names = ["▁", "a", "b", "▁a", "ab", "ba", "aba", "▁ab", "bb"]
+    model = {p: (i, -float(1 + i)) for i, p in enumerate(names)}
+    words = sorted({"▁" + "".join(w) for n in range(1, 8) for w in __import__("itertools").product("ab?", repeat=n)})
+    want = list(pieces.Pieces(model, [], 99, kind).encodings(words))
+    monkeypatch.setattr(pieces, "LONG", 4)
+    assert list(pieces.Pieces(model, [], 99, kind).encodings(words)) == want
+
+
 def test_unigram_model_against_all_segmentations():
     scores = {"▁": -3.0, "▁a": -2.0, "a": -4.0, "b": -4.5, "ab": -3.5, "▁ab": -6.1, "ba": -5.0, "aba": -6.5, "bb": -7.0}
     model = pieces.Pieces({p: (i, s) for i, (p, s) in enumerate(scores.items())}, [], 99, pieces.UNIGRAM)
