@@ -25,8 +25,8 @@ def keep_by_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar documents: five words, similarity 0.8."""
-    return jaccard.without_near_copies(docs)
+    """One row of each component of similar documents: five words, similarity 0.8."""
+    return jaccard.without_near_copies(docs, one_row=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -120,7 +120,8 @@ def set_node(tokens: np.ndarray) -> int:
 
 
 def set_nodes(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, node (null for an empty set) of every row."""
+    """doc_id, n_shingles, node (null for an empty set) of every row, and __mark where docs have it."""
+    marked = "__mark" in docs.columns
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -128,10 +129,16 @@ def set_nodes(docs: DataFrame, words: int) -> DataFrame:
             sets = [shingles(hasher.words(text.as_py()), words) for text in batch.column(1)]
             sizes = pa.array([len(s) for s in sets], pa.int64())
             names = pa.array([set_node(s) if len(s) else None for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, names], ["doc_id", "n_shingles", "node"])
+            columns, names_of = [batch.column(0), sizes, names], ["doc_id", "n_shingles", "node"]
+            if marked:
+                columns, names_of = [*columns, batch.column(2)], [*names_of, "__mark"]
+            yield pa.RecordBatch.from_arrays(columns, names_of)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(nodes, f"doc_id {kind}, n_shingles long, node long")
+    more = ["__mark"] if marked else []
+    return docs.select("doc_id", F.col("text").cast("string"), *more).mapInArrow(
+        nodes, f"doc_id {kind}, n_shingles long, node long" + ", __mark long" * marked
+    )
 
 
 def _distinct_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -332,10 +339,30 @@ def jaccard_classes(
 
 
 def without_near_copies(
-    docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY
+    docs: DataFrame, words: int = WORDS, similarity: tuple[int, int] = SIMILARITY, one_row: bool = False
 ) -> DataFrame:
-    """One document of each component, that of the smallest id; all columns stay. Rows that
-    repeat an id stay or go with it."""
-    classes = jaccard_classes(docs, words, similarity)
-    gone = classes.where(~same_or_null(F.col("doc_id"), F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, same_or_null(docs["doc_id"], F.col("__gone")), "left_anti")
+    """One document of each component, that of the smallest id (null is the largest) and then of
+    the smallest text hash; all columns stay. Rows go by id and text, so rows of the same id, or
+    without one, that are not similar do not go with each other. Rows that repeat a document, id
+    (or none) and text, stay or go together; with ``one_row`` one of them stays."""
+    share, whole = similarity
+    mark = F.xxhash64(F.col("text").cast("string"))
+    nodes = stored(set_nodes(docs.select("doc_id", "text", mark.alias("__mark")), words).where("node is not null"), "nodes")
+    roots = connected(set_links(docs, nodes.drop("__mark"), words, share, whole))
+    rows = nodes.join(roots, "node", "left").select("doc_id", "__mark", F.coalesce("root", "node").alias("root"))
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("__mark").alias("mark"))
+    least = stored(rows.groupBy("root").agg(F.min(key).alias("stays")), "least")
+    stays = same_or_null(F.col("doc_id"), F.col("stays.doc_id")) & (F.col("__mark") == F.col("stays.mark"))
+    gone = rows.join(least, "root").where(~stays).select(F.col("doc_id").alias("__gone"), F.col("__mark").alias("__gone_mark")).distinct()
+    same_text = F.xxhash64(docs["text"].cast("string")) == F.col("__gone_mark")
+    kept = docs.join(gone, same_or_null(docs["doc_id"], F.col("__gone")) & same_text, "left_anti")
+    if not one_row:
+        return kept
+    repeated = nodes.groupBy("doc_id", "__mark").count().where("count > 1")
+    repeated = stored(repeated.select(F.col("doc_id").alias("__id"), F.col("__mark").alias("__copy")), "repeated")
+    if repeated.isEmpty():
+        return kept
+    rows = kept.withColumn("__mark", mark)
+    same = same_or_null(F.col("doc_id"), F.col("__id")) & (F.col("__mark") == F.col("__copy"))
+    once = rows.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__mark"])
+    return rows.join(repeated, same, "left_anti").unionByName(once).drop("__mark")

@@ -338,6 +338,19 @@ def test_without_near_copies(odd_docs, no_docs):
     assert jaccard.without_near_copies(no_docs).count() == 0
 
 
+def test_without_near_copies_by_row(spark):
+    """Rows without an id, or with an id of two texts, go by their own text."""
+    a, b, c, d = (prose(200 + i, 40) for i in range(4))
+    rows = [(3, a, "x"), (7, a, "y"), (7, b, "z"), (None, a, "n"), (None, c, "m"), (None, d, "p"), (None, d, "p"), (None, "", "e"), (None, None, "f")]
+    rows += [(None, c + " more", "near"), (3, a, "x")]
+    got = jaccard.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3), one_row=True)
+    found = Counter(tuple(r) for r in got.collect())
+    near = Counter(t for i, t, _ in found.elements() if t in (c, c + " more"))
+    assert sum(near.values()) == 1
+    rest = Counter({r: n for r, n in found.items() if r[1] not in near})
+    assert rest == Counter([(3, a, "x"), (7, b, "z"), (None, d, "p"), (None, "", "e"), (None, None, "f")])
+
+
 # Vectors
 
 
