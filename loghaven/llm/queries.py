@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loghaven.lake import stored, use_utc
-from loghaven.llm import gam, hnsw, jaccard, licenses, lm, mixing, pieces, quality_rules, quotes, sharding
+from loghaven.llm import gam, hnsw, jaccard, licenses, lm, mixing, pieces, quality_rules, quotes, sharding, vafile
 from loghaven.llm.common import one_label
+from loghaven.llm.sql import ORACLES as ORACLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +98,10 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_quality_rules": op2_quality_rules,
@@ -108,6 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_classes": op8_vector_classes,
     "op9_lm_scores": op9_lm_scores,
     "op10_shards": op10_shards,
+    "op11_exact_top_k": op11_exact_top_k,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
