@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loghaven.lake import stored, use_utc
-from loghaven.llm import gam, hnsw, jaccard, licenses, lm, mixing, pieces, quality_rules, quotes, sharding, vafile
+from loghaven.llm import gam, hnsw, jaccard, licenses, lm, mixing, phrases, pieces, quality_rules, quotes, sharding, vafile
 from loghaven.llm.common import one_label
 from loghaven.llm.sql import ORACLES as ORACLES
 
@@ -102,6 +102,10 @@ def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_quality_rules": op2_quality_rules,
@@ -114,5 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scores": op9_lm_scores,
     "op10_shards": op10_shards,
     "op11_exact_top_k": op11_exact_top_k,
+    "op12_collocations": op12_collocations,
     "pipeline": pipeline,
 }

@@ -14,5 +14,41 @@ p as (
 ),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from p)
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5
+""",
+    "op12_collocations": r"""
+with t as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+),
+w as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as ws from t),
+g as (
+  select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i : i + k - 1], ' '))) as phrase
+  from w, range(1, 5) as s(k) where len(ws) >= k
+),
+f as (select lang, k, phrase, cast(count(*) as bigint) as a from g group by lang, k, phrase having count(*) >= 30),
+n as (select lang, cast(sum(len(ws)) as bigint) as n from w group by lang),
+c as (select lang, k, phrase, a, string_split(phrase, ' ') as ws from f where k > 1),
+u as (select c.*, unnest(range(1, k)) as cut from c),
+x as (
+  select u.lang, u.phrase, u.k, u.a, u.cut, l.a as l, r.a as r,
+    cast((2000000 * u.a::hugeint) // (l.a + r.a) as bigint) as score
+  from u
+  join f l on l.lang = u.lang and l.phrase = array_to_string(u.ws[1 : u.cut], ' ')
+  join f r on r.lang = u.lang and r.phrase = array_to_string(u.ws[u.cut + 1 : u.k], ' ')
+),
+b as (select *, row_number() over (partition by lang, phrase order by score, cut) as best from x),
+i as (
+  select lang, a, m, unnest(list_transform(range(1, k - m + 2), lambda p: array_to_string(ws[p : p + m - 1], ' '))) as phrase
+  from c, range(2, 4) as s(m) where m < k
+),
+o as (select lang, phrase, max(a) as longer from i group by lang, phrase),
+k as (
+  select b.lang, b.phrase, b.a, b.l, b.r, n.n, b.score,
+    row_number() over (partition by b.lang order by b.score desc, b.a desc, b.phrase) as rank
+  from b join n on n.lang = b.lang left join o on o.lang = b.lang and o.phrase = b.phrase
+  where b.best = 1 and (o.longer is null or 100 * o.longer < 80 * b.a)
+)
+select lang, cast(rank as bigint) as rank, phrase, a, l, r, n, score from k where rank <= 2000
 """,
 }
