@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loghaven.lake import stored, use_utc
-from loghaven.llm import gam, hnsw, jaccard, licenses, lm, mixing, phrases, pieces, quality_rules, quotes, sharding, vafile
+from loghaven.llm import gam, hnsw, jaccard, licenses, lm, mixing, phrases, pieces, quality_rules, quotes, repair, sharding, vafile
 from loghaven.llm.common import one_label
 from loghaven.llm.sql import ORACLES as ORACLES
 
@@ -106,6 +106,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_repaired_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations")
+    return repair.repair_summaries(repair.damaged(chats), chats)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_quality_rules": op2_quality_rules,
@@ -119,5 +124,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_shards": op10_shards,
     "op11_exact_top_k": op11_exact_top_k,
     "op12_collocations": op12_collocations,
+    "op13_repaired_chats": op13_repaired_chats,
     "pipeline": pipeline,
 }
