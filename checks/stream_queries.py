@@ -10,7 +10,7 @@ from checks import prepared, views
 from checks.log_queries import WINDOW_THRESHOLDS
 from checks.registry import register
 from checks.sql import DETECTED_AT, RULES, rule_select, with_tables
-from loghaven.lake import Lake, new_folder, scan, stored
+from loghaven.lake import FOLDS, Lake, folders, made, move, new_folder, partition_specs, scan, stored
 from loghaven.operators import anomaly as M
 from loghaven.operators import hunting as H
 from loghaven.operators import maintenance as U
@@ -186,6 +186,88 @@ register(
 )
 
 
+def folding(spark, sf_dir):
+    """The lake's readers while a date is folded: rows by date before, with the fold recorded and
+    nothing moved, with the new files moved in and the old ones still there, and afterwards."""
+    lake = landed_lake(spark, "folding", 3, sf_dir=sf_dir)
+    path, staging = lake.path("logs_parsed"), new_folder(spark, "staging")
+
+    def seen(step):
+        rows = lake.read(spark, "logs_parsed").groupBy("ingest_date").agg(F.count("*").alias("n"), F.sum(F.length("raw_log")).alias("characters"))
+        return stored(rows.select(F.lit(step).alias("step"), "*"), "seen")
+
+    steps = [seen("before")]
+    of_date = spark.read.option("basePath", path).parquet(path).where(F.col("ingest_date") == F.to_date(F.lit(COMPACTED)))
+    old = [r["path"] for r in U.table_files(spark, path).collect() if f"/ingest_date={COMPACTED}/" in r["path"]]
+    of_date.withColumn("batch_id", F.lit(0).cast("bigint")).coalesce(1).write.partitionBy("ingest_date", "batch_id").parquet(staging)
+    U.record_fold(spark, path, staging, old)
+    steps.append(seen("recorded"))
+    for row in spark.read.parquet(f"{path}/{FOLDS}/*").where("target is not null").collect():
+        move(spark, row["file"], made(spark, row["target"]))
+    steps.append(seen("moved"))
+    U.resume(spark, path)
+    steps.append(seen("after"))
+    return reduce(lambda a, b: a.unionByName(b), steps)
+
+
+register(
+    "x1_fold_in_progress",
+    folding,
+    with_tables(
+        "logs_parsed",
+        select="""SELECT step, ingest_date, count(*) AS n, CAST(sum(length(raw_log)) AS BIGINT) AS characters
+FROM logs_parsed, (VALUES ('before'), ('recorded'), ('moved'), ('after')) AS s(step) GROUP BY step, ingest_date""",
+    ),
+)
+
+KEEP_DAYS, RETAINED_AT = 7, "2024-01-25"
+
+
+def lake_retention(spark, sf_dir):
+    """Retention of the log job's own tables: rows by date, by path and by catalog, and whether the
+    catalog's partitions are the folders that are left."""
+    lake = landed_lake(spark, "retention", 2, sf_dir=sf_dir)
+    dropped = U.expire_lake(spark, lake, {"logs_parsed": KEEP_DAYS, "alerts": KEEP_DAYS}, RETAINED_AT)["logs_parsed"]
+    name, path = lake.name("logs_parsed"), lake.path("logs_parsed")
+    left = {(s["ingest_date"], s["batch_id"]) for s in partition_specs(spark, name)}
+    there = {tuple(level.split("=")[1] for level in f.rstrip("/").split("/")[-2:]) for f in folders(spark, f"{path}/*/batch_id=*")}
+    agree = left == there and not {d for d, _ in left} & {*dropped} and len(dropped) > 0
+    by_path = lake.read(spark, "logs_parsed").groupBy("ingest_date").agg(F.count("*").alias("by_path"))
+    by_catalog = spark.table(name).groupBy("ingest_date").agg(F.count("*").alias("by_catalog"))
+    return by_path.join(by_catalog, "ingest_date", "full").withColumn("partitions_agree", F.lit(agree))
+
+
+register(
+    "x3_lake_retention",
+    lake_retention,
+    with_tables(
+        "logs_parsed",
+        select=f"""SELECT ingest_date, count(*) AS by_path, count(*) AS by_catalog, true AS partitions_agree FROM logs_parsed
+WHERE ingest_date >= DATE '{RETAINED_AT}' - {KEEP_DAYS} GROUP BY ingest_date""",
+    ),
+)
+
+
+def replayed_with_fewer_dates(spark, sf_dir):
+    """A batch that is replayed with the rows of some dates only: the dates that the catalog lists."""
+    lake = landed_lake(spark, "fewer", 2, sf_dir=sf_dir)
+    logs = parse_logs(views.raw_logs(spark, sf_dir)).withColumn("batch_ts", F.to_timestamp(F.lit(DETECTED_AT)))
+    for batch in range(2):
+        mine = logs.where((F.pmod(F.xxhash64("raw_log"), F.lit(2)) == batch) & (F.dayofmonth("kafka_ts") <= 10))
+        etl.land_batch(mine, batch, lake)
+    name = lake.name("logs_parsed")
+    known = spark.sql(f"SHOW PARTITIONS {name}").select(F.to_date(F.regexp_extract("partition", "ingest_date=([^/]+)", 1)).alias("ingest_date")).distinct()
+    rows = spark.table(name).groupBy("ingest_date").agg(F.count("*").alias("n"))
+    return known.join(rows, "ingest_date", "left")
+
+
+register(
+    "k07_replay_with_fewer_dates",
+    replayed_with_fewer_dates,
+    with_tables("logs_parsed", select="SELECT ingest_date, count(*) AS n FROM logs_parsed WHERE day(ingest_date) <= 10 GROUP BY ingest_date"),
+)
+
+
 def bootstrapped(spark, sf_dir):
     """Create the tables twice, append parsed logs by name, count by date."""
     folder = new_folder(spark, "bootstrap")

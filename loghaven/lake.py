@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,8 @@ from pyspark.sql import types as T
 from loghaven.schemas import TABLES
 
 BATCH = "batch_id"
+#: Below a table, the folds that are being made (``operators.maintenance.compact``).
+FOLDS = "_folds"
 
 
 _own_folder: list[str] = []
@@ -55,6 +58,53 @@ def remove(spark: SparkSession, pattern: str) -> int:
     return len(found)
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders and files that match a path pattern."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [status.getPath().toString() for status in found]
+
+
+def qualified(spark: SparkSession, name: str) -> str:
+    """A path in the form in which file listings give it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def made(spark: SparkSession, file: str) -> str:
+    """The file's name, once its folder exists."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return file
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; on HDFS and local disks readers see either name, never both."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    if not path(source).getFileSystem(spark._jsc.hadoopConfiguration()).rename(path(source), path(target)):
+        raise RuntimeError(f"{source} could not be moved to {target}")
+
+
+def partition_specs(spark: SparkSession, table: str) -> list[dict[str, str]]:
+    """The complete specs of a table's partitions, level by level, as the catalog has them.
+
+    Spark's own catalog drops nothing for a spec that leaves a level out.
+    """
+    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return [dict(level.split("=", 1) for level in r["partition"].split("/")) for r in rows]
+
+
+def drop_partitions(spark: SparkSession, table: str, specs: Sequence[dict[str, str]]) -> None:
+    def constant(value: str) -> str:
+        if value == "__HIVE_DEFAULT_PARTITION__":
+            return "NULL"
+        return "'" + unquote(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    for at in range(0, len(specs), 200):
+        listed = [", ".join(f"`{k}` = {constant(v)}" for k, v in spec.items()) for spec in specs[at : at + 200]]
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION ({x})" for x in listed))
+
+
 def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
@@ -147,13 +197,15 @@ class Lake:
     def register(self, spark: SparkSession, table: str, batches: Sequence[int]) -> None:
         """Make the partitions of some batches, and no others of theirs, known to the catalog.
 
-        The folders of a batch are listed, not the whole table as a repair does.
+        The folders of a batch are listed, not the whole table as a repair does, and what the
+        catalog still has of a batch without a folder is dropped by its complete spec.
         """
         name, (_, partition) = self.name(table), TABLES[table]
         if not spark.catalog.tableExists(name):
             return
+        known = [s for s in partition_specs(spark, name) if int(s[BATCH]) in {*batches}]
+        drop_partitions(spark, name, known)
         for batch in batches:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({BATCH} = {batch})")
             path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{'*/' if partition else ''}{BATCH}={batch}")
             found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
             dates = [status.getPath().getParent().getName().partition("=")[2] for status in found]
@@ -166,10 +218,22 @@ class Lake:
         spark.catalog.recoverPartitions(self.name(table))
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        """A table by path, in its declared columns; empty before the first write."""
+        """A table by path, in its declared columns; empty before the first write. While a fold is
+        made, its files count in place of those that it replaces."""
         schema, _ = TABLES[table]
+        path = self.path(table)
         try:
-            rows = spark.read.schema(schema).option("basePath", self.path(table)).parquet(self.path(table))
+            rows = spark.read.schema(schema).option("basePath", path).parquet(path)
+            for fold in folders(spark, f"{path}/{FOLDS}/*"):
+                listed = spark.read.parquet(fold).collect()
+                target = next(r["target"] for r in listed if r["target"] is not None)
+                depth = target[len(qualified(spark, path)) :].count("/")  # a task names its files alike in all folders
+                old = ["/".join(r["file"].split("/")[-depth:]) for r in listed if r["target"] is None]
+                rows = rows.where(~F.substring_index("_metadata.file_path", "/", -depth).isin(old)).select(*schema.fieldNames())
+                staged = [r["file"] for r in listed if r["target"] is not None and folders(spark, r["file"])]
+                if staged:
+                    base = staged[0].rsplit("/", depth)[0]
+                    rows = rows.unionByName(spark.read.schema(schema).option("basePath", base).parquet(*staged).select(*schema.fieldNames()))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
