@@ -15,6 +15,7 @@ collision of hashes lets a phrase through but changes no count.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ INSIDE_PERCENT = 80
 SCORE_SCALE = 2_000_000
 TOP = 2000
 #: Bytes parsed at once, bytes of chunks merged in a task, characters of a block, hashes of a part.
-SLICE, MERGED, BLOCK_CHARS, PART_HASHES = 4_000_000, 24_000_000, 6_000_000, 2_000_000
+SLICE, MERGED, BLOCK_CHARS, PART_HASHES = 1_000_000, 8_000_000, 3_000_000, 500_000
 
 #: 1: between words, 2: between pieces.
 _BREAK = np.zeros(256, np.int8)
@@ -127,19 +128,29 @@ def parse(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+        texts: dict[str, list[bytes]] = {}
+        waiting: Counter[str] = Counter()
+
+        def cut(lang: str) -> Iterator[pa.RecordBatch]:
+            nonlocal held, size
+            for data in _slices(texts.pop(lang)):
+                chunks, goes_on = chunks_of(data)
+                held.append(pa.table({"lang": pa.array([lang] * len(chunks), pa.string()), "chunk": chunks, "goes_on": goes_on}))
+                size += len(data)
+                if size >= MERGED:
+                    yield from merged(held)
+                    held, size = [], 0
+            del waiting[lang]
+
         for batch in batches:
-            by_lang: dict[str, list[bytes]] = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if text.is_valid:
-                    by_lang.setdefault(lang, []).append(text.as_buffer().to_pybytes().translate(LOWER))
-            for lang, texts in by_lang.items():
-                for data in _slices(texts):
-                    chunks, goes_on = chunks_of(data)
-                    held.append(pa.table({"lang": pa.array([lang] * len(chunks), pa.string()), "chunk": chunks, "goes_on": goes_on}))
-                    size += len(data)
-                    if size >= MERGED:
-                        yield from merged(held)
-                        held, size = [], 0
+                    texts.setdefault(lang, []).append(text.as_buffer().to_pybytes().translate(LOWER))
+                    waiting[lang] += len(texts[lang][-1])
+                    if waiting[lang] >= SLICE:
+                        yield from cut(lang)
+        for lang in list(texts):
+            yield from cut(lang)
         yield from merged(held)
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)), F.col("text").cast("string"))
@@ -284,7 +295,7 @@ def _counted(block: int, size: int, hashes: np.ndarray, n: np.ndarray, parts: in
     """Sorted hashes and counts, cut into the parts of the range of hashes that sum them."""
     part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     first = np.flatnonzero(np.r_[np.ones(min(len(part), 1), bool), part[1:] != part[:-1]])
-    ends = np.r_[first[1:], len(part)]
+    ends = np.r_[first[1:], len(part)][: len(first)]
     return _table(
         len(first), size=pa.array([size] * len(first), pa.int32()), part=pa.array(part[first], pa.int64()), block=pa.array([block] * len(first), pa.int64()),
         hashes=pa.array([hashes[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
