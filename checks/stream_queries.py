@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from checks import prepared, views
 from checks.log_queries import WINDOW_THRESHOLDS
 from checks.registry import register
-from checks.sql import DETECTED_AT, RULES, rule_select, with_tables
+from checks.sql import DETECTED_AT, RULES, rnd, rule_select, with_tables
 from loghaven.lake import FOLDS, Lake, folders, made, move, new_folder, partition_specs, scan, stored
+from loghaven.functions.numeric import rounded
 from loghaven.operators import anomaly as M
+from loghaven.operators import features as P
 from loghaven.operators import hunting as H
 from loghaven.operators import maintenance as U
 from loghaven.operators import rules as R
@@ -20,7 +22,7 @@ from loghaven.operators.logs import parse_logs
 from loghaven.plans import dashboards as D
 from loghaven.sources import streams
 from loghaven.streaming import etl, windows
-from loghaven.streaming.detector import FlowDetector, NotebookDetector, flow_stream
+from loghaven.streaming.detector import DecayingDetector, FlowDetector, NotebookDetector, flow_stream
 from loghaven.streaming.models import ModelStore
 
 ALL = {"availableNow": True}
@@ -453,6 +455,86 @@ def cold_start(spark, sf_dir):
     return _by_proto(lake.read(spark, "network_flows"))
 
 
+# Means and deviations of the baseline, and how many points its centers stand for.
+BASE_MEAN, BASE_STD, BASE_WEIGHT, DECAY = (1.25, 15.0, 7.5, 0.75, 0.1), (0.5, 0.75, 1.0, 0.4375, 0.3125), 100.0, 0.9
+
+
+def _tens(column):
+    """Which third of the month a flow arrived in."""
+    return F.least(F.floor((F.dayofmonth(column) - 1) / 10), F.lit(2)).cast("int")
+
+
+def flow_thirds(spark, sf_dir):
+    """Flow records in three files, one for each third of the month, in that order."""
+
+    def write(folder):
+        rows = prepared.flow_json(views.flows(spark, sf_dir)).select(
+            F.lit(streams.FLOW_TOPIC).alias("topic"), F.col("kafka_ts").alias("timestamp"), F.col("raw_log").cast("binary").alias("value")
+        )
+        for third in range(3):
+            rows.where(_tens("timestamp") == third).coalesce(1).write.mode("append").parquet(folder)
+
+    return prepared.written(spark, sf_dir, "flow_thirds", write)
+
+
+def decaying_lake(spark, sf_dir):
+    """A lake filled by the job with moving centers, stopped after the first batch and restarted."""
+
+    def write(folder):
+        source, staged = flow_thirds(spark, sf_dir), new_folder(spark, "decaying")
+        base = M.ClusterModel(P.FEATURES, BASE_MEAN, BASE_STD, tuple(map(tuple, views.CENTERS)), (BASE_WEIGHT,) * len(views.CENTERS))
+        files = sorted((third, f) for third, f in (
+            (r["third"], r["file"]) for r in spark.read.parquet(source).select(_tens("timestamp").alias("third"), F.input_file_name().alias("file")).distinct().collect()
+        ))
+        for step in ((0,), (1, 2)):
+            for third, file in files:
+                if third in step:
+                    spark.read.parquet(file).coalesce(1).write.mode("append").parquet(staged)
+            records = streams.read_record_files(spark, staged, (streams.FLOW_TOPIC,), max_files_per_trigger=1)
+            DecayingDetector(Lake(location=folder), base, DECAY).start(records, f"{folder}/checkpoint", ALL).awaitTermination()
+
+    return Lake(location=prepared.written(spark, sf_dir, "decaying_lake", write))
+
+
+def decaying_centers(spark, sf_dir):
+    """The centers and weights after each batch."""
+    models = ModelStore(spark, f"{decaying_lake(spark, sf_dir).location}/decayed_models").table()
+    each = models.select("trained_at_batch", F.posexplode(F.arrays_zip("centers", "weights")).alias("cluster_id", "x"))
+    return each.select(
+        F.col("trained_at_batch").alias("batch_id"), "cluster_id", rounded(F.col("x.weights"), 4).alias("weight"),
+        *[rounded(F.col("x.centers")[i], 4).alias(f"c{i}") for i in range(5)],
+    )
+
+
+def _decayed_sql():
+    """Three updates in turn, each assigning its third of the flows to the centers of the one before."""
+    z = ", ".join(f"({c} - {m!r}) / {s!r} AS z{i}" for i, (c, m, s) in enumerate(zip(("a", "b", "c", "is_dst_external", "is_src_server"), BASE_MEAN, BASE_STD)))
+    extra = {
+        "each": f"SELECT least((day(kafka_ts) - 1) // 10, 2) AS third, {z} FROM featured",
+        "points": "SELECT third, z0, z1, z2, z3, z4, count(*) AS n FROM each GROUP BY ALL",
+        "m0": " UNION ALL ".join(f"SELECT {n} AS id, CAST({BASE_WEIGHT} AS DOUBLE) AS w, " + ", ".join(f"CAST({x} AS DOUBLE) AS o{i}" for i, x in enumerate(c)) for n, c in enumerate(views.CENTERS)),
+    }
+    for step in range(3):
+        gap = " + ".join(f"(z{i} - o{i}) * (z{i} - o{i})" for i in range(5))
+        sums = ", ".join(f"sum(n * z{i}) AS s{i}" for i in range(5))
+        extra[f"near{step}"] = f"""SELECT z0, z1, z2, z3, z4, any_value(n) AS n, arg_min(id, (d, id)) AS id FROM (
+    SELECT p.*, id, {gap} AS d FROM points p, m{step} WHERE third = {step}) GROUP BY z0, z1, z2, z3, z4"""
+        extra[f"sums{step}"] = f"SELECT id, sum(n) AS m, {sums} FROM near{step} GROUP BY id"
+        moved = ", ".join(f"(o{i} * w * {DECAY} + coalesce(s{i}, 0)) / (w * {DECAY} + coalesce(m, 0)) AS o{i}" for i in range(5))
+        extra[f"m{step + 1}"] = f"SELECT c.id, w * {DECAY} + coalesce(m, 0) AS w, {moved} FROM m{step} c LEFT JOIN sums{step} s ON s.id = c.id"
+    rows = [
+        f"SELECT CAST({step} AS BIGINT) AS batch_id, CAST(id AS INT) AS cluster_id, {rnd('w', 4)} AS weight, " + ", ".join(f"{rnd(f'o{i}', 4)} AS c{i}" for i in range(5)) + f" FROM m{step + 1}"
+        for step in range(3)
+    ]
+    return with_tables("featured", select=" UNION ALL ".join(rows), extra=extra)
+
+
+register("m12_moving_centers", decaying_centers, _decayed_sql())
+register(
+    "m12_flows_scored_once",
+    lambda s, d: _by_proto(decaying_lake(s, d).read(s, "network_flows")).select("proto", "n"),
+    with_tables("flows", select="SELECT proto, count(*) AS n FROM flows GROUP BY proto"),
+)
 register("m07_cold_start", cold_start, _FLOWS_BY_PROTO)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -168,3 +170,62 @@ class NotebookDetector:
                 store.save(ClusterModel(**{**vars(refitted), "trained_at_batch": batch_id}))
         finally:
             batch.unpersist()
+
+
+class DecayingDetector:
+    """Scores flows against centers that move with every batch instead of being refitted.
+
+    The scaling stays that of the baseline. A batch is scored with the centers of the batch
+    before, then each center moves to the mean of its old place, weighted by all points it has
+    seen and discounted, and of the batch's points. The discount is ``decay`` per batch, or with
+    ``half_life`` that after which so many rows count half. Centers and weights are one row of the
+    model store for each batch, and a batch takes the newest row of an earlier one: a restarted
+    job goes on from there, and a replayed batch moves the centers once, not twice.
+    """
+
+    def __init__(
+        self,
+        lake: Lake,
+        baseline: ClusterModel,
+        decay: float = 1.0,
+        half_life: float | None = None,
+        threshold: float = anomaly.THRESHOLD,
+    ):
+        self.lake = lake
+        self.baseline = baseline
+        self.decay = decay
+        self.half_life = half_life
+        self.threshold = threshold
+
+    @property
+    def path(self) -> str:
+        return f"{self.lake.location}/decayed_models"
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        store = ModelStore(batch.sparkSession, self.path)
+        batch = flow_features(batch).persist()
+        try:
+            rows = batch.count()
+            model = store.latest(before_batch=batch_id) or self.baseline
+            flows = to_network_flows(anomaly.score(batch, model, self.threshold)).persist()
+            try:
+                self.lake.write_batch(flows, "network_flows", batch_id)
+                self.lake.write_batch(only_anomalies(flows), "network_anomalies", batch_id)
+            finally:
+                flows.unpersist()
+            if rows:
+                decay = self.decay if self.half_life is None else 0.5 ** (rows / self.half_life)
+                moved = anomaly.decayed_model(batch, model, decay)
+                store.save(replace(moved, trained_at_batch=batch_id, training_rows=rows))
+        finally:
+            batch.unpersist()
+
+    def start(self, records: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+        return (
+            flow_stream(records)
+            .writeStream.outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or TRIGGER))
+            .foreachBatch(self.process)
+            .start()
+        )
