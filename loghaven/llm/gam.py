@@ -148,15 +148,16 @@ def scored(model: dict, stats: list[Column]) -> Column:
 def learn(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> dict:
     """A model from rows with doc_id and the statistics under ``PREFIX``, without those held out.
 
-    About ``max_rows`` labelled rows are read, those whose hashed id is below the share that
-    yields so many, so the fit has the same bound at every size and nothing is sorted for it.
+    Rows equal in id and statistics count once. About ``max_rows`` distinct labelled rows are read,
+    those whose hash is below the share that yields so many, so the fit has the same bound at every
+    size, also if one id is on most rows, and nothing is sorted for it.
     """
     rows = stats.where(F.col("doc_id").isNotNull() & (id_remainder(F.col("doc_id"), HELD_OUT_MODULUS) != 0)).select(
         F.col("doc_id").alias("key"), *[F.col(PREFIX + s).alias(s) for s in SHARES]
     )
-    labelled = rows.join(labels.select(F.col("doc_id").alias("key"), "label"), "key")
+    labelled = stored(rows.join(labels.select(F.col("doc_id").alias("key"), "label"), "key").distinct(), "model-labelled")
     share = min(1.0, max_rows / max(1, labelled.count()))
-    place = F.pmod(F.xxhash64(F.lit(11), "key"), F.lit(1 << 40))
+    place = F.pmod(F.xxhash64(F.lit(11), "key", *SHARES), F.lit(1 << 40))
     sample = labelled.where(place < int(share * (1 << 40))).toPandas().sort_values(["key", "label", *SHARES])
     return fit(sample[list(SHARES)].to_numpy(np.float64).reshape(-1, len(SHARES)), sample["label"].to_numpy(np.float64))
 

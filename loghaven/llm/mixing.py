@@ -25,11 +25,60 @@ SEED = 20240229
 SLICE_BITS = 10
 
 
+#: Repeats of a document that one task lays out.
+REPEATS = 1 << 16
+
+
 def queue_place(doc_id: Column, text: Column, seed: int = SEED) -> Column:
-    """Place in the shuffled queue; rows equal in id and text share it."""
+    """Place in the shuffled queue of the first row of a document; see ``repeat_place``."""
     return F.xxhash64(F.lit(seed), doc_id, text)
 
 
+def repeat_place(place: Column, number: Column) -> Column:
+    """Place of the row of that number, from 0, among those equal in id and text."""
+    return F.when(number == 0, place).otherwise(F.xxhash64(place, number))
+
+
+def queue_of(groups: DataFrame) -> DataFrame:
+    """One row per row of the table, from rows equal in all columns and their number ``n``.
+
+    Each repeat has a place of its own, so a repeated document is taken as often as its source's
+    cut says. Many repeats are laid out by many tasks.
+    """
+    last = lambda n, size: F.floor((n - 1) / F.lit(size)).cast("long")
+    zero = F.lit(0).cast("long")
+    blocks = groups.withColumn("block", F.explode(F.sequence(zero, last(F.col("n"), REPEATS))))
+    blocks = blocks.repartition("place", "block")
+    start = F.col("block") * REPEATS
+    end = F.least(F.col("n"), start + REPEATS) - 1
+    rows = blocks.withColumn("number", F.explode(F.sequence(start, end)))
+    return rows.withColumn("place", repeat_place(F.col("place"), F.col("number"))).drop("n", "block", "number")
+
+
+def numbered(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows with ``__place`` for each repeat; ``groups`` has source, place and n as ``queue_of`` needs.
+
+    Only rows of repeated documents are stored and numbered, in two levels: by the part of the
+    table where they lie, then by the parts before it.
+    """
+    repeated = groups.where("n > 1").select(F.col("source").alias("__source"), F.col("place").alias("__of"))
+    if repeated.isEmpty():
+        return rows
+    same = F.col("source").eqNullSafe(F.col("__source")) & (F.col("__place") == F.col("__of"))
+    many = stored(rows.join(repeated, same, "left_semi").withColumn("__part", F.spark_partition_id()), "mix-repeats")
+    keys = ["source", "__place"]
+    before = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = many.groupBy(*keys, "__part").agg(F.count("*").alias("__n"))
+    offsets = parts.select(
+        F.col("source").alias("__source"), F.col("__place").alias("__of"), F.col("__part").alias("__in"),
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
+    )
+    inside = F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(F.lit(0)))
+    many = many.withColumn("__number", inside - 1).join(offsets, same & (F.col("__part") == F.col("__in")))
+    place = repeat_place(F.col("__place"), F.col("__number") + F.col("__offset"))
+    return rows.join(repeated, same, "left_anti").unionByName(many.withColumn("__place", place).select(*rows.columns))
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """source, source_size -> also rank, weight, target and the budget, the sum of targets.
 
@@ -132,8 +181,8 @@ def mix_sources(
     Needs doc_id, text, source; all other columns are kept unless ``bare``, which returns only
     doc_id and source with the new ones. Columns of the new names are replaced. Documents
     without words have size 0 and no copies, a null text counts as empty, null sources are one
-    source, and an empty table gives none. Rows equal in id and text are in the queue together:
-    all or none of them get a copy. Reruns give the same mix.
+    source, and an empty table gives none. Rows equal in id and text each have a place in the queue,
+    so as many of them get a copy as the cut says. Reruns give the same mix.
     """
     new = ("size", "source_size", "target", "copies")
     kept = ["doc_id", "source"] if bare else [c for c in docs.columns if c not in new]
@@ -141,11 +190,13 @@ def mix_sources(
     sized = docs.select(
         *(["doc_id", "source"] if bare else kept), F.size(words_of(F.col("text"))).cast("long").alias("size"), place.alias("__place")
     )
-    narrow = stored(sized.select(*(["doc_id"] if bare else []), "source", "size", F.col("__place").alias("place")), "mix-queue")
-    cuts = source_cuts(narrow, weights, share, cap, bits).withColumnsRenamed(
+    narrow = sized.select("doc_id", "source", "size", F.col("__place").alias("place")) if bare else sized.select("source", "size", F.col("__place").alias("place"))
+    groups = stored(narrow.groupBy(*narrow.columns).agg(F.count("*").alias("n")), "mix-groups")
+    queue = queue_of(groups)
+    cuts = source_cuts(queue.select("source", "size", "place"), weights, share, cap, bits).withColumnsRenamed(
         {"key": "__key", "no_source": "__no_source", "cuts": "__cuts"}
     )
-    rows = narrow.withColumnRenamed("place", "__place") if bare else sized
+    rows = queue.withColumnRenamed("place", "__place") if bare else numbered(sized, groups)
     keyed = rows.withColumns({"__key": F.coalesce("source", F.lit("")), "__no_source": F.col("source").isNull()})
     taken = F.size(F.filter("__cuts", lambda cut: F.col("__place") <= cut))
     return keyed.join(cuts, ["__key", "__no_source"], "left").select(

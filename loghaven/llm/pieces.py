@@ -26,12 +26,13 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BPE, UNIGRAM = "bpe", "unigram"
 NONE = float("-inf")
-#: Words, and pairs, remembered by a task; it forgets all and goes on when full.
-MEMORY = 400_000
-#: Characters of the remembered words, beyond which a task forgets them too.
-MEMORY_CHARS = 1 << 24
-#: Texts whose new words are sorted together.
-TEXTS = 500
+#: Bytes of all that a task remembers: words, endings, whole pieces, pairs and other characters. When
+#: they are full it forgets all of these together and goes on.
+MEMORY = 48 << 20
+#: Estimated bytes of an entry besides its text, and of a pair's first piece.
+ENTRY, FIRST = 240, 300
+#: Texts, and characters unless one text has more, whose new words are sorted together.
+TEXTS, TEXT_CHARS = 500, 1 << 20
 #: Characters beyond which a word's prefixes do not carry their ids; they are traced back once.
 LONG = 128
 
@@ -50,7 +51,11 @@ class Pieces:
         self.worst = min(self.score.values(), default=0.0) - 10.0
         #: Whether two pieces stay apart when merged alone, by the first and the second.
         self.apart: dict[str, dict[str, bool]] = {}
-        self.pairs = 0
+        #: Characters outside the vocabulary that were met.
+        self.others: list[str] = []
+        #: Ids of the words met, and the bytes of all that is remembered.
+        self.known: dict[str, bytes] = {}
+        self.held = 0
         lengths: dict[str, set[int]] = {}
         for p in pieces:
             if len(p) > 1:
@@ -74,19 +79,35 @@ class Pieces:
                 scores[i] = score(parts[i] + parts[i + 1], NONE)
         return parts
 
+    def forget(self, words: bool = True) -> None:
+        """Forget what is remembered; without ``words``, those of the texts at hand stay."""
+        for memory in (self.options, self.whole, self.apart):
+            memory.clear()
+        for char in self.others:
+            del self.code[char]
+        self.others.clear()
+        if words:
+            self.known.clear()
+        self.held = sum(ENTRY + 4 * len(w) for w in self.known)
+
+    def _hold(self, size: int) -> None:
+        """Room for one more entry. Called before it is made, so what was just met stays."""
+        self.held += size
+        if self.held > 2 * MEMORY:
+            self.forget(words=False)
+            self.held += size
+
     def _fits(self, before: str, piece: str) -> bool:
         """Whether two pieces stay apart; remembered in ``apart``, where it is looked up first."""
-        if self.pairs >= MEMORY:
-            self.apart.clear()
-            self.pairs = 0
+        self._hold(ENTRY + (FIRST if before not in self.apart else 0))
         known = self.apart.setdefault(before, {})[piece] = self.merged(before + piece) == [before, piece]
-        self.pairs += 1
         return known
 
     def _whole(self, piece: str) -> bool:
         """Whether a piece is what its own characters merge to."""
         known = self.whole.get(piece)
         if known is None:
+            self._hold(ENTRY)
             known = self.whole[piece] = piece in self.code and self.merged(piece) == [piece]
         return known
 
@@ -96,12 +117,15 @@ class Pieces:
         if len(ending) == 3 and ending[1:] in self.lengths:
             sizes.add(2)
         found = tuple(n for n in sorted(sizes, reverse=True) if n > 3 or self._whole(ending[-n:]))
+        self._hold(ENTRY)
         self.options[ending] = found
         return found
 
     def _code(self, char: str) -> bytes:
         """Ids of a character that is no piece: its bytes, or the unknown id."""
         ids = [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")] if self.byte_ids else [self.unknown]
+        self._hold(ENTRY)
+        self.others.append(char)
         code = self.code[char] = array("i", ids).tobytes()
         return code
 
@@ -131,7 +155,7 @@ class Pieces:
         last, parts, d = [""], [], len(word)
         step(word, last, [], [0.0])
         while d:
-            parts.append(self.code[last[d]])
+            parts.append(self.code.get(last[d]) or self._code(last[d]))
             d -= len(last[d])
         return b"".join(reversed(parts))
 
@@ -184,6 +208,17 @@ class Pieces:
                 code.append(code[d - n] + ids)
             total.append(best)
 
+    def ids_of(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of whole texts as bytes; new words are encoded together and remembered."""
+        words = [self.marked(text) for text in texts]
+        if self.held > MEMORY:
+            self.forget()
+        new = sorted(set().union(*words).difference(self.known))
+        for word, code in zip(new, self.encodings(new), strict=True):
+            self.known[word] = code
+            self.held += ENTRY + 4 * len(word) + len(code)
+        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+
     def marked(self, text: str | None) -> list[str]:
         return self.words.findall(MARK + text.replace(" ", MARK)) if text else []
 
@@ -210,27 +245,52 @@ def load_pieces(path: str = MODEL_PATH) -> dict:
     }
 
 
+def _together(batch: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a batch, a few at a time."""
+    texts, size = [], 0
+    for text in batch:
+        texts.append(text.as_py())
+        size += len(texts[-1] or "")
+        if len(texts) >= TEXTS or size >= TEXT_CHARS:
+            yield texts
+            texts, size = [], 0
+    if texts:
+        yield texts
+
+
+def _lists(parts: list[bytes]) -> pa.Array:
+    offsets = np.cumsum([0, *[len(p) // 4 for p in parts]], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+
+
+class Letters:
+    """The bytes of every id, one after the other, and where each begins and how long it is."""
+
+    def __init__(self, model: dict):
+        name = {i: p.replace(MARK, " ").encode("utf-8", "surrogatepass") for p, (i, _) in model["pieces"].items()}
+        name.update({i: bytes([b]) for b, i in enumerate(model["byte_ids"])})
+        name[model["unknown"]] = " ⁇ ".encode()
+        rows = [name.get(i, b"") for i in range(max(name) + 2)]
+        self.letters = np.frombuffer(b"".join(rows), np.uint8)
+        self.length = np.array([len(r) for r in rows])
+        self.begin = np.r_[0, np.cumsum(self.length)[:-1]]
+
+    def text(self, ids: np.ndarray) -> str:
+        ids = np.where((ids < 0) | (ids >= len(self.length)), len(self.length) - 1, ids)
+        n = self.length[ids]
+        at = np.repeat(self.begin[ids] - np.r_[0, np.cumsum(n)[:-1]][: len(n)], n) + np.arange(n.sum())
+        whole = self.letters[at].tobytes()
+        return (whole[1:] if whole[:1] == b" " else whole).decode("utf-8", "replace")
+
+
 def encoded(text: Column, model: dict) -> Column:
     """array<int>: the ids of each whole text; null and empty texts have none."""
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces, known, held = Pieces(**model), {}, 0
-        for whole_batch in batches:
-            lists = []
-            for at in range(0, len(whole_batch), TEXTS):
-                texts = [pieces.marked(text.as_py()) for text in whole_batch[at : at + TEXTS]]
-                new = set().union(*texts)
-                if len(known) + len(new) > MEMORY or held > MEMORY_CHARS:
-                    known.clear()
-                    held = 0
-                new = sorted(new.difference(known))
-                held += sum(map(len, new))
-                known.update(zip(new, pieces.encodings(new), strict=True))
-                parts = [b"".join(map(known.__getitem__, words)) for words in texts]
-                offsets = np.cumsum([0, *[len(p) // 4 for p in parts]], dtype=np.int32)
-                values = pa.array(np.frombuffer(b"".join(parts), np.int32))
-                lists.append(pa.ListArray.from_arrays(pa.array(offsets), values))
+        pieces = Pieces(**model)
+        for batch in batches:
+            lists = [_lists(pieces.ids_of(texts)) for texts in _together(batch)]
             yield pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
 
     return encode(text.cast("string"))
@@ -241,29 +301,31 @@ def decoded(ids: Column, model: dict) -> Column:
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        name = {i: p.replace(MARK, " ").encode("utf-8", "surrogatepass") for p, (i, _) in model["pieces"].items()}
-        name.update({i: bytes([b]) for b, i in enumerate(model["byte_ids"])})
-        name[model["unknown"]] = " ⁇ ".encode()
-        # All pieces one after the other, and where each begins and how long it is.
-        rows = [name.get(i, b"") for i in range(max(name) + 2)]
-        letters = np.frombuffer(b"".join(rows), np.uint8)
-        length = np.array([len(r) for r in rows])
-        begin = np.r_[0, np.cumsum(length)[:-1]]
+        letters = Letters(model)
         for batch in batches:
-            out = []
-            for row in batch:
-                if not row.is_valid:
-                    out.append(None)
-                    continue
-                ids = np.asarray(row.values.fill_null(-1).to_numpy(zero_copy_only=False))
-                ids = np.where((ids < 0) | (ids >= len(rows)), len(rows) - 1, ids)
-                n = length[ids]
-                at = np.repeat(begin[ids] - np.r_[0, np.cumsum(n)[:-1]][: len(n)], n) + np.arange(n.sum())
-                whole = letters[at].tobytes()
-                out.append((whole[1:] if whole[:1] == b" " else whole).decode("utf-8", "replace"))
-            yield pa.array(out, pa.string())
+            rows = (row.values.fill_null(-1).to_numpy(zero_copy_only=False) if row.is_valid else None for row in batch)
+            yield pa.array([None if ids is None else letters.text(np.asarray(ids)) for ids in rows], pa.string())
+
+    return decode(ids.cast("array<int>"))
+
+
+def round_trip(text: Column, model: dict) -> Column:
+    """struct<ids, decoded>: what ``encoded`` and then ``decoded`` give, by one worker."""
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pieces, letters = Pieces(**model), Letters(model)
+        for batch in batches:
+            lists, texts = [], []
+            for some in _together(batch):
+                parts = pieces.ids_of(some)
+                lists.append(_lists(parts))
+                texts.append(pa.array([letters.text(np.frombuffer(p, np.int32)) for p in parts], pa.string()))
+            ids = pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
+            back = pa.concat_arrays(texts) if texts else pa.array([], pa.string())
+            yield pa.StructArray.from_arrays([ids, back], ["ids", "decoded"])
 
-    return decode(ids)
+    return both(text.cast("string"))
 
 
 def encode_documents(docs: DataFrame, path: str = MODEL_PATH, text: str = "text", out: str = "ids") -> DataFrame:
@@ -271,9 +333,8 @@ def encode_documents(docs: DataFrame, path: str = MODEL_PATH, text: str = "text"
 
     Other columns stay; a column named ``out`` is replaced. Null and empty texts have an empty
     list, repeated rows the same list, an empty table gives no rows. Characters outside the
-    vocabulary become bytes, or the unknown id where the model has no bytes. A task keeps at
-    most ``MEMORY`` words, and ``MEMORY_CHARS`` characters besides those of ``TEXTS`` texts,
-    whatever the input.
+    vocabulary become bytes, or the unknown id where the model has no bytes. A task remembers about
+    ``MEMORY`` bytes, twice that at most besides the words of the ``TEXTS`` texts at hand.
     """
     return docs.drop(*([out] if out != text else [])).withColumn(out, encoded(F.col(text), load_pieces(path)))
 

@@ -47,7 +47,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: the number and a digest of its piece ids, and what they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = pieces.decode_documents(pieces.encode_documents(docs))
+    both = pieces.round_trip(F.col("text"), pieces.load_pieces())
+    rows = docs.withColumn("both", both).select("doc_id", "text", "both.ids", "both.decoded")
     whole = F.translate(F.coalesce("text", F.lit("")), pieces.MARK, " ")
     return rows.select(
         "doc_id",
