@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,25 +16,37 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_label(spark.read.parquet(f"{sf_dir}/labels.parquet"), "quality")
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Documents whose other columns have private names, so that no operator replaces them, and the way
+    back to the columns of the documents."""
+    names = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text", "source")}
+    back = [F.col(names.get(c, c)).alias(c) for c in docs.columns]
+    return docs.toDF(*[names.get(c, c) for c in docs.columns]), lambda rows: rows.select(*back)
+
+
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule and the learned decision list keep."""
-    return quality_rules.quality_rules(docs, _labels(spark, sf_dir))[0].where("kept").select(*docs.columns)
+    rows, back = _apart(docs)
+    return back(quality_rules.quality_rules(rows, _labels(spark, sf_dir))[0].where("kept"))
 
 
 def keep_by_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the additive model predicts to be good."""
-    return gam.quality_model(docs, _labels(spark, sf_dir)).where("predicted = 1").select(*docs.columns)
+    rows, back = _apart(docs)
+    return back(gam.quality_model(rows, _labels(spark, sf_dir)).where("predicted = 1"))
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of similar documents: five words, similarity 0.8."""
-    return jaccard.without_near_copies(docs, one_row=True)
+    rows, back = _apart(docs)
+    return back(jaccard.without_near_copies(rows, one_row=True))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    mixed = mixing.mix_sources(docs).where("copies > 0")
-    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    rows, back = _apart(docs)
+    mixed = mixing.mix_sources(rows).where("copies > 0")
+    return back(mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), "copies"))))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
