@@ -26,11 +26,12 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 BPE, UNIGRAM = "bpe", "unigram"
 NONE = float("-inf")
-#: Bytes of all that a task remembers: words, endings, whole pieces, pairs and other characters. When
-#: they are full it forgets all of these together and goes on.
-MEMORY = 48 << 20
-#: Estimated bytes of an entry besides its text, and of a pair's first piece.
-ENTRY, FIRST = 240, 300
+#: Bytes of all that a task remembers. Half of it is for words, of which those not met since it was
+#: last half full go; when endings, whole pieces, pairs and other characters fill the rest, all of
+#: these are forgotten.
+MEMORY = 112 << 20
+#: Estimated bytes of a word besides its text, of another entry, and of a first piece of pairs.
+ENTRY, OTHER, FIRST = 240, 160, 300
 #: Texts, and characters unless one text has more, whose new words are sorted together.
 TEXTS, TEXT_CHARS = 500, 1 << 20
 #: Characters beyond which a word's prefixes do not carry their ids; they are traced back once.
@@ -53,9 +54,10 @@ class Pieces:
         self.apart: dict[str, dict[str, bool]] = {}
         #: Characters outside the vocabulary that were met.
         self.others: list[str] = []
-        #: Ids of the words met, and the bytes of all that is remembered.
+        #: Ids of the words met, of those met before, and the bytes of the first and of the rest.
         self.known: dict[str, bytes] = {}
-        self.held = 0
+        self.before: dict[str, bytes] = {}
+        self.held_words = self.held = 0
         lengths: dict[str, set[int]] = {}
         for p in pieces:
             if len(p) > 1:
@@ -79,27 +81,24 @@ class Pieces:
                 scores[i] = score(parts[i] + parts[i + 1], NONE)
         return parts
 
-    def forget(self, words: bool = True) -> None:
-        """Forget what is remembered; without ``words``, those of the texts at hand stay."""
+    def forget(self) -> None:
+        """Forget endings, whole pieces, pairs and other characters."""
         for memory in (self.options, self.whole, self.apart):
             memory.clear()
         for char in self.others:
             del self.code[char]
         self.others.clear()
-        if words:
-            self.known.clear()
-        self.held = sum(ENTRY + 4 * len(w) for w in self.known)
+        self.held = 0
 
     def _hold(self, size: int) -> None:
         """Room for one more entry. Called before it is made, so what was just met stays."""
+        if self.held + size > MEMORY // 2:
+            self.forget()
         self.held += size
-        if self.held > 2 * MEMORY:
-            self.forget(words=False)
-            self.held += size
 
     def _fits(self, before: str, piece: str) -> bool:
         """Whether two pieces stay apart; remembered in ``apart``, where it is looked up first."""
-        self._hold(ENTRY + (FIRST if before not in self.apart else 0))
+        self._hold(OTHER + (FIRST if before not in self.apart else 0))
         known = self.apart.setdefault(before, {})[piece] = self.merged(before + piece) == [before, piece]
         return known
 
@@ -107,7 +106,7 @@ class Pieces:
         """Whether a piece is what its own characters merge to."""
         known = self.whole.get(piece)
         if known is None:
-            self._hold(ENTRY)
+            self._hold(OTHER)
             known = self.whole[piece] = piece in self.code and self.merged(piece) == [piece]
         return known
 
@@ -117,14 +116,14 @@ class Pieces:
         if len(ending) == 3 and ending[1:] in self.lengths:
             sizes.add(2)
         found = tuple(n for n in sorted(sizes, reverse=True) if n > 3 or self._whole(ending[-n:]))
-        self._hold(ENTRY)
+        self._hold(OTHER)
         self.options[ending] = found
         return found
 
     def _code(self, char: str) -> bytes:
         """Ids of a character that is no piece: its bytes, or the unknown id."""
         ids = [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")] if self.byte_ids else [self.unknown]
-        self._hold(ENTRY)
+        self._hold(OTHER)
         self.others.append(char)
         code = self.code[char] = array("i", ids).tobytes()
         return code
@@ -211,12 +210,14 @@ class Pieces:
     def ids_of(self, texts: list[str | None]) -> list[bytes]:
         """Ids of whole texts as bytes; new words are encoded together and remembered."""
         words = [self.marked(text) for text in texts]
-        if self.held > MEMORY:
-            self.forget()
-        new = sorted(set().union(*words).difference(self.known))
-        for word, code in zip(new, self.encodings(new), strict=True):
+        if self.held_words > MEMORY // 4:
+            self.known, self.before, self.held_words = {}, self.known, 0
+        met = set().union(*words).difference(self.known)
+        again = met.intersection(self.before)
+        new = sorted(met.difference(again))
+        for word, code in chain(((w, self.before[w]) for w in again), zip(new, self.encodings(new), strict=True)):
             self.known[word] = code
-            self.held += ENTRY + 4 * len(word) + len(code)
+            self.held_words += ENTRY + 4 * len(word) + len(code)
         return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
     def marked(self, text: str | None) -> list[str]:
@@ -334,7 +335,7 @@ def encode_documents(docs: DataFrame, path: str = MODEL_PATH, text: str = "text"
     Other columns stay; a column named ``out`` is replaced. Null and empty texts have an empty
     list, repeated rows the same list, an empty table gives no rows. Characters outside the
     vocabulary become bytes, or the unknown id where the model has no bytes. A task remembers about
-    ``MEMORY`` bytes, twice that at most besides the words of the ``TEXTS`` texts at hand.
+    ``MEMORY`` bytes besides the words of the ``TEXTS`` texts at hand, whatever the input.
     """
     return docs.drop(*([out] if out != text else [])).withColumn(out, encoded(F.col(text), load_pieces(path)))
 

@@ -66,12 +66,12 @@ def test_the_memory_of_the_encoder_is_bounded(monkeypatch):
     for _ in range(60):
         texts = ["".join(chr(rng.randint(0x3400, 0x9FFF)) for _ in range(400)) + f" w{rng.random()}" for _ in range(5)]
         got = encoder.ids_of(texts)
-        entries = len(encoder.options) + len(encoder.whole) + sum(map(len, encoder.apart.values())) + len(encoder.known) + len(encoder.code) - base
-        held.append(entries)
-        assert encoder.held <= 3 * pieces.MEMORY
-    plain.held = -(1 << 60)  # never forgets
+        entries = len(encoder.options) + len(encoder.whole) + sum(map(len, encoder.apart.values())) + len(encoder.known) + len(encoder.before)
+        held.append(entries + len(encoder.code) - base)
+        assert encoder.held + encoder.held_words <= 2 * pieces.MEMORY
+    plain.held = plain.held_words = -(1 << 60)  # never forgets
     assert got == plain.ids_of(texts)
-    assert max(held[30:]) <= 1.1 * max(held[:30]) and max(held) * pieces.ENTRY <= 3 * pieces.MEMORY
+    assert max(held[30:]) <= 1.1 * max(held[:30]) and max(held) * pieces.OTHER <= 3 * pieces.MEMORY
 
 
 def test_round_trip_is_encoding_and_decoding(spark, odd_docs):
