@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from checks import prepared, views
 from checks.log_queries import TODAY
-from checks.registry import register
+from checks.registry import ORACLES, register
 from checks.sql import rnd, with_tables
 from loghaven.lake import new_folder, stored
 from loghaven.operators import hunting as H
 from loghaven.operators import intel as I
 from loghaven.operators import maintenance as U
 from loghaven.operators import netrange as N
+from loghaven.operators import sketches as S
+from loghaven.streaming.beacons import BeaconState
 
 SRC = ["src_ip", "dest_ip", "dest_port", "orig_bytes"]
 
@@ -48,6 +50,62 @@ register(
 )
 
 
+def hot_match(spark, sf_dir):
+    """Flows of which one source holds far more than a task's share, by a shuffled join."""
+    return I.hot_key_join(_flows(spark, sf_dir), by_source(spark, sf_dir).distinct(), "src_ip", "left", parts=64).groupBy("src_ip", "origin").agg(
+        F.count("*").alias("n")
+    )
+
+
+register(
+    "j6_hot_keys_by_sketch",
+    hot_match,
+    with_tables(
+        "flows", "indicators",
+        select="SELECT src_ip, origin, count(*) AS n FROM flows LEFT JOIN (SELECT DISTINCT indicator AS src_ip, origin FROM indicators) USING (src_ip) GROUP BY ALL",
+    ),
+)
+
+
+def hot_sources(spark, sf_dir):
+    """The sources that a sketch finds above a 64th of all flows, with their exact numbers."""
+    flows = _flows(spark, sf_dir)
+    found = list(I.hot_keys(flows, "src_ip", 64))
+    return flows.where(F.col("src_ip").isin(found)).groupBy("src_ip").agg(F.count("*").alias("n"))
+
+
+register(
+    "j6_hot_keys",
+    hot_sources,
+    with_tables("flows", select="SELECT src_ip, count(*) AS n FROM flows GROUP BY src_ip HAVING count(*) > (SELECT count(*) FROM flows) // 64"),
+)
+register(
+    "j3_bitmap_prefiltered_match",
+    lambda s, d: I.match_indicators_prefiltered(_flows(s, d), by_source(s, d), "src_ip")[0].select(*SRC),
+    _MATCHED,
+)
+
+
+def let_through(spark, sf_dir):
+    """Destinations and ports as keys, one in seven listed: matches, and whether the filter loses
+    none and lets under 2 % of the others through."""
+    flows = _flows(spark, sf_dir).withColumn("key", F.concat_ws(":", "dest_ip", "dest_port", "orig_bytes"))
+    listed = flows.where(F.col("orig_bytes") % 7 == 0).select("key")
+    matched, through = I.match_indicators_prefiltered(flows, listed, "key")
+    counts = stored(through.withColumn("hit", F.col("orig_bytes") % 7 == 0), "through").agg(
+        F.count_if("hit").alias("hits"), F.count_if(~F.col("hit")).alias("others")
+    )
+    n, wanted = flows.count(), matched.count()
+    return counts.select(F.lit(wanted).cast("long").alias("matched"), "hits", (F.col("others") <= 0.02 * (n - wanted)).alias("few_others"))
+
+
+register(
+    "j3_bitmap_false_positives",
+    let_through,
+    with_tables("flows", select="SELECT count(*) AS matched, count(*) AS hits, true AS few_others FROM flows WHERE orig_bytes % 7 = 0"),
+)
+
+
 def bucketed(spark, sf_dir):
     """Flows joined with assets through two tables bucketed by address and salt."""
     name = f"{spark.sparkContext.applicationId}_{abs(hash(sf_dir))}".replace("-", "_")
@@ -190,6 +248,60 @@ WHERE gaps >= 19 AND mean_gap > 0 AND std_gap/mean_gap < 1.5""",
         },
     ),
 )
+def beacons_by_batch(spark, sf_dir):
+    """The beacons of flows from three batches, a third of the month each, that are merged."""
+    state = BeaconState(new_folder(spark, "beacons"), ("src_ip", "proto"), "ingest_ts")
+    for third in range(3):
+        part = F.least(F.floor((F.dayofmonth("ingest_ts") - 1) / 10), F.lit(2)) == third
+        state.process(_flows(spark, sf_dir).where(part), third)
+    return state.beacons(spark, min_events=20, max_variation=1.5, max_bytes=5_000_000)
+
+
+register("w4_beacons_by_batch", beacons_by_batch, ORACLES["w4_beacons_of_flows"])
+
+
+def _sketched(spark, sf_dir):
+    """Sketches of the destination ports of each source and day, written in two batches."""
+
+    def write(folder):
+        flows = _flows(spark, sf_dir).withColumn("port", F.concat_ws(":", "dest_ip", "dest_port"))
+        table = S.SketchTable(folder, "ingest_ts", ("src_ip",), "port")
+        for batch in range(2):
+            table.add(flows.where(F.pmod(F.xxhash64("uid"), F.lit(2)) == batch), batch)
+
+    return S.SketchTable(prepared.written(spark, sf_dir, "port_sketches", write), "ingest_ts", ("src_ip",), "port")
+
+
+def sketched_ports(keys, start, end):
+    """Estimates over some days of the stored sketches, and whether they are as near the exact
+    numbers as stated."""
+
+    def run(spark, sf_dir):
+        found = _sketched(spark, sf_dir).estimate(spark, keys, start, end)
+        flows = _flows(spark, sf_dir).where(F.col("ingest_date").between(start, end))
+        exact = flows.groupBy(*keys).agg(F.count_distinct(F.concat_ws(":", "dest_ip", "dest_port")).alias("exact"))
+        one = F.lit(1).alias("one")  # so that sketches merged over all sources join too
+        both = found.select("*", one).join(exact.select("*", one), [*keys, "one"])
+        near = F.abs(F.col("distinct") - F.col("exact")) <= F.lit(S.ERROR) * F.col("exact")
+        return both.select(*keys, "n", "exact", near.alias("within_error"))
+
+    return run
+
+
+register(
+    "d8_ports_by_sketch",
+    sketched_ports(("src_ip",), "2024-01-05", "2024-01-20"),
+    with_tables(
+        "flows",
+        select="""SELECT src_ip, count(*) AS n, count(DISTINCT concat(dest_ip, ':', dest_port)) AS exact, true AS within_error FROM flows
+WHERE CAST(kafka_ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY src_ip""",
+    ),
+)
+register(
+    "q10_ports_by_sketch",
+    sketched_ports((), "2024-01-01", "2024-01-31"),
+    with_tables("flows", select="SELECT count(*) AS n, count(DISTINCT concat(dest_ip, ':', dest_port)) AS exact, true AS within_error FROM flows"),
+)
 register(
     "w5_floods",
     lambda s, d: H.floods(_flows(s, d), "ingest_ts", "1 day", 5),

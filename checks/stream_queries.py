@@ -23,6 +23,7 @@ from loghaven.plans import dashboards as D
 from loghaven.sources import streams
 from loghaven.streaming import etl, windows
 from loghaven.streaming.detector import DecayingDetector, FlowDetector, NotebookDetector, flow_stream
+from loghaven.streaming.hunts import IndicatorHunt
 from loghaven.streaming.models import ModelStore
 
 ALL = {"availableNow": True}
@@ -529,6 +530,29 @@ def _decayed_sql():
     return with_tables("featured", select=" UNION ALL ".join(rows), extra=extra)
 
 
+def changing_list(spark, sf_dir):
+    """Flows in batches of a third of the month; half of the indicators are listed after the first."""
+    source, staged, folder = flow_thirds(spark, sf_dir), new_folder(spark, "hunted"), new_folder(spark, "hunt")
+    listed = views.indicators(spark, sf_dir).select(F.col("indicator").alias("src_ip")).distinct()
+    early = F.pmod(F.regexp_extract("src_ip", "([0-9]+)$", 1).cast("int"), F.lit(2)) == 0
+    hunt = IndicatorHunt(f"{folder}/found", lambda s: s.read.parquet(f"{folder}/list"), "src_ip")
+    for step in range(3):
+        listed.where(early if step == 0 else F.lit(True)).write.mode("overwrite").parquet(f"{folder}/list")
+        spark.read.parquet(source).where(_tens("timestamp") == step).coalesce(1).write.mode("append").parquet(staged)
+        flows = flow_stream(streams.read_record_files(spark, staged, (streams.FLOW_TOPIC,)))
+        hunt.start(flows, f"{folder}/checkpoint", ALL).awaitTermination()
+    return spark.read.parquet(f"{folder}/found").select("uid", "src_ip", "kafka_ts")
+
+
+register(
+    "j2_stream_changing_list",
+    changing_list,
+    with_tables(
+        "flows", "indicators",
+        select="""SELECT uid, src_ip, kafka_ts FROM flows WHERE src_ip IN (SELECT indicator FROM indicators)
+  AND (day(kafka_ts) > 10 OR CAST(regexp_extract(src_ip, '([0-9]+)$', 1) AS INT) % 2 = 0)""",
+    ),
+)
 register("m12_moving_centers", decaying_centers, _decayed_sql())
 register(
     "m12_flows_scored_once",
@@ -579,6 +603,16 @@ def _final_windows(body):
     return f"SELECT * FROM ({body}) WHERE {_FINAL}"
 
 
+register(
+    "w3_event_sequence_stream",
+    lambda s, d: drained(
+        H.followed_by_stream(event_stream(s, d), "user_id", "ts", F.col("event_type") == "signup", F.col("event_type") == "purchase", "1 DAY"),
+        "sequences",
+    ),
+    """SELECT a.user_id, a.ts AS first_at, min(b.ts) AS then_at FROM (SELECT DISTINCT user_id, ts FROM events WHERE event_type = 'signup') a
+JOIN events b ON a.user_id = b.user_id AND b.event_type = 'purchase' AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 1 DAY
+WHERE a.ts <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 15 MINUTE - INTERVAL 1 DAY GROUP BY a.user_id, a.ts""",
+)
 register(
     "t05_tumbling_stream",
     lambda s, d: drained(

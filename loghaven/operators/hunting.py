@@ -47,24 +47,76 @@ def beacons(
 
     Variation is the sample standard deviation of the gaps over their mean.
     """
-    gaps = (
-        arrival_gaps(flows, key, time, slice_seconds)
-        .groupBy(*key)
-        .agg(
-            F.count("*").alias("gaps"),
-            F.avg(F.col("gap") / 1e6).alias("mean_gap"),
-            F.stddev_samp(F.col("gap") / 1e6).alias("std_gap"),
-        )
-    )
-    regular = gaps.filter(
-        (F.col("gaps") >= min_events - 1)
-        & (F.col("mean_gap") > 0)
-        & (F.col("std_gap") / F.col("mean_gap") < max_variation)
+    moments = gap_moments(flows, key, time, slice_seconds, None if max_bytes is None else "orig_bytes")
+    return beacons_of(moments, key, min_events, max_variation, max_bytes)
+
+
+def gap_moments(events: DataFrame, key: Sequence[str], time: str, slice_seconds: int = 60, size: str | None = None) -> DataFrame:
+    """keys, events, first, last (microseconds), gaps, mean_gap, m2 (seconds), sized, size: one row per key.
+
+    ``m2`` is the sum of squared deviations of the gaps. All comes from one scan, cut into time
+    slices as in ``arrival_gaps``; events without a time count for ``sized`` and ``size`` alone.
+    """
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    amount = F.lit(None).cast("double") if size is None else F.col(size).cast("double")
+    rows = events.select(*key, at.alias("_at"), amount.alias("_size")).withColumn("_slice", F.floor(F.col("_at") / F.lit(slice_seconds * 1_000_000)))
+    within = Window.partitionBy(*key, "_slice").orderBy("_at")
+    gap = F.when(F.col("_at").isNotNull(), (F.col("_at") - F.lag("_at").over(within)) / 1e6)
+    slices = rows.withColumn("_gap", gap).groupBy(*key, "_slice").agg(
+        F.count("_at").alias("events"), F.min("_at").alias("first"), F.max("_at").alias("last"),
+        F.count("_gap").alias("n"), F.avg("_gap").alias("mean"), F.var_pop("_gap").alias("var"),
+        F.count("_size").alias("sized"), F.sum("_size").alias("size"),
+    )
+    earlier = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    between = (F.col("first") - F.max("last").over(earlier)) / 1e6
+    parts = slices.withColumn("_parts", F.array(
+        F.struct(F.col("n"), F.col("mean"), (F.col("var") * F.col("n")).alias("m2")),
+        F.struct(F.when(between.isNotNull(), 1).otherwise(0).cast("long").alias("n"), between.alias("mean"), F.lit(0.0).alias("m2")),
+    ))
+    whole = Window.partitionBy(*key)
+    own = F.aggregate("_parts", F.lit(0.0), lambda s, x: s + F.when(x["n"] > 0, x["n"] * x["mean"]).otherwise(0.0))
+    count = F.aggregate("_parts", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    parts = parts.withColumn("_mean", F.sum(own).over(whole) / F.sum(count).over(whole))
+    deviation = F.aggregate(
+        F.transform("_parts", lambda x: F.when(x["n"] > 0, x["m2"] + x["n"] * (x["mean"] - F.col("_mean")) * (x["mean"] - F.col("_mean"))).otherwise(0.0)),
+        F.lit(0.0), lambda s, x: s + x,
+    )
+    return parts.groupBy(*key).agg(
+        F.sum("events").alias("events"), F.min("first").alias("first"), F.max("last").alias("last"), F.sum(count).alias("gaps"),
+        F.max("_mean").alias("mean_gap"), F.sum(deviation).alias("m2"), F.sum("sized").alias("sized"), F.sum("size").alias("size"),
+    )
+
+
+def merge_moments(before: DataFrame, after: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The moments of two spans of time, ``after`` the later one for each key, as of one pass over both."""
+    names = ("events", "first", "last", "gaps", "mean_gap", "m2", "sized", "size")
+    right = after.select(*[F.col(k).alias(f"_{k}") for k in key], *[F.col(n).alias(f"_{n}") for n in names])
+    both = before.join(right, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]), "full")
+    zero = lambda n: F.coalesce(F.col(n), F.lit(0))
+    join = (F.col("_first") - F.col("last")) / 1e6
+    parts = [(zero("gaps"), F.col("mean_gap"), zero("m2")), (zero("_gaps"), F.col("_mean_gap"), zero("_m2")), (F.when(join.isNotNull(), 1).otherwise(0), join, F.lit(0.0))]
+    n = reduce(lambda a, b: a + b, [p[0] for p in parts])
+    weighted = lambda f: reduce(lambda a, b: a + b, [F.when(p[0] > 0, f(p)).otherwise(0.0) for p in parts])
+    both = both.withColumns({"_n": n.cast("long"), "_mean": weighted(lambda p: p[0] * p[1]) / F.nullif(n, F.lit(0))})
+    m2 = weighted(lambda p: p[2] + p[0] * (p[1] - F.col("_mean")) * (p[1] - F.col("_mean")))
+    kept = [F.when(F.col("_events").isNull(), F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in key]
+    return both.select(
+        *kept, (zero("events") + zero("_events")).alias("events"), F.least("first", "_first").alias("first"), F.greatest("last", "_last").alias("last"),
+        F.col("_n").alias("gaps"), F.col("_mean").alias("mean_gap"), m2.alias("m2"), (zero("sized") + zero("_sized")).alias("sized"),
+        (zero("size") + zero("_size")).alias("size"),
+    )
+
+
+def beacons_of(
+    moments: DataFrame, key: Sequence[str], min_events: int = 20, max_variation: float = 0.1, max_bytes: int | None = 1_000
+) -> DataFrame:
+    """Keys whose moments show regular gaps and few bytes."""
+    std = F.sqrt(F.col("m2") / (F.col("gaps") - 1))
+    regular = moments.where(F.col("gaps") > 1).withColumn("std_gap", std).where(
+        (F.col("gaps") >= min_events - 1) & (F.col("mean_gap") > 0) & (F.col("std_gap") / F.col("mean_gap") < max_variation)
     )
     if max_bytes is not None:
-        size = flows.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.avg("orig_bytes").alias("avg_bytes"))
-        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
-        regular = regular.join(size.filter(F.col("avg_bytes") <= max_bytes), same, "left_semi")
+        regular = regular.where(F.try_divide("size", "sized") <= max_bytes)
     return regular.select(
         *key,
         (F.col("gaps") + 1).alias("events"),
@@ -131,6 +183,28 @@ def followed_by(
     )
 
 
+def followed_by_stream(
+    events: DataFrame, entity: str, time: str, first: Column, then: Column, within: str, watermark: str = "15 minutes"
+) -> DataFrame:
+    """``followed_by`` on a stream, in append mode: entity, first_at, then_at once a row is final.
+
+    Two stateful operators: the events are joined with the later ones of their entity within the
+    span, and the nearest is kept for each first event. Watermark and span bound the state of
+    both. First events of an entity at one time are one row.
+    """
+    at = F.col(time).cast("timestamp")
+    wanted = evaluate_once(
+        events.withColumn("_at", at).withWatermark("_at", watermark),
+        {"_first": F.coalesce(first, F.lit(False)), "_then": F.coalesce(then, F.lit(False))},
+    )
+    left = wanted.where("_first").select(F.col(entity), F.col("_at").alias("first_at"))
+    right = wanted.where("_then").select(F.col(entity).alias("_entity"), F.col("_at").alias("then_at"))
+    span = F.expr(f"INTERVAL {within}")
+    near = (F.col(entity) == F.col("_entity")) & (F.col("then_at") > F.col("first_at")) & (F.col("then_at") <= F.col("first_at") + span)
+    pairs = left.join(right, near, "inner")
+    return pairs.groupBy(entity, "first_at").agg(F.min("then_at").alias("then_at"))
+
+
 def tumbling_counts(
     events: DataFrame, time: str, keys: Sequence[str], width: str = "5 minutes", watermark: str | None = None
 ) -> DataFrame:

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 8_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 SALTS = 16
+#: Keys that a sketch may report and that it tracks.
+HOT_KEYS, TRACKED_KEYS = 256, 16_384
+#: Bits of a block of the prefilter (those of one ``bitmap_construct_agg``), bits for each listed key,
+#: and hashes of a key.
+BLOCK_BITS, KEY_BITS, KEY_HASHES = 32_768, 16, 4
 
 
 def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -57,13 +62,48 @@ def salted_join(
     return joined.drop("_salt")
 
 
+def hot_keys(rows: DataFrame, key: str, parts: int | None = None) -> dict[object, int]:
+    """Keys with more rows than a task's share, and over how many tasks each should go.
+
+    A sketch of bounded size counts the keys in one pass over their column, combined map-side; a key
+    above the share is in it, as the sketch's error is far below. At most ``HOT_KEYS`` come back.
+    """
+    parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    top = F.expr(f"approx_top_k(`{key}`, {HOT_KEYS}, {TRACKED_KEYS})")
+    n, found = rows.where(F.col(key).isNotNull()).agg(F.count("*"), top).first()
+    share = max(1, n // parts)
+    return {x["item"]: min(parts, -(-x["count"] // share)) for x in found or () if x["count"] > share}
+
+
+def hot_key_join(
+    big: DataFrame, small: DataFrame, key: str, how: str = "inner", parts: int | None = None, hot: dict[object, int] | None = None
+) -> DataFrame:
+    """Shuffled join that spreads the hot keys of ``big``, and only those, over several tasks.
+
+    ``small`` is replicated for hot keys alone. The salt is a hash of the whole row, so a task that is
+    run again deals its rows out as before, whatever order it reads them in. Rows without a key
+    match nothing and are not shuffled at all. ``how`` is inner, left, left_semi or left_anti.
+    """
+    hot = hot_keys(big, key, parts) if hot is None else hot
+    kind = big.schema[key].dataType
+    table = F.create_map(*[x for k, n in hot.items() for x in (F.lit(k).cast(kind), F.lit(n))]) if hot else None
+    salts = lambda: F.coalesce(F.try_element_at(table, F.col(key)), F.lit(1)) if hot else F.lit(1)
+    keyed = big.where(F.col(key).isNotNull()).withColumn("_salt", F.pmod(F.xxhash64(*big.columns), salts()).cast("int"))
+    copies = small.where(F.col(key).isNotNull()).withColumn("_salt", F.explode(F.sequence(F.lit(0), salts() - 1)))
+    joined = keyed.join(copies, [key, "_salt"], how).drop("_salt")
+    if how not in ("left", "left_anti"):
+        return joined
+    return joined.unionByName(big.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def join_small(
     big: DataFrame, small: DataFrame, key: str, how: str = "inner", max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Map-side join while ``small`` is within its bound, salted shuffled join beyond it."""
+    """Map-side join while ``small`` is within its bound; beyond it a shuffled join that spreads hot
+    keys, which are counted first, or on a stream, which cannot be counted, all keys."""
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), key, how)
-    return salted_join(big, small, key, how)
+    return salted_join(big, small, key, how) if big.isStreaming else hot_key_join(big, small, key, how)
 
 
 def listed_keys(indicators: DataFrame, key: str) -> DataFrame:
@@ -96,6 +136,54 @@ def match_indicators_shuffled(events: DataFrame, indicators: DataFrame, key: str
     return events.join(listed_keys(indicators, key).hint("merge"), key, "left_semi")
 
 
+def _bits(key: str, blocks: int) -> tuple[Column, list[Column]]:
+    """The block of a key and its places in it."""
+    hashed = lambda seed: F.xxhash64(F.lit(seed), F.col(key))
+    return F.pmod(hashed(0), F.lit(blocks)), [F.pmod(hashed(i + 1), F.lit(BLOCK_BITS)) for i in range(KEY_HASHES)]
+
+
+def key_bitmaps(listed: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """_block, _bits: a Bloom filter of the keys in blocks of 4 KB, and the number of its blocks.
+
+    A key's bits lie in one block, so one join on the block tests all of them. The filter has
+    ``KEY_BITS`` bits a key, built by aggregates alone.
+    """
+    blocks = max(1, -(-listed.count() * KEY_BITS // BLOCK_BITS))
+    block, places = _bits(key, blocks)
+    each = listed.select(block.alias("_block"), F.explode(F.array(*places)).alias("_place"))
+    return each.groupBy("_block").agg(F.bitmap_construct_agg("_place").alias("_bits")), blocks
+
+
+def passing(events: DataFrame, bitmaps: DataFrame, blocks: int, key: str) -> DataFrame:
+    """Events whose key may be listed: all that are, and few others."""
+    block, places = _bits(key, blocks)
+
+    def is_set(place: Column) -> Column:
+        byte = F.conv(F.hex(F.substr("_bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        return byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (place % 8).cast("int"))) != 0
+
+    rows = events.withColumn("_block", block).join(bitmaps, "_block")
+    for place in places:
+        rows = rows.where(is_set(place))
+    return rows.drop("_block", "_bits")
+
+
+def match_indicators_prefiltered(
+    events: DataFrame, indicators: DataFrame, key: str, max_rows: int = BROADCAST_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Events whose ``key`` is listed, and the events that the filter let through to that join.
+
+    The filter takes two bytes an indicator in place of its text, so it can be broadcast where the
+    list cannot; beyond its own bound it is joined by a shuffle on the block. Only what passes
+    is shuffled to the exact join.
+    """
+    listed = listed_keys(indicators, key).distinct()
+    bitmaps, blocks = key_bitmaps(listed, key)
+    small = blocks * BLOCK_BITS // 8 <= BROADCAST_BYTES and blocks <= max_rows
+    through = passing(events, F.broadcast(bitmaps) if small else bitmaps, blocks, key)
+    return through.join(listed.hint("merge"), key, "left_semi"), through
+
+
 def sightings(
     history: Sequence[tuple[str, DataFrame, str, str]], indicators: DataFrame,
     key: str = "indicator", max_rows: int = BROADCAST_ROWS,
