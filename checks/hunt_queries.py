@@ -9,6 +9,7 @@ from checks import prepared, views
 from checks.log_queries import TODAY
 from checks.registry import ORACLES, register
 from checks.sql import rnd, with_tables
+from loghaven.functions.net import ipv4_number
 from loghaven.lake import new_folder, stored
 from loghaven.operators import hunting as H
 from loghaven.operators import intel as I
@@ -375,6 +376,65 @@ register(
 )
 
 
+def files_touched(rows, folder, time, low, high, address):
+    """n, bytes and of how many files the bounds meet a span of time, and an address."""
+    rows.write.parquet(folder)
+    number = ipv4_number(F.col("src_ip"))
+    files = rows.sparkSession.read.parquet(folder).groupBy(F.input_file_name().alias("file")).agg(
+        F.min(time).alias("t0"), F.max(time).alias("t1"), F.min(number).alias("a0"), F.max(number).alias("a1"),
+        F.count("*").alias("n"), F.sum("orig_bytes").alias("bytes"),
+    )
+    at = ipv4_number(F.lit(address))
+    return files.agg(
+        F.sum("n").alias("n"), F.sum("bytes").alias("bytes"),
+        F.count_if((F.col("t0") <= F.lit(high).cast("timestamp")) & (F.col("t1") >= F.lit(low).cast("timestamp"))).alias("of_time"),
+        F.count_if((F.col("a0") <= at) & (F.col("a1") >= at)).alias("of_address"),
+    )
+
+
+def two_column_layout(spark, sf_dir):
+    """One table in 64 files by time, and by time and address together: a day and an address each
+    touch a part of the latter's files, and the address fewer than of the former's."""
+    flows, folder = _flows(spark, sf_dir), new_folder(spark, "two-columns")
+    asked = ("ingest_ts", "2024-01-10", "2024-01-11", "41.7.0.7")
+    by_time = files_touched(U.sorted_for_pruning(flows, ["ingest_ts"], 64), f"{folder}/time", *asked)
+    both = [F.col("ingest_ts").cast("double"), ipv4_number(F.col("src_ip"))]
+    by_both = files_touched(U.sorted_by_all(flows, both, 64), f"{folder}/both", *asked)
+    old = by_time.select(F.col("of_address").alias("before"), F.lit(1).alias("one"))
+    return by_both.withColumn("one", F.lit(1)).join(old, "one").select(
+        "n", "bytes", (F.col("of_time") <= 32).alias("time_prunes"), (F.col("of_address") <= 32).alias("address_prunes"),
+        (F.col("of_address") * 2 <= F.col("before")).alias("fewer_than_by_time"),
+    )
+
+
+register(
+    "x2_sorted_by_two_columns",
+    two_column_layout,
+    with_tables(
+        "flows",
+        select="SELECT count(*) AS n, CAST(sum(orig_bytes) AS BIGINT) AS bytes, true AS time_prunes, true AS address_prunes, true AS fewer_than_by_time FROM flows",
+    ),
+)
+
+
+def dense_block(max_rows):
+    """Sources located among 65,536 single addresses of one block, each an area of its own."""
+
+    def run(spark, sf_dir):
+        block = spark.range(1 << 16).select(
+            F.concat_ws(".", F.lit("41.7"), F.floor(F.col("id") / 256).cast("string"), (F.col("id") % 256).cast("string")).alias("ip")
+        )
+        ranges = stored(N.disjoint_ranges(block.select(F.concat("ip", F.lit("/32")).alias("cidr"), F.concat(F.lit("host "), "ip").alias("area")), "area"), "dense")
+        return N.locate(_flows(spark, sf_dir), "src_ip", ranges, "area", "src_area", max_rows).groupBy("src_ip", "src_area").agg(F.count("*").alias("n"))
+
+    return run
+
+
+_DENSE = with_tables("flows", select="SELECT src_ip, CASE WHEN src_ip LIKE '41.7.%' THEN concat('host ', src_ip) END AS src_area, count(*) AS n FROM flows GROUP BY ALL")
+register("p24_dense_block", dense_block(N.MAX_BROADCAST_RANGES), _DENSE)
+register("p24_dense_block_beyond_bound", dense_block(0), _DENSE)
+
+
 def retained(spark, sf_dir):
     """Keep ten days of a partitioned table; then totals per remaining date."""
     folder = new_folder(spark, "retained")

@@ -613,6 +613,25 @@ register(
 JOIN events b ON a.user_id = b.user_id AND b.event_type = 'purchase' AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 1 DAY
 WHERE a.ts <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 15 MINUTE - INTERVAL 1 DAY GROUP BY a.user_id, a.ts""",
 )
+def still_open(spark, sf_dir):
+    """The windows that a stream over all events holds in its state at the end, read from there."""
+    folder = new_folder(spark, "open")
+    rows = H.tumbling_counts(event_stream(spark, sf_dir), "ts", ["user_id"], watermark="15 minutes")
+    query = (
+        rows.writeStream.format("parquet").outputMode("append")
+        .option("checkpointLocation", f"{folder}/checkpoint").option("path", f"{folder}/out").trigger(**ALL).start()
+    )
+    query.awaitTermination()
+    return windows.open_windows(spark, f"{folder}/checkpoint")
+
+
+register(
+    "t09_open_windows",
+    still_open,
+    """SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
+  AS window_end, user_id, count(*) AS n FROM events GROUP BY ALL)
+WHERE window_end > (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 15 MINUTE""",
+)
 register(
     "t05_tumbling_stream",
     lambda s, d: drained(

@@ -76,7 +76,7 @@ def gap_moments(events: DataFrame, key: Sequence[str], time: str, slice_seconds:
     whole = Window.partitionBy(*key)
     own = F.aggregate("_parts", F.lit(0.0), lambda s, x: s + F.when(x["n"] > 0, x["n"] * x["mean"]).otherwise(0.0))
     count = F.aggregate("_parts", F.lit(0).cast("long"), lambda s, x: s + x["n"])
-    parts = parts.withColumn("_mean", F.sum(own).over(whole) / F.sum(count).over(whole))
+    parts = parts.withColumn("_mean", F.try_divide(F.sum(own).over(whole), F.sum(count).over(whole)))
     deviation = F.aggregate(
         F.transform("_parts", lambda x: F.when(x["n"] > 0, x["m2"] + x["n"] * (x["mean"] - F.col("_mean")) * (x["mean"] - F.col("_mean"))).otherwise(0.0)),
         F.lit(0.0), lambda s, x: s + x,
@@ -97,7 +97,7 @@ def merge_moments(before: DataFrame, after: DataFrame, key: Sequence[str]) -> Da
     parts = [(zero("gaps"), F.col("mean_gap"), zero("m2")), (zero("_gaps"), F.col("_mean_gap"), zero("_m2")), (F.when(join.isNotNull(), 1).otherwise(0), join, F.lit(0.0))]
     n = reduce(lambda a, b: a + b, [p[0] for p in parts])
     weighted = lambda f: reduce(lambda a, b: a + b, [F.when(p[0] > 0, f(p)).otherwise(0.0) for p in parts])
-    both = both.withColumns({"_n": n.cast("long"), "_mean": weighted(lambda p: p[0] * p[1]) / F.nullif(n, F.lit(0))})
+    both = both.withColumns({"_n": n.cast("long"), "_mean": F.try_divide(weighted(lambda p: p[0] * p[1]), n)})
     m2 = weighted(lambda p: p[2] + p[0] * (p[1] - F.col("_mean")) * (p[1] - F.col("_mean")))
     kept = [F.when(F.col("_events").isNull(), F.col(k)).otherwise(F.col(f"_{k}")).alias(k) for k in key]
     return both.select(

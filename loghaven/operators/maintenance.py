@@ -7,7 +7,7 @@ import re
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loghaven.lake import BATCH, FOLDS, Lake, drop_partitions, folders, made, move, partition_specs, qualified, remove
@@ -53,6 +53,34 @@ def sorted_for_pruning(rows: DataFrame, by: Sequence[str], files: int) -> DataFr
     )
 
 
+def interleaved(rows: DataFrame, columns: Sequence[Column], bits: int = 5) -> Column:
+    """A number whose bits are by turns those of the columns' ranks, so that rows near each other in
+    all columns get near numbers.
+
+    A rank is the place among 2^bits quantiles of the column, which one aggregate over the rows
+    gives, so a column of any spread or type that orders as a number uses all of its bits.
+    """
+    share = [i / (1 << bits) for i in range(1, 1 << bits)]
+    marks = rows.agg(*[F.percentile_approx(c.cast("double"), share, 10_000).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+
+    def rank(column: Column, own: list[float]) -> Column:
+        below = F.filter(F.array(*map(F.lit, own)), lambda m: m < column.cast("double"))
+        return F.coalesce(F.size(below), F.lit(0)) if own else F.lit(0)
+
+    ranks = [rank(c, list(marks[i] or [])) for i, c in enumerate(columns)]
+    out = F.lit(0).cast("long")
+    for bit in range(bits):
+        for i, rank in enumerate(ranks):
+            out = out + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long"), bit * len(columns) + i)
+    return out
+
+
+def sorted_by_all(rows: DataFrame, columns: Sequence[Column], files: int, bits: int = 5) -> DataFrame:
+    """Rows in files that are narrow in each of several columns, not in the first alone."""
+    placed = rows.withColumn("_z", interleaved(rows, columns, bits))
+    return sorted_for_pruning(placed, ["_z"], files).drop("_z")
+
+
 def compact(
     spark: SparkSession, path: str, partition: str, value: str, staging: str,
     by: Sequence[str] = (), target_bytes: int = TARGET_FILE_BYTES, closed_batch: int | None = None,

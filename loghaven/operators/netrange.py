@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loghaven.functions.net import ipv4_number
-from loghaven.operators.intel import fits_broadcast, salted_join
+from loghaven.operators.intel import fits_broadcast, hot_key_join, salted_join
 
 MAX_BROADCAST_RANGES = 1_000_000
 _ALL = 1 << 32
-_BLOCK = 1 << 16
+#: Bits below the prefix at each level.
+LEVELS = (24, 16, 8, 0)
 _RANGE_SIZE = "shiftleft(CAST(1 AS BIGINT), 32 - prefix_length)"
 
 
@@ -71,61 +72,57 @@ def disjoint_ranges(ranges: DataFrame, label: str, cidr: str = "cidr") -> DataFr
     )
 
 
+def prefix_keys(ranges: DataFrame, label: str) -> DataFrame:
+    """Disjoint ranges -> level, prefix, label: the aligned blocks of 2^24, 2^16, 2^8 and 1 addresses
+    that they consist of.
+
+    A range takes the largest blocks that fit, so each address lies in one block at most, and a
+    CIDR becomes 128 blocks at most. The keys are equal to what an address is shifted by.
+    """
+    start, end = F.col("first_address"), F.col("last_address") + 1
+    none = F.expr("cast(array() as array<bigint>)")
+    keyed = lambda bits: lambda p: F.struct(F.lit(bits).alias("level"), p.alias("prefix"))
+    cover_from, cover_to, parts = F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), []
+    for bits in LEVELS:
+        size = F.lit(1 << bits).cast("bigint")
+        low, high = F.ceil(start / size).cast("bigint"), F.floor(end / size).cast("bigint")
+        run = lambda a, b: F.when(a < b, F.sequence(a, b - 1)).otherwise(none)
+        around = F.concat(run(low, F.floor(cover_from / size).cast("bigint")), run(F.floor(cover_to / size).cast("bigint"), high))
+        parts.append(F.transform(F.when(cover_from.isNull(), run(low, high)).otherwise(around), keyed(bits)))
+        fits = low < high
+        cover_from, cover_to = F.coalesce(F.when(fits, low * size), cover_from), F.coalesce(F.when(fits, high * size), cover_to)
+    return ranges.select(label, F.explode(F.concat(*parts)).alias("_key")).select(
+        F.col("_key.level").alias("_level"), F.col("_key.prefix").alias("_prefix"), label
+    )
+
+
 def locate(
     rows: DataFrame, ip: str, ranges: DataFrame, label: str, out: str,
     max_rows: int = MAX_BROADCAST_RANGES,
 ) -> DataFrame:
     """Add ``out``, the label of the range that holds the address, NULL when none does.
 
-    ``ranges`` comes from ``disjoint_ranges``. Ranges are keyed by the 2^16-address
-    blocks they touch; an address meets its own block only and at most one range
-    matches, so no row is repeated. Beyond the broadcast bound the distinct
-    addresses are located first, and joined back salted by address: addresses and ranges of
-    a block are sorted together and each address takes the range that began last, so a
-    block costs what it holds, however dense its ranges are.
+    ``ranges`` comes from ``disjoint_ranges``. They are looked up by prefix: an address has one key
+    at each of four levels, and at most one of them is listed, so a lookup is four equality probes
+    whether a block holds one range or 65,536. While the keys may be broadcast, every row is
+    probed in its place by one table of them; beyond that bound the distinct addresses are looked
+    up by a shuffle and joined back, with hot addresses spread.
     """
-    blocks = ranges.select(
-        "first_address",
-        "last_address",
-        F.col(label).alias(out),
-        F.explode(
-            F.sequence(
-                F.floor(F.col("first_address") / F.lit(_BLOCK)),
-                F.floor(F.col("last_address") / F.lit(_BLOCK)),
-            )
-        ).alias("_block"),
-    )
-
-    def by_block(left: DataFrame, right: DataFrame) -> DataFrame:
-        left = left.withColumn("_n", ipv4_number(F.col(ip))).withColumn(
-            "_block", F.floor(F.col("_n") / F.lit(_BLOCK))
-        )
-        condition = (left["_block"] == right["_block"]) & left["_n"].between(
-            right["first_address"], right["last_address"]
-        )
-        return left.join(right, condition, "left").drop(
-            "_n", left["_block"], right["_block"], "first_address", "last_address"
-        )
-
-    if fits_broadcast(blocks, max_rows):
-        return by_block(rows, F.broadcast(blocks))
-    none = {"last_address": F.lit(None).cast("bigint"), out: F.lit(None).cast(blocks.schema[out].dataType)}
-    addresses = rows.select(ip).distinct().withColumn("_at", ipv4_number(F.col(ip))).filter(F.col("_at").isNotNull())
-    places = addresses.withColumns({"_block": F.floor(F.col("_at") / F.lit(_BLOCK)), **none})
-    starts = blocks.select(
-        F.lit(None).cast(rows.schema[ip].dataType).alias(ip),
-        F.greatest("first_address", F.col("_block") * F.lit(_BLOCK)).alias("_at"), "_block", "last_address", out,
-    )
-    in_block = Window.partitionBy("_block").orderBy("_at", F.col(ip).asc_nulls_first())
-    begun = F.last(F.when(F.col("last_address").isNotNull(), F.struct("last_address", out)), ignorenulls=True).over(in_block)
-    known = (
-        places.select(ip, "_at", "_block", "last_address", out)
-        .unionByName(starts)
-        .withColumn("_begun", begun)
-        .filter(F.col(ip).isNotNull() & (F.col("_at") <= F.col("_begun.last_address")))
-        .select(ip, F.col(f"_begun.{out}").alias(out))
-    )
-    return salted_join(rows, known, ip, "left")
+    keys = prefix_keys(ranges, label).withColumnRenamed(label, "_label")
+    shifted = lambda n, bits: F.shiftright(n, bits).cast("bigint")
+    if fits_broadcast(keys, max_rows):
+        found = rows.withColumn("_n", ipv4_number(F.col(ip)))
+        for bits in LEVELS:
+            probe = F.broadcast(keys.select(F.col("_level").alias(f"_l{bits}"), F.col("_prefix").alias(f"_p{bits}"), F.col("_label").alias(f"_label{bits}")))
+            here = (F.col(f"_l{bits}") == F.lit(bits)) & (F.col(f"_p{bits}") == shifted(F.col("_n"), bits))
+            found = found.join(probe, here, "left")
+        labels = F.coalesce(*[F.col(f"_label{bits}") for bits in LEVELS])
+        return found.withColumn(out, labels).drop("_n", *[f"{x}{bits}" for bits in LEVELS for x in ("_l", "_p", "_label")])
+    addresses = rows.select(ip).distinct().withColumn("_n", ipv4_number(F.col(ip))).filter(F.col("_n").isNotNull())
+    probes = F.array(*[F.struct(F.lit(bits).alias("level"), shifted(F.col("_n"), bits).alias("prefix")) for bits in LEVELS])
+    probed = addresses.select(ip, F.explode(probes).alias("_k")).select(ip, F.col("_k.level").alias("_level"), F.col("_k.prefix").alias("_prefix"))
+    known = probed.join(keys, ["_level", "_prefix"]).select(ip, F.col("_label").alias(out))
+    return (salted_join if rows.isStreaming else hot_key_join)(rows, known, ip, "left")
 
 
 def flow_map(flows: DataFrame, ranges: DataFrame, label: str) -> DataFrame:

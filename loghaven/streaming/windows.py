@@ -67,3 +67,23 @@ def correlate_streams(
         right_time, right_watermark
     )
     return interval_join(left, right, key, left_time, right_time, within)
+
+
+def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0, batch_id: int | None = None) -> DataFrame:
+    """key, value, partition_id: what a stateful operator of a stream remembers, read from its
+    checkpoint after the last batch, or after ``batch_id``. The stream need not run."""
+    reader = spark.read.format("statestore").option("operatorId", operator)
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    return reader.load(checkpoint)
+
+
+def open_windows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """window_start, window_end, keys, n of the counts that a windowed stream has not given out yet."""
+    state = state_rows(spark, checkpoint, operator)
+    keys = [f.name for f in state.schema["key"].dataType][1:]
+    window = state.schema["key"].dataType[0].name
+    return state.select(
+        F.col(f"key.`{window}`.start").alias("window_start"), F.col(f"key.`{window}`.end").alias("window_end"),
+        *[F.col(f"key.`{k}`").alias(k) for k in keys], F.col("value.count").alias("n"),
+    )
