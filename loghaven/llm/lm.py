@@ -4,10 +4,12 @@ States are the root and all training words. A state's arcs are the word pairs se
 more from it, with absolute discounting; its failure arc leads to the root with the weight that
 the arcs leave. The root has an arc for every word, smoothed by an added count.
 
-Texts are cut into blocks. Each block sends its words and pairs, by their hashes, to be counted
-over the whole corpus and gets the counts and failure weights of just those back: the part of
-the automaton that its texts can reach. So the counts grow with the corpus, and no task and not
-the driver holds them all.
+Texts are cut into blocks. Each block sends its distinct pairs, by their sorted hashes and cut into
+parts of the range of hashes, to be counted over the whole corpus, and gets just their totals back,
+in the order in which it sent them: the part of the automaton that its texts can reach. Then it sends
+its words with what their arcs take, and gets counts and failure weights back the same way. So
+the counts grow with the corpus, no task and not the driver holds them all, and a frequent word or
+pair is one number of each block.
 """
 
 from __future__ import annotations
@@ -16,10 +18,10 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loghaven.lake import stored
@@ -35,6 +37,8 @@ STATE_SHARE = 0.0
 MIN_PAIR = 2
 #: Characters and documents of a block, unless one document is longer.
 BLOCK_CHARS, BLOCK_DOCS = 6_000_000, 2000
+#: Keys that one task adds up, on average, if all blocks held different ones.
+PART_KEYS = 1_000_000
 END = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -57,9 +61,10 @@ def text_blocks(docs: DataFrame) -> DataFrame:
                     pa.array([held], pa.list_(pa.bool_())),
                     pa.array([sizes.tobytes()], pa.binary()),
                     pa.array([words.tobytes()], pa.binary()),
-                    pa.array([zlib.compress(tokens.astype(np.int32).tobytes(), 1)], pa.binary()),
+                    pa.array([zlib.compress(np.ascontiguousarray(tokens.astype(np.int32).view(np.uint8).reshape(-1, 4).T).tobytes(), 1)], pa.binary()),
+                    pa.array([len(tokens)], pa.int64()),
                 ],
-                ["block", "doc_id", "held_out", "sizes", "words", "tokens"],
+                ["block", "doc_id", "held_out", "sizes", "words", "tokens", "n"],
             )
 
         schema, ids, held, rows, chars = None, [], [], [], 0
@@ -79,14 +84,15 @@ def text_blocks(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string"), "held_out").mapInArrow(
-        blocks, f"block long, doc_id array<{kind}>, held_out array<boolean>, sizes binary, words binary, tokens binary"
+        blocks, f"block long, doc_id array<{kind}>, held_out array<boolean>, sizes binary, words binary, tokens binary, n long"
     )
 
 
 def _parts(sizes: bytes, tokens: bytes, held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens, the size of each text, and for each token whether its text trains."""
     n = np.frombuffer(sizes, np.int64)
-    return np.frombuffer(zlib.decompress(tokens), np.int32), n, np.repeat(~np.asarray(held, bool), n)
+    planes = np.frombuffer(zlib.decompress(tokens), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.int32).ravel(), n, np.repeat(~np.asarray(held, bool), n)
 
 
 def _states_of(words: bytes, states: np.ndarray) -> np.ndarray:
@@ -107,24 +113,85 @@ def _pairs(tokens: np.ndarray, sizes: np.ndarray, state: np.ndarray, n: int) ->
     return pair
 
 
-def _counted(keys: np.ndarray, counts: np.ndarray, block: int) -> pa.RecordBatch:
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys by their differences, whose high bytes, all alike, stand together."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    return zlib.compress(np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _numbers(x: np.ndarray) -> bytes:
+    """64-bit numbers, by planes of their bytes."""
+    return zlib.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _read(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+ASKED = "part long, block long, keys binary, counts binary, masses binary"
+TOTALS = "part long, block long, totals binary, masses binary, once binary, n long, v long"
+
+
+def _asked(block: int, keys: np.ndarray, counts: np.ndarray, masses: np.ndarray | None, parts: int) -> pa.RecordBatch:
+    """Sorted keys with a block's counts (and masses), cut into the parts that add them up."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.r_[np.ones(min(len(part), 1), bool), part[1:] != part[:-1]])
+    cuts = list(zip(first, np.r_[first[1:], len(part)][: len(first)], strict=True))
+    pack = lambda x: pa.array([_numbers(x[a:b]) for a, b in cuts], pa.binary()) if x is not None else pa.nulls(len(cuts), pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int64()), pa.array(np.full(len(keys), block), pa.int64()), pa.array(counts, pa.int64())],
-        ["key", "block", "count"],
+        [pa.array(part[first], pa.int64()), pa.array(np.full(len(cuts), block), pa.int64()), pa.array([_packed(keys[a:b]) for a, b in cuts], pa.binary()), pack(counts), pack(masses)],
+        ["part", "block", "keys", "counts", "masses"],
     )
 
 
-def word_counts(blocks: DataFrame) -> DataFrame:
-    """key (word hash), block, count (in the block's training texts, also 0)."""
+def added_up(asked: DataFrame) -> DataFrame:
+    """For each part that a block sent: the totals (and sums of masses) of its keys in their order,
+    which of them it is the first to hold, and over these the sum of totals and how many are not 0."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        order = np.argsort(rows.column("block").to_numpy())
+        at = [rows.slice(int(i), 1).to_pylist()[0] for i in order]
+        keys = [_unpacked(r["keys"]) for r in at]
+        ends = np.cumsum([len(k) for k in keys])
+        distinct, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        total, mass = np.zeros(len(distinct), np.int64), np.zeros(len(distinct))
+        weighted = at[0]["masses"] is not None
+        for r, here in zip(at, np.split(place, ends[:-1]), strict=True):
+            total[here] += _read(r["counts"], np.int64)  # the keys of a block are distinct
+            if weighted:
+                mass[here] += _read(r["masses"], np.float64)
+        once = np.zeros(len(place), bool)
+        once[first] = True
+        out = []
+        for r, here, own in zip(at, np.split(place, ends[:-1]), np.split(once, ends[:-1]), strict=True):
+            t = total[here]
+            out.append(
+                {
+                    "part": r["part"], "block": r["block"], "totals": _numbers(t), "masses": _numbers(mass[here]) if weighted else None,
+                    "once": zlib.compress(np.packbits(own).tobytes(), 1), "n": int(t[own].sum()), "v": int((t[own] > 0).sum()),
+                }
+            )
+        return pa.Table.from_pylist(out, schema)
+
+    schema = pa.schema([(x.split()[0], {"long": pa.int64(), "binary": pa.binary()}[x.split()[1]]) for x in TOTALS.split(", ")])
+    return asked.groupBy("part").applyInArrow(run, TOTALS)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                tokens, _, trains = _parts(r["sizes"], r["tokens"], r["held_out"])
-                words = np.frombuffer(r["words"], np.int64)
-                yield _counted(words, np.bincount(tokens[trains], minlength=len(words)), r["block"])
 
-    return blocks.select("block", "held_out", "sizes", "words", "tokens").mapInArrow(count, "key long, block long, count long")
+def _answers(rows: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Totals, masses and first holder of a block's n keys in order, from the rows of its parts."""
+    at = sorted(rows.to_pylist(), key=lambda r: r["part"])
+    totals = [_read(r["totals"], np.int64) for r in at]
+    masses = [_read(r["masses"], np.float64) if r["masses"] is not None else np.zeros(len(t)) for r, t in zip(at, totals, strict=True)]
+    once = [np.unpackbits(np.frombuffer(zlib.decompress(r["once"]), np.uint8), count=len(t)).astype(bool) for r, t in zip(at, totals, strict=True)]
+    if not at:
+        return np.zeros(n, np.int64), np.zeros(n), np.zeros(n, bool)
+    return np.concatenate(totals), np.concatenate(masses), np.concatenate(once)
 
 
 def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -144,36 +211,64 @@ def _pairs_of(tokens: np.ndarray, sizes: np.ndarray, words: bytes, states: np.nd
     return mine, pair, seen, _pair_keys(mine[seen // n], mine[seen % n])
 
 
-def pair_counts(blocks: DataFrame, states: np.ndarray | None) -> DataFrame:
-    """key (hash of both words), first (word hash), block, count, as ``word_counts``. A block's
-    rows come by first word, so that equal ones lie together."""
+def _of_block(r: dict, states: np.ndarray | None) -> tuple:
+    """A block's tokens, sizes, states, pairs by token, distinct pairs, and the distinct keys of these
+    in order with the place of each pair's key among them."""
+    tokens, sizes, trains = _parts(r["sizes"], r["tokens"], r["held_out"])
+    mine, pair, seen, keys = _pairs_of(tokens, sizes, r["words"], states)
+    ordered, place = np.unique(keys.view(np.uint64), return_inverse=True)
+    return tokens, sizes, trains, mine, pair, seen, ordered, place
+
+
+def pair_counts(blocks: DataFrame, states: np.ndarray | None, parts: int) -> DataFrame:
+    """The distinct pairs of each block with their counts in its training texts, also 0."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                tokens, sizes, trains = _parts(r["sizes"], r["tokens"], r["held_out"])
-                mine, pair, seen, keys = _pairs_of(tokens, sizes, r["words"], states)
+                _, _, trains, _, pair, seen, ordered, place = _of_block(r, states)
                 of = np.searchsorted(seen, pair[trains & (pair >= 0)])
-                first = mine[seen // max(1, len(mine))].view(np.int64)
-                rows = _counted(keys, np.bincount(of, minlength=len(seen)), r["block"])
-                yield rows.append_column("first", pa.array(first, pa.int64()))
+                yield _asked(r["block"], ordered, np.bincount(place[of], minlength=len(ordered)).astype(np.int64), None, parts)
 
-    return blocks.select("block", "held_out", "sizes", "words", "tokens").mapInArrow(
-        count, "key long, block long, count long, first long"
-    )
+    return blocks.select("block", "held_out", "sizes", "words", "tokens").mapInArrow(count, ASKED)
 
 
-def with_totals(counts: DataFrame, *more: str) -> DataFrame:
-    """Every row with its key's total over all blocks; ``once`` marks one row of each key."""
-    by_key = Window.partitionBy("key")
-    return counts.select(
-        "key", "block", F.sum("count").over(by_key).alias("total"), (F.min("block").over(by_key) == F.col("block")).alias("once"), *more
-    )
+def word_counts(blocks: DataFrame, pairs: DataFrame, states: np.ndarray | None, parts: int) -> DataFrame:
+    """The words of each block with their counts, and what the arcs that it is the first to hold take
+    from their states."""
+
+    def count(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        out = []
+        for r in rows.to_pylist():
+            tokens, _, trains, mine, _, seen, ordered, place = _of_block(r, states)
+            words = np.frombuffer(r["words"], np.uint64)
+            totals, _, once = _answers(answers, len(ordered))
+            arc = once & (totals >= MIN_PAIR)
+            taken = np.where(arc, totals - DISCOUNT, 0.0)[place]
+            of_state = np.bincount(seen // max(1, len(mine)), taken, minlength=len(mine))
+            mass = np.zeros(len(words))
+            mass[np.searchsorted(words, mine)] = of_state
+            out.append(_asked(r["block"], words, np.bincount(tokens[trains], minlength=len(words)).astype(np.int64), mass, parts))
+        return pa.Table.from_batches(out) if out else schema.empty_table()
+
+    schema = pa.schema([(x.split()[0], {"long": pa.int64(), "binary": pa.binary()}[x.split()[1]]) for x in ASKED.split(", ")])
+    blocks = blocks.select("block", "held_out", "sizes", "words", "tokens")
+    return blocks.groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(count, ASKED)
 
 
 def frequent_words(blocks: DataFrame, share: float) -> np.ndarray:
     """Sorted hashes of the words that hold the share of the training words; 1 / share at most."""
-    totals = stored(word_counts(blocks).groupBy("key").agg(F.sum("count").alias("total")), "lm-totals")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                tokens, _, trains = _parts(r["sizes"], r["tokens"], r["held_out"])
+                words = np.frombuffer(r["words"], np.int64)
+                counts = np.bincount(tokens[trains], minlength=len(words))
+                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(counts, pa.int64())], ["key", "count"])
+
+    counts = blocks.select("held_out", "sizes", "words", "tokens").mapInArrow(count, "key long, count long")
+    totals = stored(counts.groupBy("key").agg(F.sum("count").alias("total")), "lm-totals")
     n = totals.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     found = totals.where((F.col("total") >= share * max(n, 1)) & (F.col("total") > 0)).select("key").collect()
     return np.sort(np.array([r["key"] for r in found], np.int64).view(np.uint64))
@@ -231,56 +326,46 @@ def lm_scores(docs: DataFrame, modulus: int = HELD_OUT_MODULUS, state_share: flo
     held = docs.select("doc_id", "text", (id_remainder(F.col("doc_id"), modulus) == 0).alias("held_out"))
     blocks = stored(text_blocks(held), "lm-blocks")
     states = frequent_words(blocks, state_share) if state_share > 0 else None
-    pairs = stored(with_totals(pair_counts(blocks, states), "first").where(F.col("total") >= MIN_PAIR), "lm-pairs")
-    masses = pairs.where("once").groupBy(F.col("first").alias("key")).agg(F.sum(F.col("total") - DISCOUNT).alias("mass"))
-    # What a word's arcs take goes to its blocks with its count, in the same exchange.
-    both = word_counts(blocks).withColumn("mass", F.lit(None).cast("double")).unionByName(
-        masses.select("key", F.lit(None).cast("long").alias("block"), F.lit(0).cast("long").alias("count"), "mass")
-    )
-    mass = F.coalesce(F.max("mass").over(Window.partitionBy("key")), F.lit(0.0)).alias("mass")
-    words = stored(with_totals(both, mass).where("block is not null"), "lm-words")
-    n, v = words.where("once").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count(F.when(F.col("total") > 0, 1))).first()
+    size = blocks.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0)) / 8, F.coalesce(F.sum("n"), F.lit(0))).first()
+    pairs = stored(added_up(pair_counts(blocks, states, max(1, int(size[1]) // PART_KEYS))), "lm-pairs")
+    words = stored(added_up(word_counts(blocks, pairs, states, max(1, int(size[0]) // PART_KEYS))), "lm-words")
+    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def score(block: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+    def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
-        of_pairs = counts["pair"].to_numpy(bool)
-        keys, totals = counts["key"].to_numpy(np.int64), counts["total"].to_numpy(np.int64)
-        names, sums = keys[~of_pairs].view(np.uint64), totals[~of_pairs]
-        arcs, arc_totals = keys[of_pairs], totals[of_pairs]
-        by_name, by_arc = np.argsort(names), np.argsort(arcs)
-        arcs, arc_totals = arcs[by_arc], arc_totals[by_arc]
-        weight = counts["mass"].to_numpy(np.float64)[~of_pairs]
-        for r in block.itertuples(index=False):
-            tokens, sizes, _ = _parts(r.sizes, r.tokens, r.held_out)
-            mine, _, seen, pair_keys = _pairs_of(tokens, sizes, r.words, states)
-            at = by_name[np.searchsorted(names, mine, sorter=by_name)]
-            left = 1.0 - weight[at] / np.maximum(sums[at], 1)
+        of_pairs = pc.field("pair")
+        for r in rows.to_pylist():
+            tokens, sizes, _, mine, pair, seen, ordered, place = _of_block(r, states)
+            names = np.frombuffer(r["words"], np.uint64)
+            totals, _, _ = _answers(answers.filter(of_pairs), len(ordered))
+            sums, masses, _ = _answers(answers.filter(~of_pairs), len(names))
+            at = np.searchsorted(names, mine)
+            left = 1.0 - masses[at] / np.maximum(sums[at], 1)
             model = {"n": n, "v": v, "states": mine, "state_counts": sums[at].astype(np.float64), "failure": left}
-            place = np.searchsorted(arcs, pair_keys)
-            place[place == len(arcs)] = 0
-            found = arcs[place] == pair_keys if len(arcs) else np.zeros(len(seen), bool)
-            automaton = Automaton(names, sums, seen[found], arc_totals[place[found]], model)
+            automaton = Automaton(names, sums, seen, totals[place] if len(seen) else seen, model)
             count, root, p = automaton.read(tokens, sizes)
             out.append(
-                pd.DataFrame(
-                    {
-                        "doc_id": pd.array(list(r.doc_id), dtype=object),
-                        "held_out": np.asarray(r.held_out, bool),
-                        "n_tokens": sizes,
-                        "n_known": _text_sums((count > 0).astype(np.int64), sizes),
-                        "train_tokens": n,
-                        "base_score": _text_sums(root, sizes),
-                        "score": _text_sums(p, sizes),
-                    }
+                pa.table(
+                    [
+                        pa.array(r["doc_id"], rows.schema.field("doc_id").type.value_type),
+                        pa.array(r["held_out"], pa.bool_()),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(_text_sums((count > 0).astype(np.int64), sizes), pa.int64()),
+                        pa.array(np.full(len(sizes), n), pa.int64()),
+                        pa.array(_text_sums(root, sizes)),
+                        pa.array(_text_sums(p, sizes)),
+                    ],
+                    names=names_out,
                 )
             )
-        return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        empty = [pa.array([], t) for t in (rows.schema.field("doc_id").type.value_type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+        return pa.concat_tables(out) if out else pa.table(empty, names=names_out)
 
-    counted = words.select("block", "key", "total", "mass", F.lit(False).alias("pair")).unionByName(
-        pairs.select("block", "key", "total", F.lit(None).cast("double").alias("mass"), F.lit(True).alias("pair"))
-    )
-    return blocks.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(
+    names_out = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    columns = ["block", "part", "totals", "masses", "once"]
+    answers = words.select(*columns, F.lit(False).alias("pair")).unionByName(pairs.select(*columns, F.lit(True).alias("pair")))
+    return blocks.drop("n").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score,
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
