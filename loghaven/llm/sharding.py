@@ -75,21 +75,34 @@ def shard_rows(
     are not read. An empty table gives no rows. Slots count from 0 in every shard.
     """
     text = text_or_empty(F.col("text"))
+    narrow = docs.select(
+        "doc_id",
+        (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.xxhash64(F.lit(seed), F.col("doc_id")).alias("hash"),
+    )
     narrow = stored(
-        docs.select(
-            "doc_id",
-            (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
-            F.crc32(text.cast("binary")).alias("text_crc32"),
-            F.xxhash64(F.lit(seed), F.col("doc_id")).alias("hash"),
-        ).withColumn("cell", F.pmod("hash", F.lit(cells)).cast("int")),
+        narrow.withColumns(
+            {
+                "cell": F.pmod("hash", F.lit(cells)).cast("int"),
+                "of_text": F.xxhash64("doc_id", "text_crc32", "size"),
+                "part": F.spark_partition_id(),
+            }
+        ),
         "shard-rows",
     )
-    counts = {r["cell"]: r["count"] for r in narrow.groupBy("cell").count().collect()}
+    # Two levels: equal rows of one part of the table are numbered, then what lies before them in the
+    # cell is added, from one row for all of them. So an id on many rows is no single window.
+    keys = ["cell", "hash", "of_text", "part"]
+    groups = stored(narrow.groupBy(*keys).agg(F.count("*").alias("rows")), "shard-groups")
+    counts = {r["cell"]: r["rows"] for r in groups.groupBy("cell").agg(F.sum("rows").alias("rows")).collect()}
     plan = narrow.sparkSession.createDataFrame(
         place_cells(counts, shards, nodes, cells), "cell int, first long, end long, shard int, start long"
     )
-    in_cell = Window.partitionBy("cell").orderBy("hash", "doc_id", "text_crc32", "size")
-    ranked = narrow.withColumn("n", F.row_number().over(in_cell) - 1)
+    before = Window.partitionBy("cell").orderBy("hash", "of_text", "part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = groups.withColumn("offset", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    inside = Window.partitionBy(*keys).orderBy("doc_id", "text_crc32", "size")
+    ranked = narrow.withColumn("n", F.row_number().over(inside) - 1).join(offsets.drop("rows"), keys).withColumn("n", F.col("n") + F.col("offset"))
     # One row for a cell and one for each shard's border: bounded by cells and shards.
     return (
         ranked.join(F.broadcast(plan), "cell")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from loghaven.llm import gam, mixing, pieces
+from loghaven.llm import gam, mixing, pieces, sharding
 from loghaven.llm.common import one_label
 from loghaven.llm.queries import QUERIES
 
@@ -111,3 +111,16 @@ def test_registered_queries_return_every_row(spark, small_docs):
     assert QUERIES["op8_vector_classes"](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/embeddings.parquet").count()
     labels = one_label(spark.read.parquet(f"{SMALL}/labels.parquet"), "quality")
     assert np.isin([r.label for r in labels.collect()], [0, 1]).all()
+
+
+def test_one_id_on_a_third_of_the_rows_is_sharded(spark):
+    rows = [(i, f"text {i}") for i in range(2000)] + [(7, "same")] * 500 + [(7, f"other {i}") for i in range(500)] + [(None, "x")] * 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shard_rows(docs.repartition(6), shards=9).collect()
+    assert len(got) == len(rows)
+    slots = Counter((r.shard, r.slot) for r in got)
+    by_shard = Counter(r.shard for r in got)
+    assert max(slots.values()) == 1 and max(by_shard.values()) - min(by_shard.values()) <= 1
+    assert all(sorted(s for shard, s in slots if shard == k) == list(range(n)) for k, n in by_shard.items())
+    again = sharding.shard_rows(docs.repartition(11), shards=9).collect()
+    assert Counter((r.doc_id, r.text_crc32, r.shard) for r in got) == Counter((r.doc_id, r.text_crc32, r.shard) for r in again)
