@@ -36,14 +36,14 @@ DISCOUNT = 0.75
 STATE_SHARE = 0.0
 MIN_PAIR = 2
 #: Characters and documents of a block, unless one document is longer.
-BLOCK_CHARS, BLOCK_DOCS = 6_000_000, 2000
+BLOCK_CHARS, BLOCK_DOCS = 8_000_000, 4000
 #: Keys that one task adds up, on average, if all blocks held different ones.
 PART_KEYS = 1_000_000
 END = np.uint64(0x5851F42D4C957F2D)
 
 
 def text_blocks(docs: DataFrame) -> DataFrame:
-    """block, doc_id[], held_out[], sizes (tokens per text), words (sorted distinct hashes) and
+    """block, doc_id[], held_out[], sizes (tokens per text), words (sorted distinct hashes, packed) and
     tokens (places in words, compressed; every text ends with END), from doc_id, text, held_out."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,11 +60,12 @@ def text_blocks(docs: DataFrame) -> DataFrame:
                     pa.array([ids], schema.field("doc_id").type),
                     pa.array([held], pa.list_(pa.bool_())),
                     pa.array([sizes.tobytes()], pa.binary()),
-                    pa.array([words.tobytes()], pa.binary()),
+                    pa.array([_packed(words)], pa.binary()),
                     pa.array([zlib.compress(np.ascontiguousarray(tokens.astype(np.int32).view(np.uint8).reshape(-1, 4).T).tobytes(), 1)], pa.binary()),
                     pa.array([len(tokens)], pa.int64()),
+                    pa.array([len(words)], pa.int64()),
                 ],
-                ["block", "doc_id", "held_out", "sizes", "words", "tokens", "n"],
+                ["block", "doc_id", "held_out", "sizes", "words", "tokens", "n", "n_words"],
             )
 
         schema, ids, held, rows, chars = None, [], [], [], 0
@@ -84,7 +85,7 @@ def text_blocks(docs: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string"), "held_out").mapInArrow(
-        blocks, f"block long, doc_id array<{kind}>, held_out array<boolean>, sizes binary, words binary, tokens binary, n long"
+        blocks, f"block long, doc_id array<{kind}>, held_out array<boolean>, sizes binary, words binary, tokens binary, n long, n_words long"
     )
 
 
@@ -134,6 +135,13 @@ def _read(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+def _blocks(rows: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    """Blocks with their words unpacked."""
+    for r in rows.to_pylist():
+        r["words"] = _unpacked(r["words"]).tobytes()
+        yield r
+
+
 ASKED = "part long, block long, keys binary, counts binary, masses binary"
 TOTALS = "part long, block long, totals binary, masses binary, once binary, n long, v long"
 
@@ -225,7 +233,7 @@ def pair_counts(blocks: DataFrame, states: np.ndarray | None, parts: int) -> Dat
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _blocks(batch):
                 _, _, trains, _, pair, seen, ordered, place = _of_block(r, states)
                 of = np.searchsorted(seen, pair[trains & (pair >= 0)])
                 yield _asked(r["block"], ordered, np.bincount(place[of], minlength=len(ordered)).astype(np.int64), None, parts)
@@ -239,7 +247,7 @@ def word_counts(blocks: DataFrame, pairs: DataFrame, states: np.ndarray | None,
 
     def count(rows: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
-        for r in rows.to_pylist():
+        for r in _blocks(rows):
             tokens, _, trains, mine, _, seen, ordered, place = _of_block(r, states)
             words = np.frombuffer(r["words"], np.uint64)
             totals, _, once = _answers(answers, len(ordered))
@@ -261,7 +269,7 @@ def frequent_words(blocks: DataFrame, share: float) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for r in _blocks(batch):
                 tokens, _, trains = _parts(r["sizes"], r["tokens"], r["held_out"])
                 words = np.frombuffer(r["words"], np.int64)
                 counts = np.bincount(tokens[trains], minlength=len(words))
@@ -326,7 +334,7 @@ def lm_scores(docs: DataFrame, modulus: int = HELD_OUT_MODULUS, state_share: flo
     held = docs.select("doc_id", "text", (id_remainder(F.col("doc_id"), modulus) == 0).alias("held_out"))
     blocks = stored(text_blocks(held), "lm-blocks")
     states = frequent_words(blocks, state_share) if state_share > 0 else None
-    size = blocks.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0)) / 8, F.coalesce(F.sum("n"), F.lit(0))).first()
+    size = blocks.agg(F.coalesce(F.sum("n_words"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     pairs = stored(added_up(pair_counts(blocks, states, max(1, int(size[1]) // PART_KEYS))), "lm-pairs")
     words = stored(added_up(word_counts(blocks, pairs, states, max(1, int(size[0]) // PART_KEYS))), "lm-words")
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
@@ -335,7 +343,7 @@ def lm_scores(docs: DataFrame, modulus: int = HELD_OUT_MODULUS, state_share: flo
     def score(rows: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         of_pairs = pc.field("pair")
-        for r in rows.to_pylist():
+        for r in _blocks(rows):
             tokens, sizes, _, mine, pair, seen, ordered, place = _of_block(r, states)
             names = np.frombuffer(r["words"], np.uint64)
             totals, _, _ = _answers(answers.filter(of_pairs), len(ordered))
@@ -365,7 +373,7 @@ def lm_scores(docs: DataFrame, modulus: int = HELD_OUT_MODULUS, state_share: flo
     names_out = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     columns = ["block", "part", "totals", "masses", "once"]
     answers = words.select(*columns, F.lit(False).alias("pair")).unionByName(pairs.select(*columns, F.lit(True).alias("pair")))
-    return blocks.drop("n").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    return blocks.drop("n", "n_words").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score,
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
