@@ -541,7 +541,7 @@ def changing_list(spark, sf_dir):
         spark.read.parquet(source).where(_tens("timestamp") == step).coalesce(1).write.mode("append").parquet(staged)
         flows = flow_stream(streams.read_record_files(spark, staged, (streams.FLOW_TOPIC,)))
         hunt.start(flows, f"{folder}/checkpoint", ALL).awaitTermination()
-    return spark.read.parquet(f"{folder}/found").select("uid", "src_ip", "kafka_ts")
+    return hunt.read(spark, flows.select("uid", "src_ip", "kafka_ts").schema)
 
 
 register(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from loghaven.lake import folders, write_batch
 from loghaven.operators.intel import match_indicators, tag_indicators
@@ -41,6 +43,16 @@ class IndicatorHunt:
         finally:
             batch.unpersist()
 
+    def read(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        """What was found, in the columns of ``schema``; without rows while nothing was."""
+        try:
+            rows = spark.read.schema(schema).option("basePath", self.path).parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+        return rows.select(*schema.fieldNames())
+
     def start(self, events: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.process)
         return (writer.trigger(**trigger) if trigger else writer).start()

@@ -81,6 +81,7 @@ def test_a_replayed_batch_meets_the_list_that_it_met(spark, folder):
     lists = [["a"], ["a", "b"], ["b"]]
     hunt = IndicatorHunt(f"{folder}/found", lambda s: s.createDataFrame([(x,) for x in lists[0]], "ip string"), "ip")
     batch = spark.createDataFrame([("a",), ("b",), ("c",)], "ip string")
+    assert hunt.read(spark, batch.schema).count() == 0
     seen = lambda: sorted((r.batch_id, r.ip) for r in spark.read.parquet(f"{folder}/found").collect())
     hunt.process(batch, 0)
     assert seen() == [(0, "a")]
