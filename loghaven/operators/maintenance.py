@@ -6,14 +6,19 @@ import datetime
 import re
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loghaven.functions.once import evaluate_once
 from loghaven.lake import BATCH, FOLDS, Lake, drop_partitions, folders, made, move, partition_specs, qualified, remove
 from loghaven.schemas import TABLES
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+# Up to so many quantiles a rank is written out as comparisons in generated code.
+UNROLLED_MARKS = 63
 
 
 def table_files(spark: SparkSession, path: str) -> DataFrame:
@@ -58,26 +63,33 @@ def interleaved(rows: DataFrame, columns: Sequence[Column], bits: int = 5) -> Co
     all columns get near numbers.
 
     A rank is the place among 2^bits quantiles of the column, which one aggregate over the rows
-    gives, so a column of any spread or type that orders as a number uses all of its bits.
+    gives, so a column of any spread or type that orders as a number uses all of its bits. It stands
+    once in the number: as plain comparisons while they are few, whose count picks the spread bits.
     """
     share = [i / (1 << bits) for i in range(1, 1 << bits)]
     marks = rows.agg(*[F.percentile_approx(c.cast("double"), share, 10_000).alias(f"m{i}") for i, c in enumerate(columns)]).first()
 
     def rank(column: Column, own: list[float]) -> Column:
-        below = F.filter(F.array(*map(F.lit, own)), lambda m: m < column.cast("double"))
-        return F.coalesce(F.size(below), F.lit(0)) if own else F.lit(0)
+        value = column.cast("double")
+        if len(own) <= UNROLLED_MARKS:
+            return reduce(add, [F.when(F.lit(m) < value, 1).otherwise(0) for m in own])
+        return F.coalesce(F.size(F.filter(F.array(*map(F.lit, own)), lambda m: m < value)), F.lit(0))
 
-    ranks = [rank(c, list(marks[i] or [])) for i, c in enumerate(columns)]
     out = F.lit(0).cast("long")
-    for bit in range(bits):
-        for i, rank in enumerate(ranks):
-            out = out + F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long"), bit * len(columns) + i)
+    for i, column in enumerate(columns):
+        own = list(marks[i] or [])
+        if own:
+            spread = [sum((r >> bit & 1) << (bit * len(columns) + i) for bit in range(bits)) for r in range(len(own) + 1)]
+            out = out + F.get(F.array(*[F.lit(x).cast("long") for x in spread]), rank(column, own))
     return out
 
 
 def sorted_by_all(rows: DataFrame, columns: Sequence[Column], files: int, bits: int = 5) -> DataFrame:
     """Rows in files that are narrow in each of several columns, not in the first alone."""
-    placed = rows.withColumn("_z", interleaved(rows, columns, bits))
+    names = [f"_v{i}" for i in range(len(columns))]
+    valued = evaluate_once(rows, {n: c.cast("double") for n, c in zip(names, columns)})
+    number = interleaved(rows.select(*[c.alias(n) for n, c in zip(names, columns)]), [F.col(n) for n in names], bits)
+    placed = evaluate_once(valued, {"_z": number}).drop(*names)
     return sorted_for_pruning(placed, ["_z"], files).drop("_z")
 
 
