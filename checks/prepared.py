@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from checks import views
 from checks.sql import DETECTED_AT
-from loghaven.lake import new_folder, use_utc, write_partitioned
+from loghaven.lake import folders, new_folder, use_utc, write_partitioned
 from loghaven.operators.flows import only_anomalies, to_network_flows
 from loghaven.operators.logs import parse_logs, to_logs_parsed
 from loghaven.operators.rules import evaluate_rules
 
+# Batches in which the record files of logs and of flows are read, and rows of one file.
+LOG_BATCHES, FLOW_BATCHES, FILE_ROWS = 4, 3, 500_000
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -59,12 +62,23 @@ def network_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(written(spark, sf_dir, "network_anomalies", write))
 
 
+def record_parts(rows: DataFrame, batches: int) -> int:
+    """Files a batch needs, so that none holds more than about ``FILE_ROWS`` of the rows."""
+    return max(1, -(-rows.count() // (batches * FILE_ROWS)))
+
+
+def files_per_batch(spark: SparkSession, folder: str, batches: int) -> int:
+    """Files a stream takes at once, to read a folder of record files in so many batches."""
+    return -(-len(folders(spark, f"{folder}/*.parquet")) // batches)
+
+
 def log_record_files(spark: SparkSession, sf_dir: str) -> str:
     """Raw logs as Parquet files of topic, timestamp, value, in time order."""
 
     def write(folder: str) -> None:
         rows = views.log_records(views.raw_logs(spark, sf_dir))
-        rows.repartitionByRange(4, "timestamp", "value").write.parquet(folder)
+        parts = LOG_BATCHES * record_parts(views.table(spark, sf_dir, "events"), LOG_BATCHES)
+        rows.repartitionByRange(parts, "timestamp", "value").write.parquet(folder)
 
     return written(spark, sf_dir, "log_records", write)
 
@@ -99,6 +113,7 @@ def flow_record_files(spark: SparkSession, sf_dir: str) -> str:
             F.col("kafka_ts").alias("timestamp"),
             F.col("raw_log").cast("binary").alias("value"),
         )
-        rows.repartitionByRange(3, "timestamp", "value").write.parquet(folder)
+        parts = FLOW_BATCHES * record_parts(views.table(spark, sf_dir, "lineitem"), FLOW_BATCHES)
+        rows.repartitionByRange(parts, "timestamp", "value").write.parquet(folder)
 
     return written(spark, sf_dir, "flow_records", write)

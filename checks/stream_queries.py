@@ -78,10 +78,10 @@ register(
 
 
 def rate_limited(spark, sf_dir):
-    """The same stream, one file per batch: alerts are per batch, logs are the same."""
-    records = streams.read_record_files(
-        spark, prepared.log_record_files(spark, sf_dir), max_files_per_trigger=1
-    )
+    """The same stream, a quarter of the files per batch: alerts are per batch, logs are the same."""
+    source = prepared.log_record_files(spark, sf_dir)
+    at_once = prepared.files_per_batch(spark, source, prepared.LOG_BATCHES)
+    records = streams.read_record_files(spark, source, max_files_per_trigger=at_once)
     lake = Lake(location=new_folder(spark, "limited_lake"))
     etl.start_log_etl(records, lake, f"{lake.location}/checkpoint", trigger=ALL).awaitTermination()
     by_path = spark.read.parquet(lake.path("logs_parsed"))
@@ -326,13 +326,18 @@ register(
 # -- flow stream --------------------------------------------------------------
 
 
+def flow_batches(spark, sf_dir):
+    """The stream of flow records, in three batches."""
+    source = prepared.flow_record_files(spark, sf_dir)
+    at_once = prepared.files_per_batch(spark, source, prepared.FLOW_BATCHES)
+    return streams.read_record_files(spark, source, (streams.FLOW_TOPIC,), max_files_per_trigger=at_once)
+
+
 def detector_lake(spark, sf_dir):
     """A lake filled by the flow job: cold start, retraining in every second batch."""
 
     def write(folder):
-        records = streams.read_record_files(
-            spark, prepared.flow_record_files(spark, sf_dir), (streams.FLOW_TOPIC,), max_files_per_trigger=1
-        )
+        records = flow_batches(spark, sf_dir)
         detector = FlowDetector(Lake(location=folder), retrain_every=2)
         detector.start(records, f"{folder}/checkpoint", ALL).awaitTermination()
 
@@ -446,9 +451,7 @@ FROM (VALUES (1, 0), (2, 1)) t(v, b)""",
 
 def cold_start(spark, sf_dir):
     """Cold start that needs more than the first batch: nothing of it may be lost."""
-    records = streams.read_record_files(
-        spark, prepared.flow_record_files(spark, sf_dir), (streams.FLOW_TOPIC,), max_files_per_trigger=1
-    )
+    records = flow_batches(spark, sf_dir)
     lake = Lake(location=new_folder(spark, "cold_lake"))
     rows = spark.read.parquet(prepared.flow_record_files(spark, sf_dir)).count()
     detector = FlowDetector(lake, cold_start_rows=rows // 2, retrain_every=1000)
@@ -466,14 +469,15 @@ def _tens(column):
 
 
 def flow_thirds(spark, sf_dir):
-    """Flow records in three files, one for each third of the month, in that order."""
+    """Flow records in files of their own for each third of the month, in that order."""
 
     def write(folder):
+        parts = prepared.record_parts(views.table(spark, sf_dir, "lineitem"), 3)
         rows = prepared.flow_json(views.flows(spark, sf_dir)).select(
             F.lit(streams.FLOW_TOPIC).alias("topic"), F.col("kafka_ts").alias("timestamp"), F.col("raw_log").cast("binary").alias("value")
         )
         for third in range(3):
-            rows.where(_tens("timestamp") == third).coalesce(1).write.mode("append").parquet(folder)
+            rows.where(_tens("timestamp") == third).coalesce(parts).write.mode("append").parquet(folder)
 
     return prepared.written(spark, sf_dir, "flow_thirds", write)
 
@@ -484,14 +488,17 @@ def decaying_lake(spark, sf_dir):
     def write(folder):
         source, staged = flow_thirds(spark, sf_dir), new_folder(spark, "decaying")
         base = M.ClusterModel(P.FEATURES, BASE_MEAN, BASE_STD, tuple(map(tuple, views.CENTERS)), (BASE_WEIGHT,) * len(views.CENTERS))
-        files = sorted((third, f) for third, f in (
-            (r["third"], r["file"]) for r in spark.read.parquet(source).select(_tens("timestamp").alias("third"), F.input_file_name().alias("file")).distinct().collect()
-        ))
         for step in ((0,), (1, 2)):
-            for third, file in files:
-                if third in step:
-                    spark.read.parquet(file).coalesce(1).write.mode("append").parquet(staged)
-            records = streams.read_record_files(spark, staged, (streams.FLOW_TOPIC,), max_files_per_trigger=1)
+            made, at_once = 0, prepared.files_per_batch(spark, source, 3)
+            for third in step:
+                rows = spark.read.parquet(source).where(_tens("timestamp") == third)
+                if not rows.isEmpty():
+                    before = len(folders(spark, f"{staged}/*.parquet"))
+                    rows.coalesce(at_once).write.mode("append").parquet(staged)
+                    # A third is one batch, so the next one gets no more files than this.
+                    made = made or len(folders(spark, f"{staged}/*.parquet")) - before
+                    at_once = made
+            records = streams.read_record_files(spark, staged, (streams.FLOW_TOPIC,), max_files_per_trigger=at_once)
             DecayingDetector(Lake(location=folder), base, DECAY).start(records, f"{folder}/checkpoint", ALL).awaitTermination()
 
     return Lake(location=prepared.written(spark, sf_dir, "decaying_lake", write))
@@ -538,7 +545,7 @@ def changing_list(spark, sf_dir):
     hunt = IndicatorHunt(f"{folder}/found", lambda s: s.read.parquet(f"{folder}/list"), "src_ip")
     for step in range(3):
         listed.where(early if step == 0 else F.lit(True)).write.mode("overwrite").parquet(f"{folder}/list")
-        spark.read.parquet(source).where(_tens("timestamp") == step).coalesce(1).write.mode("append").parquet(staged)
+        spark.read.parquet(source).where(_tens("timestamp") == step).coalesce(prepared.files_per_batch(spark, source, 3)).write.mode("append").parquet(staged)
         flows = flow_stream(streams.read_record_files(spark, staged, (streams.FLOW_TOPIC,)))
         hunt.start(flows, f"{folder}/checkpoint", ALL).awaitTermination()
     return hunt.read(spark, flows.select("uid", "src_ip", "kafka_ts").schema)
@@ -567,9 +574,7 @@ def notebook_learning(spark, sf_dir):
     flows = M.baseline_rows(views.flows(spark, sf_dir))
     lake = Lake(location=new_folder(spark, "notebook_lake"))
     detector = NotebookDetector(lake, M.train(flows, RAW_FEATURES))
-    records = streams.read_record_files(
-        spark, prepared.flow_record_files(spark, sf_dir), (streams.FLOW_TOPIC,), max_files_per_trigger=1
-    )
+    records = flow_batches(spark, sf_dir)
     query = (
         flow_stream(records).writeStream.foreachBatch(detector.process)
         .option("checkpointLocation", f"{lake.location}/checkpoint").trigger(**ALL).start()
