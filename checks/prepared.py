@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import views
 from checks.sql import DETECTED_AT
-from loghaven.lake import folders, new_folder, use_utc, write_partitioned
+from loghaven.lake import folders, new_folder, use_utc, write_in_place, write_partitioned
 from loghaven.operators.flows import only_anomalies, to_network_flows
 from loghaven.operators.logs import parse_logs, to_logs_parsed
 from loghaven.operators.rules import evaluate_rules
@@ -50,14 +50,14 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def network_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(folder: str) -> None:
-        write_partitioned(to_network_flows(views.scored_flows(spark, sf_dir)), folder, "ingest_date")
+        write_in_place(to_network_flows(views.scored_flows(spark, sf_dir)), folder, "ingest_date")
 
     return spark.read.parquet(written(spark, sf_dir, "network_flows", write))
 
 
 def network_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(folder: str) -> None:
-        write_partitioned(only_anomalies(network_flows(spark, sf_dir)), folder, "ingest_date")
+        write_in_place(only_anomalies(network_flows(spark, sf_dir)), folder, "ingest_date")
 
     return spark.read.parquet(written(spark, sf_dir, "network_anomalies", write))
 

@@ -18,6 +18,9 @@ from loghaven.schemas import TABLES
 BATCH = "batch_id"
 #: Below a table, the folds that are being made (``operators.maintenance.compact``).
 FOLDS = "_folds"
+#: Files that a task of ``write_in_place`` keeps open at once.
+OPEN_FILES = 64
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 _own_folder: list[str] = []
@@ -122,6 +125,21 @@ def write_partitioned(rows: DataFrame, path: str, partition: str, mode: str = "a
     balanced(rows, partition).write.mode(mode).partitionBy(partition).parquet(path)
 
 
+def write_in_place(rows: DataFrame, path: str, partition: str, mode: str = "append") -> None:
+    """Write by partition where the rows are, for large rebuilds: nothing is shuffled or sorted.
+
+    Each task keeps a file open for each of its dates, up to ``OPEN_FILES``; with more dates it sorts
+    the rest. A date then has a file for each task, so tasks should be large.
+    """
+    conf = rows.sparkSession.conf
+    before = conf.get(_WRITERS)
+    conf.set(_WRITERS, str(OPEN_FILES))
+    try:
+        rows.write.mode(mode).option("compression", "zstd").partitionBy(partition).parquet(path)
+    finally:
+        conf.set(_WRITERS, before)
+
+
 def write_batch(
     rows: DataFrame, path: str, partition: str | None, batch_id: int | None = None, replaces: Sequence[int] = ()
 ) -> None:
