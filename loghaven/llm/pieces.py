@@ -61,17 +61,23 @@ class Pieces:
         lengths: dict[str, set[int]] = {}
         for p in pieces:
             if len(p) > 1:
-                lengths.setdefault(p[-3:], set()).add(len(p))
-        self.lengths = {ending: sorted(n, reverse=True) for ending, n in lengths.items()}
-        #: For three characters the lengths that a last piece can have there, the longest first.
+                lengths.setdefault(p[-4:], set()).add(len(p))
+        #: For four characters, or a shorter piece, the lengths of the pieces that end so, the longest first.
+        self.lengths = {ending: tuple(sorted(n, reverse=True)) for ending, n in lengths.items()}
+        #: For three characters the lengths of up to three that a last piece can have there, the longest first.
         self.options: dict[str, tuple[int, ...]] = {}
         self.whole: dict[str, bool] = {}
+        #: For whole pieces, from their characters on, the score of the next merge and the last and first part.
+        self.steps: dict[str, list[tuple[float, str, str]]] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """Merge the pair of the best score, the leftmost of equals, until none is a piece."""
+    def merged(self, text: str, steps: list[tuple[float, str, str]] | None = None) -> list[str]:
+        """Merge the pair of the best score, the leftmost of equals, until none is a piece. ``steps``
+        gets the best score, the last and the first part before each merge."""
         parts, score = list(text), self.score.get
         scores = [score(a + b, NONE) for a, b in pairwise(parts)]
         while scores and (best := max(scores)) > NONE:
+            if steps is not None:
+                steps.append((best, parts[-1], parts[0]))
             i = scores.index(best)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
             del scores[i]
@@ -82,8 +88,8 @@ class Pieces:
         return parts
 
     def forget(self) -> None:
-        """Forget endings, whole pieces, pairs and other characters."""
-        for memory in (self.options, self.whole, self.apart):
+        """Forget endings, whole pieces and their merges, pairs and other characters."""
+        for memory in (self.options, self.whole, self.steps, self.apart):
             memory.clear()
         for char in self.others:
             del self.code[char]
@@ -96,10 +102,38 @@ class Pieces:
             self.forget()
         self.held += size
 
+    def _steps(self, piece: str) -> list[tuple[float, str, str]]:
+        """What a whole piece goes through as it is merged alone; no score is left at its end."""
+        steps = self.steps.get(piece)
+        if steps is None:
+            self._hold(OTHER * len(piece))
+            steps = []
+            self.merged(piece, steps)
+            steps.append((NONE, piece, piece))
+            self.steps[piece] = steps
+        return steps
+
+    def stay_apart(self, before: str, piece: str) -> bool:
+        """Whether two whole pieces, merged from the characters of both, come out as these two. Each is
+        merged as it would be alone until the pair across the border is the best, the leftmost of equals."""
+        score, lefts, rights = self.score.get, iter(self._steps(before)), iter(self._steps(piece))
+        (left, last, _), (right, _, first) = next(lefts), next(rights)
+        while True:
+            across = score(last + first, NONE)
+            if left >= across and left >= right:
+                if left == NONE:
+                    return True
+                left, last, _ = next(lefts)
+            elif across >= right:
+                return False
+            else:
+                right, _, first = next(rights)
+
     def _fits(self, before: str, piece: str) -> bool:
         """Whether two pieces stay apart; remembered in ``apart``, where it is looked up first."""
+        known = self.stay_apart(before, piece)
         self._hold(OTHER + (FIRST if before not in self.apart else 0))
-        known = self.apart.setdefault(before, {})[piece] = self.merged(before + piece) == [before, piece]
+        self.apart.setdefault(before, {})[piece] = known
         return known
 
     def _whole(self, piece: str) -> bool:
@@ -111,11 +145,8 @@ class Pieces:
         return known
 
     def _options(self, ending: str) -> tuple[int, ...]:
-        """Lengths of the pieces that end in these three characters, or fewer at a word's start."""
-        sizes = set(self.lengths.get(ending, ()))
-        if len(ending) == 3 and ending[1:] in self.lengths:
-            sizes.add(2)
-        found = tuple(n for n in sorted(sizes, reverse=True) if n > 3 or self._whole(ending[-n:]))
+        """Lengths of the pieces of two or three characters that end these three, or fewer at a word's start."""
+        found = tuple(n for n in range(len(ending), 1, -1) if ending[-n:] in self.lengths and self._whole(ending[-n:]))
         self._hold(OTHER)
         self.options[ending] = found
         return found
@@ -139,11 +170,9 @@ class Pieces:
             if len(word) > LONG:
                 yield self._traced(word, step)
                 continue
-            shared = 0
-            for a, b in zip(before, word, strict=False):
-                if a != b:
-                    break
-                shared += 1
+            shared = min(len(before), len(word))
+            while not word.startswith(before[:shared]):
+                shared -= 1
             del last[shared + 1 :], code[shared + 1 :], total[shared + 1 :]
             step(word, last, code, total)
             yield code[-1]
@@ -161,12 +190,14 @@ class Pieces:
     def _merge_step(self, word: str, last: list[str], code: list[bytes], total: list[float]) -> None:
         """Go on with the table to the word's end: the last piece of each prefix, and its ids
         unless ``code`` is empty."""
-        options, whole, apart, codes = self.options, self.whole, self.apart, self.code
+        options, lengths, whole, apart, codes = self.options, self.lengths, self.whole, self.apart, self.code
         for d in range(len(last), len(word) + 1):
             ending = word[d - 3 : d] if d > 3 else word[:d]
             sizes = options.get(ending)
             if sizes is None:
                 sizes = self._options(ending)
+            if d > 3 and (longer := lengths.get(word[d - 4 : d])):
+                sizes = longer + sizes
             for n in sizes:
                 j = d - n
                 if j < 0:
@@ -194,7 +225,7 @@ class Pieces:
     def _score_step(self, word: str, last: list[str], code: list[bytes], total: list[float]) -> None:
         """The same for a unigram model, with the best total score of each prefix."""
         for d in range(len(last), len(word) + 1):
-            sizes = {1, *self.lengths.get(word[max(0, d - 3) : d], ()), *self.lengths.get(word[max(0, d - 2) : d], ())}
+            sizes = {1}.union(*(self.lengths.get(word[max(0, d - n) : d], ()) for n in (4, 3, 2)))
             best, n = max(
                 (total[d - n] + self.score.get(word[d - n : d], self.worst), n)
                 for n in sizes
@@ -215,9 +246,9 @@ class Pieces:
         met = set().union(*words).difference(self.known)
         again = met.intersection(self.before)
         new = sorted(met.difference(again))
-        for word, code in chain(((w, self.before[w]) for w in again), zip(new, self.encodings(new), strict=True)):
-            self.known[word] = code
-            self.held_words += ENTRY + 4 * len(word) + len(code)
+        for some, codes in ((again, [self.before[w] for w in again]), (new, list(self.encodings(new)))):
+            self.known.update(zip(some, codes, strict=True))
+            self.held_words += ENTRY * len(codes) + 4 * sum(map(len, some)) + sum(map(len, codes))
         return [b"".join(map(self.known.__getitem__, w)) for w in words]
 
     def marked(self, text: str | None) -> list[str]:

@@ -205,6 +205,28 @@ def test_unbroken_text():
         assert np.frombuffer(b"".join(code), np.int32).tolist() == library.encode(text)
 
 
+def test_pairs_stay_apart_as_merged_alone():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(100):
+        names = {*"abc", *("".join(rng.choices("abc", k=rng.randint(2, 5))) for _ in range(12))}
+        model = pieces.Pieces({p: (i, -float(rng.randint(1, 5))) for i, p in enumerate(sorted(names))}, [], 99, pieces.BPE)
+        whole = ["?", *(p for p in sorted(names) if model.merged(p) == [p])]
+        assert all(model.stay_apart(a, b) == (model.merged(a + b) == [a, b]) for a in whole for b in whole)
+
+
+@needs_model
+def test_pairs_are_not_merged_one_by_one(monkeypatch):
+    import random
+
+    rng, calls, merged = random.Random(5), [], pieces.Pieces.merged
+    monkeypatch.setattr(pieces.Pieces, "merged", lambda self, *a: calls.append(a) or merged(self, *a))
+    vocabulary = pieces.Pieces(**pieces.load_pieces())
+    list(vocabulary.encodings(sorted({"▁" + "".join(rng.choices("aeinrst", k=8)) for _ in range(5000)})))
+    assert len(calls) < sum(map(len, vocabulary.apart.values())) / 2  # by piece, not by pair
+
+
 @pytest.mark.parametrize("kind", [pieces.BPE, pieces.UNIGRAM])
 def test_long_words_have_the_same_ids(monkeypatch, kind):
     names = ["▁", "a", "b", "▁a", "ab", "ba", "aba", "▁ab", "bb"]
