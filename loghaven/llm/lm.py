@@ -208,24 +208,25 @@ def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def _pairs_of(tokens: np.ndarray, sizes: np.ndarray, words: bytes, states: np.ndarray | None) -> tuple[np.ndarray, ...]:
-    """A block's states, its pairs (numbers in these states) by token, the distinct ones, and
-    their keys; ``states`` None makes every word of the block one."""
+    """A block's states, the tokens that end a pair (numbers in these states), its distinct pairs, which
+    of these each such token ends, and their keys; ``states`` None makes every word of the block one."""
     mine = np.frombuffer(words, np.uint64)
     if states is not None:
         mine = mine[_states_of(words, states) >= 0]
     pair = _pairs(tokens, sizes, _states_of(words, mine), len(mine))
-    seen = np.unique(pair[pair >= 0])
+    ends = np.flatnonzero(pair >= 0)
+    seen, of = np.unique(pair[ends], return_inverse=True)  # without the inverse, numpy hashes instead of sorting, far slower
     n = max(1, len(mine))
-    return mine, pair, seen, _pair_keys(mine[seen // n], mine[seen % n])
+    return mine, ends, seen, of, _pair_keys(mine[seen // n], mine[seen % n])
 
 
 def _of_block(r: dict, states: np.ndarray | None) -> tuple:
-    """A block's tokens, sizes, states, pairs by token, distinct pairs, and the distinct keys of these
-    in order with the place of each pair's key among them."""
+    """A block's tokens, sizes, which tokens train, states, distinct pairs, which of these each training
+    token that ends one ends, and the pairs' distinct keys in order with the place of each pair's key."""
     tokens, sizes, trains = _parts(r["sizes"], r["tokens"], r["held_out"])
-    mine, pair, seen, keys = _pairs_of(tokens, sizes, r["words"], states)
+    mine, ends, seen, of, keys = _pairs_of(tokens, sizes, r["words"], states)
     ordered, place = np.unique(keys.view(np.uint64), return_inverse=True)
-    return tokens, sizes, trains, mine, pair, seen, ordered, place
+    return tokens, sizes, trains, mine, seen, of[trains[ends]], ordered, place
 
 
 def pair_counts(blocks: DataFrame, states: np.ndarray | None, parts: int) -> DataFrame:
@@ -234,8 +235,7 @@ def pair_counts(blocks: DataFrame, states: np.ndarray | None, parts: int) -> Dat
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in _blocks(batch):
-                _, _, trains, _, pair, seen, ordered, place = _of_block(r, states)
-                of = np.searchsorted(seen, pair[trains & (pair >= 0)])
+                _, _, _, _, _, of, ordered, place = _of_block(r, states)
                 yield _asked(r["block"], ordered, np.bincount(place[of], minlength=len(ordered)).astype(np.int64), None, parts)
 
     return blocks.select("block", "held_out", "sizes", "words", "tokens").mapInArrow(count, ASKED)
@@ -248,7 +248,7 @@ def word_counts(blocks: DataFrame, pairs: DataFrame, states: np.ndarray | None,
     def count(rows: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         for r in _blocks(rows):
-            tokens, _, trains, mine, _, seen, ordered, place = _of_block(r, states)
+            tokens, _, trains, mine, seen, _, ordered, place = _of_block(r, states)
             words = np.frombuffer(r["words"], np.uint64)
             totals, _, once = _answers(answers, len(ordered))
             arc = once & (totals >= MIN_PAIR)
@@ -314,7 +314,8 @@ class Automaton:
         inside = before >= 0
         p[inside] *= self.failure[before[inside]]
         if len(self.pairs):
-            at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+            distinct, of = np.unique(pair, return_inverse=True)
+            at = np.minimum(np.searchsorted(self.pairs, distinct), len(self.pairs) - 1)[of]
             arc = (pair >= 0) & (self.pairs[at] == pair)
             p[arc] += (self.pair_count[at[arc]] - DISCOUNT) / self.state_count[before[arc]]
         return self.count[tokens], np.log10(root), np.log10(p)
@@ -344,7 +345,7 @@ def lm_scores(docs: DataFrame, modulus: int = HELD_OUT_MODULUS, state_share: flo
         out = []
         of_pairs = pc.field("pair")
         for r in _blocks(rows):
-            tokens, sizes, _, mine, pair, seen, ordered, place = _of_block(r, states)
+            tokens, sizes, _, mine, seen, _, ordered, place = _of_block(r, states)
             names = np.frombuffer(r["words"], np.uint64)
             totals, _, _ = _answers(answers.filter(of_pairs), len(ordered))
             sums, masses, _ = _answers(answers.filter(~of_pairs), len(names))

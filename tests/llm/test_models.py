@@ -502,3 +502,19 @@ def test_lm_of_nothing(no_docs, spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     r = lm.lm_scores(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).first()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 3, 0, 0, 0.0)
+
+
+def test_distinct_pairs_of_a_block_are_sorted_out_in_the_time_of_a_sort():
+    import time
+
+    rng, times = np.random.default_rng(3), {}
+    words = np.sort(rng.integers(0, 1 << 63, 200_000).astype(np.uint64))
+    tokens, sizes = rng.integers(0, len(words), 1_000_000), np.array([400_000, 600_000])
+    pair = np.delete(tokens[:-1] * len(words) + tokens[1:], 399_999)
+    for _ in range(3):
+        for name, run in (("sort", lambda: np.unique(pair, return_inverse=True)), ("pairs", lambda: lm._pairs_of(tokens, sizes, words.tobytes(), None))):
+            began = time.process_time()
+            got = run()
+            times.setdefault(name, []).append(time.process_time() - began)
+    assert (got[2] == np.unique(pair, return_inverse=True)[0]).all()
+    assert min(times["pairs"]) < 5 * min(times["sort"])
