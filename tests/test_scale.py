@@ -6,7 +6,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
-from checks import hunt_queries, prepared, source_queries, stream_queries
+from checks import hunt_queries, prepared, source_queries, stream_queries, views
 from checks.registry import QUERIES
 from loghaven.lake import folders, write_in_place
 from loghaven.operators import maintenance as U
@@ -62,6 +62,15 @@ def test_text_files_are_compressed_and_bounded(spark, small_files):
     assert QUERIES["s05_zeek_tsv"](spark, small_files).where("uid LIKE 'C%' AND conn_state IS NOT NULL AND proto = 'tcp'").count() == ROWS
 
 
+def test_tsv_files_are_written_where_the_rows_are(spark, small_files):
+    assert "Exchange" not in plan_of(source_queries.tsv_lines(views.flows(spark, small_files)))
+    lines = spark.read.text(f"{source_queries.mixed_files(spark, small_files)}/file_name=conn.log").select("value", F.input_file_name().alias("file"))
+    heads = F.count_if(F.col("value").startswith("#fields"))
+    files = lines.groupBy("file").agg(F.count("*").alias("n"), heads.alias("heads"), F.first("value").alias("first")).collect()
+    assert len(files) >= ROWS / 20 and all(f["n"] <= 22 and f["heads"] == 1 and f["first"].startswith("#separator") for f in files)
+    assert lines.where("value LIKE '#fields%'").select("value").distinct().count() == 3
+
+
 def test_written_in_place(spark, folder):
     rows = spark.range(0, 400, 1, 2).select("id", (F.col("id") % 100).cast("int").alias("d"))
     setting = "spark.sql.maxConcurrentOutputFileWriters"
