@@ -14,6 +14,8 @@ from loghaven.operators.rules import evaluate_rules
 
 # Batches in which the record files of logs and of flows are read, and rows of one file.
 LOG_BATCHES, FLOW_BATCHES, FILE_ROWS = 4, 3, 500_000
+# Flows looked at to find where a batch ends.
+BOUND_SAMPLE = 10_000
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -106,14 +108,29 @@ def flow_json(flows: DataFrame) -> DataFrame:
     )
 
 
+def batch_bounds(flows: DataFrame, batches: int) -> list:
+    """Conditions that cut flows into so many runs of about equal size by arrival and id, from a sample of them."""
+    key = F.struct(F.unix_micros("kafka_ts").alias("at"), F.col("uid"))
+    share = min(1.0, BOUND_SAMPLE / max(1, flows.count()))
+    sample = flows.select(key.alias("key")).sample(share, seed=42).orderBy("key").collect()
+    cuts = [sample[len(sample) * n // batches]["key"] for n in range(1, batches)] if sample else []
+    below = [key < F.struct(F.lit(c["at"]).cast("bigint").alias("at"), F.lit(c["uid"]).cast("string").alias("uid")) for c in cuts]
+    return [~low & high for low, high in zip([F.lit(False), *below], [*below, F.lit(True)])]
+
+
 def flow_record_files(spark: SparkSession, sf_dir: str) -> str:
+    """Flow records as Parquet files of topic, timestamp, value, batch after batch in time order; each batch is written
+    where its rows are read, as a shuffle of all texts would take more disk than the files."""
+
     def write(folder: str) -> None:
-        rows = flow_json(views.flows(spark, sf_dir)).select(
-            F.lit("real_network_logs").alias("topic"),
-            F.col("kafka_ts").alias("timestamp"),
-            F.col("raw_log").cast("binary").alias("value"),
-        )
-        parts = FLOW_BATCHES * record_parts(views.table(spark, sf_dir, "lineitem"), FLOW_BATCHES)
-        rows.repartitionByRange(parts, "timestamp", "value").write.parquet(folder)
+        flows = views.flows(spark, sf_dir)
+        parts = record_parts(views.table(spark, sf_dir, "lineitem"), FLOW_BATCHES)
+        for mine in batch_bounds(flows, FLOW_BATCHES):
+            rows = flow_json(flows.where(mine)).select(
+                F.lit("real_network_logs").alias("topic"),
+                F.col("kafka_ts").alias("timestamp"),
+                F.col("raw_log").cast("binary").alias("value"),
+            )
+            rows.coalesce(parts).write.mode("append").option("compression", "zstd").parquet(folder)
 
     return written(spark, sf_dir, "flow_records", write)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -131,23 +132,34 @@ def write_in_place(rows: DataFrame, path: str, partition: str, mode: str = "appe
     Each task keeps a file open for each of its dates, up to ``OPEN_FILES``; with more dates it sorts
     the rest. A date then has a file for each task, so tasks should be large.
     """
-    conf = rows.sparkSession.conf
-    before = conf.get(_WRITERS)
-    conf.set(_WRITERS, str(OPEN_FILES))
-    try:
+    with _open_files(rows.sparkSession):
         rows.write.mode(mode).option("compression", "zstd").partitionBy(partition).parquet(path)
+
+
+@contextmanager
+def _open_files(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_WRITERS)
+    spark.conf.set(_WRITERS, str(OPEN_FILES))
+    try:
+        yield
     finally:
-        conf.set(_WRITERS, before)
+        spark.conf.set(_WRITERS, before)
 
 
 def write_batch(
-    rows: DataFrame, path: str, partition: str | None, batch_id: int | None = None, replaces: Sequence[int] = ()
+    rows: DataFrame,
+    path: str,
+    partition: str | None,
+    batch_id: int | None = None,
+    replaces: Sequence[int] = (),
+    in_place: bool = False,
 ) -> None:
     """Write micro-batches so that writing them again replaces all that they wrote before.
 
     The batch number is a partition column. ``rows`` may carry its own batch_id column; then
     ``replaces`` lists the batches, also those that have no rows this time. The folders of
     a batch are deleted first, so a replay with fewer dates or no rows leaves none behind.
+    Large batches are written ``in_place``, as by ``write_in_place``.
     """
     if batch_id is not None:
         rows = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
@@ -155,13 +167,15 @@ def write_batch(
     keys = [c for c in (partition, BATCH) if c is not None]
     for batch in replaces:
         remove(rows.sparkSession, f"{path}/{'*/' if partition else ''}{BATCH}={batch}")
-    (
-        balanced(rows, *keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .parquet(path)
-    )
+    with _open_files(rows.sparkSession) if in_place else nullcontext():
+        (
+            (rows if in_place else balanced(rows, *keys))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .partitionBy(*keys)
+            .parquet(path)
+        )
 
 
 def _ddl(schema: T.StructType, extra: str = "") -> str:
@@ -204,12 +218,14 @@ class Lake:
             rows = balanced(rows, partition)
         rows.sparkSession.sql(f"INSERT INTO {self.name(table)} BY NAME SELECT * FROM {{rows}}", rows=rows)
 
-    def write_batch(self, rows: DataFrame, table: str, batch_id: int | None, replaces: Sequence[int] = ()) -> None:
+    def write_batch(
+        self, rows: DataFrame, table: str, batch_id: int | None, replaces: Sequence[int] = (), in_place: bool = False
+    ) -> None:
         """Replace what a batch wrote and register its partitions in the catalog's table, if
         there is one."""
         schema, partition = TABLES[table]
         keep = [c for c in schema.fieldNames() if c != BATCH] + ([BATCH] if batch_id is None else [])
-        write_batch(rows.select(*keep), self.path(table), partition, batch_id, replaces)
+        write_batch(rows.select(*keep), self.path(table), partition, batch_id, replaces, in_place)
         self.register(rows.sparkSession, table, (batch_id,) if batch_id is not None else replaces)
 
     def register(self, spark: SparkSession, table: str, batches: Sequence[int]) -> None:
@@ -235,6 +251,16 @@ class Lake:
         """Make all partitions of a table known to the catalog, as after a move of its files."""
         spark.catalog.recoverPartitions(self.name(table))
 
+    def read_batches(self, spark: SparkSession, table: str, batches: Sequence[int]) -> DataFrame:
+        """What some batches wrote, with their numbers, from their folders alone."""
+        schema, partition = TABLES[table]
+        schema = schema if BATCH in schema.fieldNames() else T.StructType([*schema, T.StructField(BATCH, T.LongType())])
+        path, level = self.path(table), "*/" if partition else ""
+        found = [f for b in batches for f in folders(spark, f"{path}/{level}{BATCH}={b}")]
+        if not found:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("basePath", path).parquet(*found)
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """A table by path, in its declared columns; empty before the first write. While a fold is
         made, its files count in place of those that it replaces."""

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -64,13 +65,14 @@ def train(
 
     The fit passes over its rows some twenty times, so the features alone are spread
     evenly and kept for its duration, over as many partitions as shuffles have (which a
-    cluster sets by its data) or as there are cores, whichever is more.
+    cluster sets by its data) or as there are cores, whichever is more. What memory does not
+    hold is read again from the files of that shuffle, not written a second time.
     """
     started = time.monotonic()
     picked = complete_rows(flows, features).select(*features)
     spark = flows.sparkSession
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = picked.repartition(parts).persist()
+    rows = picked.repartition(parts).persist(StorageLevel.MEMORY_ONLY)
     try:
         fitted = Pipeline(
             stages=[

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ from loghaven.streaming.models import ModelStore
 COLD_START_ROWS = 100
 RETRAIN_EVERY = 50
 TRIGGER = {"processingTime": "10 seconds"}
+# From so many rows on a batch is written where it is read; smaller ones are shuffled into few files.
+IN_PLACE_ROWS = 1_000_000
 
 
 def flow_stream(records: DataFrame) -> DataFrame:
@@ -82,16 +86,14 @@ class FlowDetector:
         store.save(model)
         return model
 
-    def _write(self, rows: DataFrame, model: ClusterModel) -> None:
-        """Score and write rows that carry their batch number, flows and anomalies in one pass."""
+    def _write(self, rows: DataFrame, model: ClusterModel, batches: Sequence[int], in_place: bool) -> None:
+        """Score and write rows that carry their batch number; anomalies are taken from the flows just
+        written, so that neither is computed twice or kept meanwhile."""
+        spark = rows.sparkSession
         scored = anomaly.score(flow_features(rows), model, self.threshold)
-        table = to_network_flows(scored, keep=(BATCH,)).persist()
-        try:
-            batches = sorted(r[BATCH] for r in table.select(BATCH).distinct().collect())
-            self.lake.write_batch(table, "network_flows", None, batches)
-            self.lake.write_batch(only_anomalies(table), "network_anomalies", None, batches)
-        finally:
-            table.unpersist()
+        self.lake.write_batch(to_network_flows(scored, keep=(BATCH,)), "network_flows", None, batches, in_place)
+        flows = self.lake.read_batches(spark, "network_flows", batches)
+        self.lake.write_batch(only_anomalies(flows), "network_anomalies", None, batches, in_place)
 
     def _record(self, batch: DataFrame, model: ClusterModel, batch_id: int) -> None:
         at = batch.select("batch_ts").first()["batch_ts"]
@@ -100,9 +102,11 @@ class FlowDetector:
         )
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        """A batch is kept in memory as far as it fits; the rest is read again from the source, which
+        takes less than the disk that it would fill."""
         spark = batch.sparkSession
         store = ModelStore(spark, f"{self.lake.location}/models")
-        batch = batch.persist()
+        batch = batch.persist(StorageLevel.MEMORY_ONLY)
         try:
             if batch.isEmpty():
                 return
@@ -118,18 +122,19 @@ class FlowDetector:
                 if enough:
                     model = self._train(numbered, batch_id, model.version + 1, store)
                     self._record(batch, model, batch_id)
-            self._write(numbered, model)
+            self._write(numbered, model, (batch_id,), batch.count() >= IN_PLACE_ROWS)
         finally:
             batch.unpersist()
 
     def _cold_start(self, batch: DataFrame, numbered: DataFrame, batch_id: int, store: ModelStore) -> None:
-        write_batch(numbered, self.landing, None, replaces=(batch_id,))
+        write_batch(numbered, self.landing, None, replaces=(batch_id,), in_place=True)
         landed = self._landed(batch, batch_id)
-        if landed.limit(self.cold_start_rows).count() < self.cold_start_rows:
+        rows = {r[BATCH]: r["count"] for r in landed.groupBy(BATCH).count().collect()}
+        if sum(rows.values()) < self.cold_start_rows:
             return
         model = self._train(landed, batch_id, 1, store)
         self._record(batch, model, batch_id)
-        self._write(landed, model)
+        self._write(landed, model, sorted(rows), sum(rows.values()) >= IN_PLACE_ROWS)
 
     def start(self, records: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         return (

@@ -6,10 +6,14 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from pyspark import StorageLevel
+
 from checks import hunt_queries, prepared, source_queries, stream_queries, views
 from checks.registry import QUERIES
-from loghaven.lake import folders, write_in_place
+from loghaven import lake as lakes
+from loghaven.lake import folders, write_batch, write_in_place
 from loghaven.operators import maintenance as U
+from loghaven.streaming import detector
 
 ROWS = 240
 
@@ -71,6 +75,39 @@ def test_tsv_files_are_written_where_the_rows_are(spark, small_files):
     assert lines.where("value LIKE '#fields%'").select("value").distinct().count() == 3
 
 
+def test_record_batches_follow_each_other(spark):
+    rows = [(dt.datetime(2024, 1, 1, 0, n // 2 % 40), f"u{n % 7}") for n in range(400)] + [(None, "u"), (None, None), (dt.datetime(2024, 1, 1), None)] * 3
+    flows = spark.createDataFrame(rows, "kafka_ts timestamp, uid string")
+    key = F.struct("kafka_ts", "uid")
+    spans = [flows.where(b).agg(F.count("*").alias("n"), F.min(key).alias("low"), F.max(key).alias("high")) for b in prepared.batch_bounds(flows, 3)]
+    got = [s.select("n", "low", "high").first() for s in spans]
+    assert sum(g["n"] for g in got) == len(rows) and all(100 < g["n"] < 170 for g in got)
+    above = [spans[n].crossJoin(spans[n + 1].select(F.col("low").alias("next"))).select(F.col("high") < F.col("next")).first()[0] for n in range(2)]
+    assert above == [True, True]
+    assert len(prepared.batch_bounds(flows.limit(0), 3)) >= 1
+
+
+def test_flow_records_and_cold_start_leave_rows_where_they_are(spark, small_files, monkeypatch):
+    frame, hinted, on_disk, ranged = type(spark.range(1)), [], [], []
+    persist, balanced, by_range = frame.persist, lakes.balanced, frame.repartitionByRange
+    monkeypatch.setattr(detector, "IN_PLACE_ROWS", 50, raising=False)
+    monkeypatch.setattr(frame, "persist", lambda df, level=StorageLevel.MEMORY_AND_DISK_DESER: on_disk.append(level.useDisk) or persist(df, level))
+    monkeypatch.setattr(lakes, "balanced", lambda rows, *by: hinted.extend(by) or balanced(rows, *by))
+    monkeypatch.setattr(frame, "repartitionByRange", lambda df, *by: ranged.append(by) or by_range(df, *by))
+    got = QUERIES["m07_cold_start"](spark, small_files).collect()
+    assert [(r["proto"], r["n"]) for r in got] == [("tcp", ROWS)]
+    assert on_disk and not any(on_disk) and not ranged and "ingest_date" not in hinted
+
+
+def test_batch_written_in_place_replaces_itself(spark, folder):
+    rows = spark.range(0, 60, 1, 3).select("id", (F.col("id") % 5).cast("int").alias("d"))
+    write_batch(rows, folder, "d", 1, in_place=True)
+    write_batch(rows.where("d < 2"), folder, "d", 2, in_place=True)
+    write_batch(rows.where("d = 3"), folder, "d", 1, in_place=True)
+    back = spark.read.parquet(folder).groupBy("batch_id", "d").count().collect()
+    assert sorted(map(tuple, back)) == [(1, 3, 12), (2, 0, 12), (2, 1, 12)]
+
+
 def test_written_in_place(spark, folder):
     rows = spark.range(0, 400, 1, 2).select("id", (F.col("id") % 100).cast("int").alias("d"))
     setting = "spark.sql.maxConcurrentOutputFileWriters"
